@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard import ngram_jaccard_join
+from .mixing import OP9_SQL, mix_sources
 from .rules import quality_rules
+from .token_counts import token_counts
+from .token_files import token_files
+from .warc import OP7_SQL, warc_archive
+
+
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,10 +29,26 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"), width=3, threshold=(90, 100))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive(_read(spark, sf_dir, "pages"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_ngram_jaccard_join, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_ngram_jaccard_join, op4_token_files, op5_token_counts, op7_warc_revisits, op9_source_mixing, op10_quality_rules)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
