@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .boilerplate import OP3_SQL, line_dedup
+from .decontaminate import decontaminate
 from .jaccard import ngram_jaccard_join
+from .line_crf import score_quality
 from .mixing import OP9_SQL, mix_sources
 from .rules import quality_rules
+from .surrogates import replace_pii
 from .token_counts import token_counts
 from .token_files import token_files
 from .warc import OP7_SQL, warc_archive
@@ -25,10 +29,18 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"), width=3, threshold=(90, 100))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_read(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -37,10 +49,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(_read(spark, sf_dir, "documents"), key="registered query")
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive(_read(spark, sf_dir, "pages"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
@@ -49,6 +69,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_ngram_jaccard_join, op4_token_files, op5_token_counts, op7_warc_revisits, op9_source_mixing, op10_quality_rules)}
-
-ORACLE_SQL: dict[str, str] = {"op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_ngram_jaccard_join,
+        op3_line_dedup,
+        op4_token_files,
+        op5_token_counts,
+        op6_pii_surrogates,
+        op7_warc_revisits,
+        op8_quality_classifier,
+        op9_source_mixing,
+        op10_quality_rules,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
