@@ -9,11 +9,14 @@ each stage against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import decontaminate
 from millrace.llm.jaccard import ngram_jaccard_join
+from millrace.llm.mixing import curriculum
+from millrace.llm.queries import vocabulary
 from millrace.llm.rules import quality_rules
 from millrace.llm.scratch import Scratch
+from millrace.llm.token_files import token_files
 
 ORACLE_SQL = None
 
@@ -33,7 +36,23 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _keep(docs, ngram_jaccard_join(docs).where("doc_id = component_id").select("doc_id")).dropDuplicates(["doc_id"])
 
 
-STAGES = [("quality rules", rules), ("n-gram jaccard join", near_copies)]
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a passage of the benchmark."""
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, in training order."""
+    return curriculum(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns what they hold, a row per document."""
+    return token_files(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [("quality rules", rules), ("n-gram jaccard join", near_copies), ("benchmark decontamination", leaks), ("mixing sources", mixing), ("token output", token_ids)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
