@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .files import committed, opened
-from .pieces import ByteEncoder
+from .pieces import byte_encoder
 from .scratch import Scratch
 from .text import column_bytes, slices
 
@@ -171,7 +171,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int =
     scratch = Scratch(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = ByteEncoder(tokenizer), struct.pack("<I", end_id)
+        encoder, end = byte_encoder(tokenizer), struct.pack("<I", end_id)
         task = TaskContext.get().partitionId()
         uri = f"{folder}/shard-{task:08d}.tok"
 
