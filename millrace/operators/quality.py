@@ -27,14 +27,14 @@ def where_violated(df: DataFrame, name: str, condition: Column) -> DataFrame:
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Keys, nulls left out, that occur more than once."""
     known = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
-    return _result(known.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), name)
+    return _result(known.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1"), name)
 
 
 def primary_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows with a null in the key, and keys that occur more than once."""
     null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    counted = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return _result(counted, name, F.sum(F.when(null, F.col("n")).when(F.col("n") > 1, 1).otherwise(0)))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return _result(counted, name, F.sum(F.when(null, F.col("_n")).when(F.col("_n") > 1, 1).otherwise(0)))
 
 
 def not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -73,7 +73,7 @@ def join_path(left: DataFrame, right: DataFrame, on: Column, required: str, name
 def complete_unique_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Left rows without a match, and keys that several right rows have."""
     missing = left.join(right.select(*keys), list(keys), "left_anti").agg(F.count("*").alias("n"))
-    several = right.groupBy(*keys).agg(F.count("*").alias("c")).where("c > 1").agg(F.count("*").alias("n"))
+    several = right.groupBy(*keys).agg(F.count("*").alias("_c")).where("_c > 1").agg(F.count("*").alias("n"))
     return _result(missing.unionAll(several), name, F.sum("n"))
 
 
@@ -97,8 +97,9 @@ def sums_to(df: DataFrame, keys: Sequence[str], amount: str, expected: Column, n
 
 def balanced(parents: DataFrame, lines: DataFrame, key: str, total: str, debit: str, credit: str, name: str) -> DataFrame:
     """Parents with lines whose debits, credits and total are not all equal."""
-    sums = lines.groupBy(key).agg(F.coalesce(F.sum(debit), F.lit(0)).alias("d"), F.coalesce(F.sum(credit), F.lit(0)).alias("c"))
-    return _result(parents.select(key, F.col(total).alias("t")).join(sums, key).where((F.col("d") != F.col("c")) | (F.col("d") != F.col("t"))), name)
+    sums = lines.groupBy(key).agg(F.coalesce(F.sum(debit), F.lit(0)).alias("_debits"), F.coalesce(F.sum(credit), F.lit(0)).alias("_credits"))
+    wrong = (F.col("_debits") != F.col("_credits")) | (F.col("_debits") != F.col("_total"))
+    return _result(parents.select(key, F.col(total).alias("_total")).join(sums, key).where(wrong), name)
 
 
 def exclusive(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
@@ -125,8 +126,8 @@ def no_overlap(df: DataFrame, keys: Sequence[str], start: str, end: str, name: s
 
 def sequence(df: DataFrame, keys: Sequence[str], number: str, name: str) -> DataFrame:
     """Groups whose numbers are not 1 .. n, each once."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct(number).alias("d"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-    return _result(groups.where((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("d") != F.col("n"))), name)
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_distinct(number).alias("_d"), F.min(number).alias("lo"), F.max(number).alias("hi"))
+    return _result(groups.where((F.col("lo") != 1) | (F.col("hi") != F.col("_n")) | (F.col("_d") != F.col("_n"))), name)
 
 
 def grid(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
