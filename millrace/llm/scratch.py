@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/millrace/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            # a local folder of this process's own choice goes with it
+            atexit.register(shutil.rmtree, self.root.removeprefix("file://"), ignore_errors=True)
 
     def path(self, name: str) -> str:
         self._n += 1
