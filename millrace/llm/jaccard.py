@@ -425,3 +425,16 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: tuple[int,
 
     nameless = rows.where("id is null").select("text").mapInArrow(without_id, f"`{id_col}` long, n_shingles long, component_id long, n_links long")
     return out.unionAll(nameless)
+
+
+#: For three words and 90 %: all pairs that share a shingle are counted, so it is for small tables only.
+OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w),
+n AS (SELECT w.doc_id, CAST(count(s.g) AS BIGINT) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT p.a, p.b FROM p JOIN n AS x ON x.doc_id = p.a JOIN n AS y ON y.doc_id = p.b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS d, doc_id AS t FROM w UNION SELECT r.d, u.b FROM r JOIN u ON r.t = u.a)
+SELECT n.doc_id, n.n AS n_shingles, (SELECT min(t) FROM r WHERE r.d = n.doc_id) AS component_id, CAST((SELECT count(*) FROM u WHERE u.a = n.doc_id) AS BIGINT) AS n_links FROM n
+"""

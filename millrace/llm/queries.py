@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .boilerplate import OP3_SQL, line_dedup
 from .decontaminate import decontaminate
-from .jaccard import ngram_jaccard_join
+from .jaccard import OP2_SQL, ngram_jaccard_join
 from .line_crf import score_quality
 from .mixing import OP9_SQL, mix_sources
 from .rules import quality_rules
@@ -85,4 +85,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2_SQL, "op3_line_dedup": OP3_SQL, "op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
