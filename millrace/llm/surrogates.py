@@ -36,8 +36,10 @@ PATTERNS = {
 }
 #: One alternation; the only numbered group is the card's separator.
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: What every entity has some of; texts without it, most of all, need no look at the patterns.
-HINT = rf"[0-9@=:]|AKIA|ASIA|gh[pos]_|sk-|(?:{'|'.join(MALE + FEMALE + NEUTRAL)})[. ]"
+#: What every entity has: one of these characters, or one of these texts. Texts without, most of all, need no look at the patterns.
+HINT_CHARACTERS = "[0-9@=:]"
+_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "sk-", *MALE, *FEMALE, *NEUTRAL)
+HINT_TEXTS = tuple(x for x in _STARTS if not any(y in x for y in _STARTS if y != x))
 #: Syllables of surrogate names by script, and their endings by gender.
 SYLLABLES = {"latin": ("ba", "be", "do", "fa", "ga", "ha", "jo", "ka", "la", "lo", "ma", "mi", "na", "ne", "ra", "so"), "cyrillic": ("ба", "ве", "до", "за", "ко", "ла", "ли", "ма", "ми", "на", "не", "ра", "ро", "са", "та", "фе")}
 ENDINGS = {"latin": {"m": "rik", "f": "lina", "n": "ten"}, "cyrillic": {"m": "слав", "f": "мила", "n": "енко"}}
@@ -53,6 +55,13 @@ def entity_type(entity: Column) -> Column:
     return F.coalesce(kind, F.lit("other"))
 
 
+def may_have_entity(text: Column) -> Column:
+    found = text.rlike(HINT_CHARACTERS)
+    for hint in HINT_TEXTS:
+        found = found | text.contains(hint)
+    return found
+
+
 def _byte(seed: Column, i: Column) -> Column:
     """The i-th number from 0 to 65535 of a keyed stream."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", seed, i.cast("string")), 256), 1, 4), 16, 10).cast("int")
@@ -149,7 +158,7 @@ def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col:
     """
     scratch = Scratch(docs.sparkSession, "surrogates")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = F.when(may_have_entity(F.col("text")), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("found", found).withColumn("row_key", F.when(F.size("found") > 0, F.xxhash64("_id", "text")))
     # texts without an entity are done; the others go on by a key of their own
     met = scratch.table(rows.where("row_key is not null").select("row_key", F.explode(F.array_distinct("found")).alias("entity")), "entities")
