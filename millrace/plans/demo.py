@@ -6,6 +6,9 @@ parents and ties, wherever only the star schema's tables exist.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: The columns' domains.
@@ -115,24 +118,33 @@ TABLES: dict[str, dict[str, str]] = {
 SOURCES = ("customer", "orders", "lineitem", "part", "supplier", "nation")
 
 
-def demo_tables(spark: SparkSession, sf_dir: str, domain: str) -> dict[str, DataFrame]:
-    """The domain's tables as plans over the star schema's Parquet files; a family reads only the columns that it names."""
-    sources = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCES}
-    out = {}
-    for name, text in TABLES[domain].items():
-        for t in SOURCES:
-            # a name after FROM or a comma is a table; each becomes a parameter of this one statement
-            text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"FROM {t})", f"FROM {{{t}}})")
-            text = text[: -len(t)] + f"{{{t}}}" if text.endswith(f"FROM {t}") else text
-        used = {t: df for t, df in sources.items() if f"{{{t}}}" in text}
-        out[name] = spark.sql(text, **used)
-    return out
+class DemoTables(Mapping):
+    """The domain's tables as plans over the star schema's Parquet files, each made when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, domain: str):
+        self.spark, self.sf_dir, self.texts, self.made = spark, sf_dir, TABLES[domain], {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            # each source's name after FROM becomes a parameter of the statement
+            text = re.sub(r"\bFROM (" + "|".join(SOURCES) + r")\b", r"FROM {\1}", self.texts[name])
+            used = {t: self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in SOURCES if f"{{{t}}}" in text}
+            self.made[name] = self.spark.sql(text, **used)
+        return self.made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.texts)
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+
+def demo_tables(spark: SparkSession, sf_dir: str, domain: str) -> DemoTables:
+    return DemoTables(spark, sf_dir, domain)
 
 
 def demo_sql(domain: str, query: str) -> str:
     """A query over a domain's tables as one statement over the star schema's tables."""
-    import re
-
     from_star = [f"star_{t} AS (SELECT * FROM {t})" for t in SOURCES]
     views = []
     for name, text in TABLES[domain].items():

@@ -35,7 +35,7 @@ _DIFFERENCE = re.compile(r"SUM\((.+?) - (.+?) @DAYS\)")
 
 def metric(spark: SparkSession, tables: Mapping[str, DataFrame], domain: str, name: str) -> DataFrame:
     text = _DIFFERENCE.sub(r"SUM(DATEDIFF(\1, \2))", METRICS[domain, name])
-    used = {t: df for t, df in tables.items() if re.search(rf"\b(?:FROM|JOIN) {t}\b", text)}
+    used = {t: tables[t] for t in tables if re.search(rf"\b(?:FROM|JOIN) {t}\b", text)}
     for t in used:
         text = re.sub(rf"\b(FROM|JOIN) {t}\b(?! AS)", rf"\1 {{{t}}} AS {t}", text)
         text = re.sub(rf"\b(FROM|JOIN) {t} AS", rf"\1 {{{t}}} AS", text)
