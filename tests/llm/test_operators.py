@@ -256,6 +256,39 @@ def test_decontamination_in_blocks(leaky, monkeypatch):
     assert found == leaks
 
 
+def test_no_paraphrase_is_lost_to_the_projection(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{a}{b}" for a in ("ka", "lo", "mi", "re", "su") for b in range(400)]
+    # a few words are in every text, most are rare
+    chance = 1 / np.arange(1, len(vocabulary) + 1)
+    pick = lambda n: rng.choice(vocabulary, n, p=chance / chance.sum()).tolist()
+    items = [pick(int(n)) for n in rng.integers(15, 55, 150)]
+    texts = []
+    for x in items:
+        lead = len(x) - len(x) // 4
+        other = set(rng.choice(lead, int(0.4 * len(x)), replace=False).tolist())
+        body, at = pick(200), int(rng.integers(0, 200))
+        texts.append(" ".join(body[:at] + [pick(1)[0] if j in other else w for j, w in enumerate(x)] + body[at:]))
+    expected = set()
+    for doc, text in enumerate(texts):
+        words = np.array([hash(w) for w in text.split()])
+        for item, x in enumerate(items):
+            target, wide = np.array([hash(w) for w in x]), max(2, -(-(len(x) + decontaminate.STEP // 2) // decontaminate.STEP))
+            for step in range(max(1, -(-len(words) // decontaminate.STEP) - wide + 1)):
+                passage = words[max(0, step - 1) * decontaminate.STEP : (step + wide + 1) * decontaminate.STEP]
+                if np.isin(target, passage).mean() < 0.6:
+                    continue
+                lcs = decontaminate.common_subsequence(target, passage).mean()
+                if lcs >= 0.75 or (lcs >= 0.6 and decontaminate.common_subsequence(target[-(len(x) // 4) :], passage).mean() >= 0.7):
+                    expected.add((doc, item))
+    assert len({d for d, _ in expected}) > 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(j, " ".join(x)) for j, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(docs, benchmark).collect()} == expected
+    # not even where no cosine is enough
+    assert {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(docs, benchmark, floor=9.0).collect()} == expected
+
+
 def test_answers_are_checked(spark):
     text = " ".join(f"word{i}" for i in range(40))
     doc = " ".join(f"word{i}" if i % 3 else "other" for i in range(40))
