@@ -25,8 +25,8 @@ _LOCAL = r"[A-Za-z0-9_+-]++(?:\.[A-Za-z0-9_+-]++)*+"
 #: Patterns by type, in the order in which they are tried.
 PATTERNS = {
     "email": rf"\b{_LOCAL}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,64}\b",
-    "secret": r"(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.-]{6,128}",
+    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}+\b",
+    "secret": r"(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.-]{6,}+",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",

@@ -421,6 +421,17 @@ def test_surrogates(spark):
     assert surrogates.replace_pii(docs.limit(0), key="k").count() == 0
 
 
+def test_long_secrets_are_replaced_whole(spark):
+    long, bare = "abc123XYZ_" * 40 + "TAIL9", "q7" * 150
+    docs = spark.createDataFrame([(1, f'token = "{long}" end'), (2, f"use sk-{bare}, please"), (3, f"password: {long}=")], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.replace_pii(docs, key="k").collect()}
+    assert all(r.n_entities == 1 for r in got.values())
+    shape = "(?:[a-z]{3}[0-9]{3}[A-Z]{3}_){40}[A-Z]{4}[0-9]"
+    assert re.fullmatch(f'token = "{shape}" end', got[1].text) and re.fullmatch("use sk-(?:[a-z][0-9]){150}, please", got[2].text) and re.fullmatch(f"password: {shape}=", got[3].text)
+    assert long[-20:] not in got[1].text + got[3].text and bare[-20:] not in got[2].text
+    assert got[1].kinds == got[3].kinds == '{"secret":1}' and got[2].kinds == '{"key":1}'
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     from millrace.llm.scratch import Scratch
 
