@@ -23,8 +23,6 @@ from .text import Words, per_row, slices
 
 #: Most labelled documents that the model is fitted on, those with the smallest hashes.
 FIT_DOCS = 4_000
-#: Lines of one document that training looks at; scoring looks at all.
-FIT_LINES = 200
 #: Rounds of relabelling, and gradient steps.
 ROUNDS, STEPS = 3, 150
 #: A document is predicted good from this score on.
@@ -216,9 +214,8 @@ def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for batch in batches:
         for part in slices(batch, "text"):
             x, size, first = line_features(part.column("text"))
-            last = np.minimum(first[1:], first[:-1] + FIT_LINES)
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"), part.column("mark"), pa.array([x[a:b].tobytes() for a, b in zip(first[:-1], last, strict=True)], pa.binary()), pa.array([size[a:b].tobytes() for a, b in zip(first[:-1], last, strict=True)], pa.binary())],
+                [part.column("label"), part.column("mark"), pa.array([x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.array([size[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())],
                 names=["label", "mark", "features", "sizes"],
             )
 

@@ -441,6 +441,15 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(table) == table.surrogate.nunique() == 78 and not set(table.surrogate) & set(table.entity)
 
 
+def test_line_crf_learns_from_all_lines():
+    import pyarrow as pa
+
+    texts = ["\n".join(f"line {i} of a long document" for i in range(n)) for n in (3, 700)]
+    batch = pa.RecordBatch.from_pydict({"label": [1, 0], "mark": [5, 6], "text": texts})
+    sizes = [np.frombuffer(s, np.float64) for b in line_crf._collect_features(iter([batch])) for s in b.column("sizes").to_pylist()]
+    assert [len(s) for s in sizes] == [3, 700]
+
+
 def test_line_crf_marginals_are_those_of_all_labellings():
     rng = np.random.default_rng(6)
     first = np.array([0, 4, 4, 5, 10])
