@@ -24,6 +24,9 @@ def committed(uri: str) -> Iterator:
     try:
         with fs.open_output_stream(attempt) as out:
             yield out
+        if fs.get_file_info(path).type != pafs.FileType.NotFound:
+            # an earlier attempt's; not every file system moves onto it
+            fs.delete_file(path)
         fs.move(attempt, path)
     except BaseException:
         if fs.get_file_info(attempt).type != pafs.FileType.NotFound:
@@ -31,6 +34,15 @@ def committed(uri: str) -> Iterator:
         raise
 
 
+@contextmanager
+def written(uri: str) -> Iterator:
+    """An output stream to a name that no other attempt has; only who is told the name reads the file."""
+    fs, path = file_system(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(path) as out:
+        yield out
+
+
 def opened(uri: str):
     fs, path = file_system(uri)
     return fs.open_input_file(path)

@@ -116,10 +116,30 @@ def test_jaccard_join_with_null_and_repeated_ids(spark, none):
     assert jaccard.ngram_jaccard_join(none).count() == 0
 
 
-def test_linked_sets_share_a_part():
+@pytest.mark.parametrize(("width", "num", "den"), [(3, 90, 100), (5, 8, 10)])
+def test_jaccard_join_with_passages_that_many_texts_share(spark, width, num, den, monkeypatch):
+    """Clusters of edited copies that hold the same few passages, and texts of little but a passage."""
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    rng = np.random.default_rng(29)
+    passages = [rng.choice(WORDS, 60).tolist() for _ in range(3)]
+    texts = []
+    for k in range(40):
+        base = rng.choice(WORDS, rng.integers(10, 80)).tolist() + passages[k % 3] + rng.choice(WORDS, rng.integers(1, 20)).tolist()
+        for _ in range(rng.integers(1, 12)):
+            copy = list(base)
+            for at in rng.integers(0, len(copy), rng.integers(0, 4)):
+                copy[at] = str(rng.choice(WORDS))
+            texts.append(" ".join(copy))
+    texts += [" ".join([*p, *rng.choice(WORDS, n).tolist()]) for p in passages for n in range(12)]
+    rows = list(enumerate(texts, 3))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), width=width, threshold=(num, den)).collect()}
+    assert got == brute_jaccard(rows, width, num, den)
+
+
+def test_linked_sets_show_a_common_shingle():
+    """For any order of the shingles, the same for all sets."""
     rng = np.random.default_rng(5)
     for num, den in ((9, 10), (8, 10), (95, 100), (1, 1)):
-        parts = jaccard.Parts(num, den)
         for _ in range(400):
             n = int(rng.integers(1, 300))
             a = rng.integers(0, 2**64, n, dtype=np.uint64)
@@ -128,7 +148,7 @@ def test_linked_sets_share_a_part():
             a, b = np.unique(a), np.unique(b)
             common = len(np.intersect1d(a, b))
             if len(b) and den * common >= num * (len(a) + len(b) - common):
-                assert set(parts.signatures(a).tolist()) & set(parts.signatures(b).tolist())
+                assert set(a[: jaccard.spare(len(a), num, den) + 1].tolist()) & set(b[: jaccard.spare(len(b), num, den) + 1].tolist())
 
 
 def base_counts(text):
