@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import functools
 import os
-from array import array
 
 import numpy as np
 
+from .text import Words
+
 #: Cached pre-tokens of a worker; beyond that a cache starts anew.
 MOST_CACHED = 800_000
+#: Marks that stand alone after a letter or digit; first bytes of letters of two bytes (Latin but for two signs, and Cyrillic).
+MARKS = ".,;:!?"
+_MARK = np.isin(np.arange(256), np.frombuffer(MARKS.encode(), np.uint8))
+_ALNUM = np.isin(np.arange(256), [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+_LEADS = np.isin(np.arange(256), [0xC3, 0xC4, 0xC5, 0xD0, 0xD1])
 
 
 def _cached(cache: dict, wanted: set, encode) -> None:
@@ -35,7 +41,12 @@ def byte_encoder(path: str) -> ByteEncoder:
 
 
 class ByteEncoder:
-    """Ids of texts by a byte-level BPE of the tokenizers library, as little-endian 32-bit bytes."""
+    """Ids of texts by a byte-level BPE of the tokenizers library.
+
+    Words are looked up by a 63-bit hash and a bit that says whether a space stands before them, a
+    whole slice of texts at a time; a cached word is a part of one long array of ids. A mark
+    behind a letter or digit at a word's end is a pre-token of its own and is taken apart.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,55 +54,114 @@ class ByteEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.first, self.spaced = {}, {}
-        self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?")), strict=True))
-        self.line_end = self._encode(["\n"])[0]
-        (self.line_id,) = np.frombuffer(self.line_end, np.uint32)
-
-    def _words(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of words that have no white space, each after `lead`; one text with line ends between them, which stay apart."""
-        ids = np.array(self.library.encode_batch_fast([lead + f"\n{lead}".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.append(np.flatnonzero(ids == self.line_id), len(ids)).tolist()
-        data, out, at = ids.tobytes(), [], 0
-        for cut in cuts:
-            out.append(data[4 * at : 4 * cut])
-            at = cut + 1
-        return out
-
-    def _spaced(self, words: set[str]) -> None:
-        """Cache words that follow a space; a mark right after a letter at a word's end is a pre-token of its own."""
-        ended = {w for w in words if w[-1] in self.marks and w[-2:-1].isalpha() and w not in self.spaced}
-        _cached(self.spaced, words - ended | {w[:-1] for w in ended}, lambda some: self._words(some, " "))
-        self.spaced.update([(w, self.spaced[w[:-1]] + self.marks[w[-1]]) for w in ended])
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, raw: np.ndarray, off: np.ndarray, texts: list[str]) -> list[bytes]:
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        #: The ids of a line end and of each mark; the ids of ASCII characters are looked up by their bytes.
+        self.single = np.zeros(128, np.uint32)
+        for c in "\n" + MARKS:
+            (self.single[ord(c)],) = self._encode([c])[0]
+        self.line_id = self.single[10]
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Sorted hashes of words, where each word's ids begin in the pool, and how many there are.
+        self.keys, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _append(self, ids: np.ndarray) -> int:
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+        self.pool[at : self.used] = ids
+        return at
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Cache words by their keys, which are odd after a space. They are encoded as lines of one text, and lines stay apart."""
+        begin, length = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        spaced = (keys & np.uint64(1)) == 1
+        for some, lead in ((np.flatnonzero(spaced), " "), (np.flatnonzero(~spaced), "")):
+            for i in range(0, len(some), 20_000):
+                part = some[i : i + 20_000]
+                ids = np.array(self._encode(["\n" + lead + f"\n{lead}".join([words[k] for k in part.tolist()])])[0], np.uint32)
+                cuts = np.append(np.flatnonzero(ids == self.line_id), len(ids))
+                begin[part] = self._append(ids) + cuts[:-1] + 1
+                length[part] = np.diff(cuts) - 1
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.begin, self.length = (np.insert(old, at, new) for old, new in ((self.keys, keys), (self.begin, begin), (self.length, length)))
+
+    def _places(self, keys: np.ndarray, word) -> np.ndarray:
+        """Places of sorted distinct keys in the cache; word(i) is the word of the i-th."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        if known.all():
+            return at
+        if len(self.keys) + int((~known).sum()) > MOST_CACHED:
+            self._forget()
+            known[:] = False
+        new = np.flatnonzero(~known)
+        self._learn(keys[new], [word(i) for i in new.tolist()])
+        return np.searchsorted(self.keys, keys)
+
+    def encode(self, col, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of a string column, one after another and each with the end id behind it, and the rows' bounds."""
+        w = Words(col)
+        raw, off, rows = w.raw, w.off, len(w.off) - 1
         plain = self._plain(raw, off)
-        lines = [[line.split(" ") for line in t.split("\n")] if p and not any(s in t for s in self.special) else None for t, p in zip(texts, plain, strict=True)]
-        first, spaced = set(), set()
-        for rows in lines:
-            for words in rows or ():
-                first.add(words[0])
-                spaced.update(words[1:])
-        _cached(self.first, first, lambda some: self._words(some, ""))
-        self._spaced(spaced)
-        whole = iter(self._encode([t for t, rows in zip(texts, lines, strict=True) if rows is None]))
-        out, first, spaced = [], self.first, self.spaced.__getitem__
-        for rows in lines:
-            if rows is None:
-                out.append(next(whole))
-                continue
-            parts = []
-            for words in rows:
-                parts.append(first[words[0]])
-                parts.extend(map(spaced, words[1:]))
-                parts.append(self.line_end)
-            parts.pop()
-            out.append(b"".join(parts))
-        return out
+        data = raw.tobytes()
+        for s in self.special:
+            at = data.find(s)
+            while at >= 0:
+                plain[np.searchsorted(off, at, "right") - 1] = False
+                at = data.find(s, at + 1)
+        rest = [r for r in np.flatnonzero(~plain).tolist() if off[r + 1] > off[r]]
+        whole = self._encode([data[off[r] : off[r + 1]].decode() for r in rest])
+
+        mine = np.repeat(plain, w.counts())
+        last = raw[w.ends - 1]
+        marked = mine & _MARK[last] & (w.ends - w.starts > 1)
+        # the byte before the mark: an ASCII letter or digit, or the end of a letter of two bytes
+        one, two = raw[np.maximum(w.ends - 2, 0)], raw[np.maximum(w.ends - 3, 0)]
+        marked &= _ALNUM[one] | (_LEADS[two] & (one >= 0x80) & ((two != 0xC3) | ((one != 0x97) & (one != 0xB7))) & (w.ends - w.starts > 2))
+        w.ends = w.ends - marked
+        starts, ends = w.starts[mine], w.ends[mine]
+        heads = np.zeros(len(raw) + 1, bool)
+        heads[off] = True
+        lined = ~heads[starts] & (raw[starts - 1] == 0x0A) if len(starts) else np.zeros(0, bool)
+        spaced = ~heads[starts] & ~lined
+        keys, place = np.unique((w.hashes()[mine] & ~np.uint64(1)) | spaced, return_inverse=True)
+        sample = np.zeros(len(keys), np.int64)
+        sample[place] = np.arange(len(place))
+        entry = self._places(keys, lambda i: data[starts[sample[i]] : ends[sample[i]]].decode())[place] if len(keys) else place
+
+        # the ids of a word, with a line end before and a mark behind it where these belong to it
+        marked, last = marked[mine], last[mine]
+        length = self.length[entry]
+        total = np.concatenate([[0], np.cumsum(length + lined + marked)])
+        flat = np.zeros(int(total[-1]), np.uint32)
+        flat[total[:-1][lined]] = self.line_id
+        flat[total[1:][marked] - 1] = self.single[last[marked]]
+        inner = np.ones(len(flat), bool)
+        inner[total[:-1][lined]] = False
+        inner[total[1:][marked] - 1] = False
+        before = np.cumsum(length) - length
+        flat[inner] = self.pool[np.repeat(self.begin[entry] - before, length) + np.arange(int(length.sum()))]
+        first = np.concatenate([[0], np.cumsum(np.where(plain, w.counts(), 0))])
+        size = total[first[1:]] - total[first[:-1]]
+        size[rest] = [len(x) for x in whole]
+        bounds = np.concatenate([[0], np.cumsum(size + (end_id is not None))])
+        out, cached = np.zeros(int(bounds[-1]), np.uint32), np.ones(int(bounds[-1]), bool)
+        if end_id is not None:
+            out[bounds[1:] - 1] = end_id
+            cached[bounds[1:] - 1] = False
+        for r, ids in zip(rest, whole, strict=True):
+            out[bounds[r] : bounds[r] + len(ids)] = ids
+            cached[bounds[r] : bounds[r] + len(ids)] = False
+        out[cached] = flat
+        return out, bounds
 
     @staticmethod
     def _plain(raw: np.ndarray, off: np.ndarray) -> np.ndarray:

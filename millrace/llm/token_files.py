@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .files import committed, opened
 from .pieces import byte_encoder
 from .scratch import Scratch
-from .text import column_bytes, slices
+from .text import slices
 
 MAGIC = b"MILLTOK1"
 #: Set bits from one select sample to the next.
@@ -138,28 +138,28 @@ class Shard:
         self.file.close()
 
 
-def write_shard(uri: str, documents: Iterator[tuple[int | None, bytes]], width: int) -> tuple[int, int]:
-    """Write documents (id, ids as 32-bit bytes) in ascending order of id, nulls first; returns how many, and their ids."""
-    bounds, ids, nulls = [0], [], 0
+def write_shard(uri: str, documents: Iterator[tuple[list[int | None], np.ndarray, np.ndarray]], width: int) -> tuple[int, int]:
+    """Write runs of documents (their ids, their token ids, and the bounds of these) in ascending order of id, nulls first; returns how many, and their token ids."""
+    ends, ids, nulls, tokens = [np.zeros(1, np.int64)], [], 0, 0
     with committed(uri) as out:
         out.write(MAGIC)
-        for doc, data in documents:
-            out.write(np.frombuffer(data, "<u4").astype(f"<u{width}").tobytes())
-            bounds.append(bounds[-1] + len(data) // 4)
-            if doc is None:
-                nulls += 1
-            else:
-                ids.append(doc)
-        at, least = len(MAGIC) + bounds[-1] * width, ids[0] if ids else 0
-        footer = {"width": width, "documents": len(bounds) - 1, "tokens": bounds[-1], "nulls": nulls, "least": least}
-        for name, values in (("bounds", np.array(bounds, np.int64)), ("ids", np.array(ids, np.int64) - least)):
+        for docs, flat, cut in documents:
+            out.write(flat.astype(f"<u{width}").tobytes())
+            ends.append(tokens + cut[1:])
+            tokens += len(flat)
+            nulls += docs.count(None)
+            ids.extend(d for d in docs if d is not None)
+        bounds, least = np.concatenate(ends), ids[0] if ids else 0
+        at = len(MAGIC) + tokens * width
+        footer = {"width": width, "documents": len(bounds) - 1, "tokens": tokens, "nulls": nulls, "least": least}
+        for name, values in (("bounds", bounds), ("ids", np.array(ids, np.int64) - least)):
             data = EliasFano.of(values).pack()
             out.write(data)
             footer[name] = [at, len(data)]
             at += len(data)
         tail = json.dumps(footer).encode()
         out.write(tail + struct.pack("<Q8s", len(tail), MAGIC))
-    return len(bounds) - 1, bounds[-1]
+    return len(bounds) - 1, tokens
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,17 +171,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int =
     scratch = Scratch(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = byte_encoder(tokenizer), struct.pack("<I", end_id)
+        encoder = byte_encoder(tokenizer)
         task = TaskContext.get().partitionId()
         uri = f"{folder}/shard-{task:08d}.tok"
 
-        def documents() -> Iterator[tuple[int | None, bytes]]:
+        def documents() -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
             for batch in batches:
                 for part in slices(batch, "text"):
-                    raw, off = column_bytes(part.column("text"))
-                    texts = [t or "" for t in part.column("text").to_pylist()]
-                    for doc, ids in zip(part.column("id").to_pylist(), encoder.encode(raw, off, texts), strict=True):
-                        yield doc, ids + end
+                    yield part.column("id").to_pylist(), *encoder.encode(part.column("text"), end_id)
 
         n, tokens = write_shard(uri, documents(), 2 if max(encoder.vocabulary - 1, end_id) < 1 << 16 else 4)
         if n:
@@ -212,7 +209,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_tokens(manifest: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document in the shards of a manifest, from the files themselves."""
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n_tokens")
-    placed = manifest.withColumn("start", before).select("uri", "start").repartition("uri")
+    # a number of partitions that is given stays: one task a shard
+    placed = manifest.withColumn("start", before).select("uri", "start").repartition(max(1, manifest.count()))
     return placed.mapInArrow(_read, "_id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("_id", id_col)
 
 

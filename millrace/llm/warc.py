@@ -140,7 +140,8 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _OUT, strict=True)], schema=_OUT)
 
-    return manifest.select("uri").repartition("uri").mapInArrow(run, _OUT_SQL)
+    # a number of partitions that is given stays: one task an archive
+    return manifest.select("uri").repartition(max(1, manifest.count())).mapInArrow(run, _OUT_SQL)
 
 
 def warc_archive(pages: DataFrame, *, folder: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:

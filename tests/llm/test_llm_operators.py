@@ -342,7 +342,7 @@ def test_a_shard_gives_any_document(tmp_path):
     rng = np.random.default_rng(4)
     ids = [rng.integers(0, 60000, n).astype("<u4") for n in (3, 0, 5, 1, 0, 0, 9)]
     uri = f"file://{tmp_path}/s.tok"
-    token_files.write_shard(uri, iter([(k, x.tobytes()) for k, x in zip([None, None, 3, 3, 8, 9, 12], ids, strict=True)]), 2)
+    token_files.write_shard(uri, iter([([k], x, np.array([0, len(x)])) for k, x in zip([None, None, 3, 3, 8, 9, 12], ids, strict=True)]), 2)
     shard = token_files.Shard(uri)
     assert all((shard.tokens_of(i, i + 1) == x).all() for i, x in enumerate(ids))
     assert shard.doc_ids(0, 7) == [None, None, 3, 3, 8, 9, 12] and shard.doc_ids(1, 4) == [None, 3, 3]

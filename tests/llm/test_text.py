@@ -87,8 +87,10 @@ def piece_counter():
 
 
 def byte_ids(encoder, texts):
-    raw, off = column_bytes(pa.array(texts, pa.string()))
-    return [np.frombuffer(x, np.uint32).tolist() for x in encoder.encode(raw, off, texts)]
+    flat, bounds = encoder.encode(pa.array(texts, pa.string()))
+    ended, cut = encoder.encode(pa.array(texts, pa.string()), 2)
+    assert (ended[cut[1:] - 1] == 2).all() and np.delete(ended, cut[1:] - 1).tolist() == flat.tolist()
+    return [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def test_byte_ids_of_odd_texts(byte_encoder):
