@@ -62,12 +62,15 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
 class Words:
     """Words of the rows of a string column, in order: starts, ends, and of each row the first word's number."""
 
-    def __init__(self, col, lower: bool = False, solid: np.ndarray | None = None):
-        """solid: a flag for each byte value that belongs to words, if other than all but white space."""
+    def __init__(self, col, lower: bool = False, fold=None):
+        """fold: gives the bytes to hash, as many as there are, and a flag for each that belongs to a word, if words are other than above."""
         self.raw, self.off = column_bytes(col)
         self.bytes = lower_ascii(self.raw) if lower else self.raw
         n = len(self.raw)
-        solid = ~_SPACE[self.raw] if solid is None else solid[self.raw]
+        if fold is None:
+            solid = ~_SPACE[self.raw]
+        else:
+            self.bytes, solid = fold(self.raw)
         edge = np.zeros(n + 1, bool)
         edge[self.off] = True
         first, last = solid.copy(), solid.copy()

@@ -269,6 +269,16 @@ def test_decontamination(spark, leaky, none):
     assert decontaminate.decontaminate(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_folds_case_and_marks_of_any_script(spark):
+    item = "сколько всего городов лежит на берегах большой северной реки ответ на этот вопрос равен сорока двум"
+    latin = "wie viele große städte liegen am ufer des längsten flusses im norden die antwort lautet zweiundvierzig"
+    benchmark = spark.createDataFrame([(1, item), (2, latin)], "item_id long, text string")
+    quoted = "“" + "” «".join(item.split()) + "»…"
+    rows = [(1, "до того. " + item.upper() + "! после"), (2, quoted), (3, " — ".join(latin.title().split())), (4, "совсем другой текст о погоде " * 9), (5, "\U0001f642 ﬀ K ẞ " + item)]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
+    assert found == {(1, 1), (2, 1), (3, 2), (5, 1)}
+
+
 def test_decontamination_in_blocks(leaky, monkeypatch):
     docs, benchmark, leaks = leaky
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 11)
