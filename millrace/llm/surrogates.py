@@ -1,12 +1,15 @@
 """Personal data replaced by keyed surrogates, with SQL functions only.
 
-Entities are found by one alternation of patterns. Distinct entities make a table,
+Entities are found by one alternation of patterns, and in a text with names also where a part of one of
+them stands alone. Distinct entities and distinct parts of names make a table,
 in which each gets a surrogate from a keyed hash of itself: digits stay digits,
 letters stay letters of their case and script, separators, lengths, country codes,
-domains' last parts and issuers' first digits stay, card numbers keep
-their checksum, and names keep their title and gender. Surrogates that meet each other or a real
-entity are drawn again until all are distinct, so equal entities stay equal and different ones
-different across the corpus. The table is joined back on the entity.
+domains' last parts and issuers' first digits stay, card and bank account numbers keep
+their checksums. A name keeps its title; its parts are replaced one by one, by parts of the same script and, for given
+names, the title's gender, so that a person's surname is the same with a given name, without it, and
+without a title. Surrogates that meet each other or something real
+are drawn again until all are distinct, so equal entities stay equal and different ones
+different across the corpus. The table is joined back to the texts.
 """
 
 from __future__ import annotations
@@ -96,82 +99,134 @@ def _card(entity: Column, seed: Column) -> Column:
     return F.when(_luhn(F.regexp_replace(entity, "[^0-9]", "")) == 0, valid).otherwise(drawn)
 
 
-def _name(entity: Column, key: Column, attempt: Column) -> Column:
-    """Title kept; each part by its own hash, so that a surname alone and with a first name agree."""
-    parts = F.split(entity, " ")
-    title = F.regexp_replace(parts[0], r"\.", "")
+def name_keys(entity: Column) -> Column:
+    """Of a name its parts' keys, in order and for each of its words: the gender of a given name (m, f or n), n for a surname, and the part."""
+    words = F.split(entity, " ")
+    title = F.regexp_replace(words[0], r"\.", "")
     gender = F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f").otherwise("n")
-    script = F.when(entity.rlike(r" .*\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-
-    def part(text: Column, kind: Column) -> Column:
-        seed = F.concat_ws("|", key, kind, text, F.when(attempt > 0, attempt.cast("string")).otherwise(""))
-        out = F.lit("")
-        for s, syllables in SYLLABLES.items():
-            pick = lambda k, v=syllables: F.element_at(F.array(*map(F.lit, v)), F.pmod(_byte(seed, F.lit(k)), F.lit(len(v))) + 1)  # noqa: E731, B023
-            end = F.lit("")
-            for g, e in ENDINGS[s].items():
-                end = F.when(kind == g, e).otherwise(end)
-            out = F.when(script == s, F.initcap(F.concat(pick(0), pick(1), pick(2), end))).otherwise(out)
-        return out
-
-    rest = F.slice(parts, 2, F.size(parts))
+    rest = F.slice(words, 2, F.size(words))
     # of two names the last is the surname, which has no gender; a name alone is a surname too
-    drawn = F.transform(rest, lambda p, i: F.when(i == F.size(rest) - 1, part(p, F.lit("n"))).otherwise(part(p, gender)))
-    return F.concat_ws(" ", F.concat(F.array(parts[0]), drawn))
+    of = lambda i: F.when(i == F.size(rest) - 1, F.lit("n")).otherwise(gender)
+    return F.transform(rest, lambda w, i: F.transform(F.split(w, "-"), lambda p: F.concat(of(i), F.lit(":"), p)))
 
 
-def surrogate(entity: Column, kind: Column, key: Column, attempt: Column) -> Column:
-    """A surrogate of the entity's type and format, a function of key, entity and attempt."""
+def _part(entity: Column, seed: Column, syllables: Column) -> Column:
+    """A part of a name of the script and gender of this one, of so many syllables."""
+    digits = F.slice(F.split(F.sha2(seed, 256), ""), F.lit(1), syllables)
+    out = F.lit("")
+    for script, pattern in (("latin", "^"), ("cyrillic", r"\p{IsCyrillic}")):
+        table = F.create_map(*(x for i, v in enumerate(SYLLABLES[script]) for x in (F.lit(f"{i:x}"), F.lit(v))))
+        end = F.lit("")
+        for gender, ending in ENDINGS[script].items():
+            end = F.when(F.substring(entity, 1, 1) == gender, ending).otherwise(end)
+        drawn = F.initcap(F.concat(F.array_join(F.transform(digits, lambda d: F.element_at(table, d)), ""), end))  # noqa: B023
+        out = F.when(entity.rlike(pattern), drawn).otherwise(out)
+    return out
+
+
+def _mod97(text: Column) -> Column:
+    """A bank account number, country code and check digits last, modulo 97; letters count from 10."""
+    digits = F.transform(F.filter(F.split(text, ""), lambda c: c.rlike("[0-9A-Z]")), lambda c: F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55))
+    return F.aggregate(digits, F.lit(0), lambda a, d: F.pmod(F.when(d > 9, a * 100 + d).otherwise(a * 10 + d), F.lit(97)))
+
+
+def _iban(entity: Column, seed: Column) -> Column:
+    drawn = _characters(entity, seed, F.lit(4))
+    turned = lambda x, check: F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, 1, 2), check)
+    check = F.lpad((98 - _mod97(turned(drawn, F.lit("00")))).cast("string"), 2, "0")
+    valid = F.concat(F.substring(drawn, 1, 2), check, F.substring(drawn, F.lit(5), F.length(drawn)))
+    return F.when(_mod97(turned(entity, F.substring(entity, 3, 2))) == 1, valid).otherwise(_characters(entity, seed, F.lit(2)))
+
+
+def surrogate(entity: Column, kind: Column, key: Column, attempt: Column, syllables: int = 3) -> Column:
+    """A surrogate of the entity's type and format, a function of key, entity and attempt; of a part of a name, with a syllable more at each attempt."""
     seed = F.concat_ws("|", key, kind, entity, attempt.cast("string"))
     at = F.instr(entity, "@")
     email = F.concat(_characters(F.substring(entity, F.lit(1), at - 1), seed, F.lit(0)), F.lit("@"), _characters(F.regexp_extract(entity, r"@(.*\.)", 1), F.concat(seed, F.lit("d")), F.lit(0)), F.regexp_extract(entity, r"\.([^.]*)$", 1))
     ip = F.concat_ws(".", *(F.pmod(_byte(seed, F.lit(i)), F.lit(254)) + 1 for i in range(4)))
     head = F.regexp_extract(entity, r"(?i)^([a-z_-]+[\"']?\s*[=:]\s*[\"']?)", 1)
     secret = F.concat(head, _characters(F.substring(entity, F.length(head) + 1, F.length(entity)), seed, F.lit(0)))
-    prefix = F.length(F.regexp_extract(entity, r"^(AKIA|ASIA|gh[pos]_|sk-|[A-Z]{2}(?=\d{2})|\+\d{1,3}(?=\D))", 1))
+    prefix = F.length(F.regexp_extract(entity, r"^(AKIA|ASIA|gh[pos]_|sk-|\+\d{1,3}(?=\D))", 1))
     plain = _characters(entity, seed, prefix)
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "secret", secret).when(kind == "card", _card(entity, seed)).when(kind == "name", _name(entity, key, attempt)).otherwise(plain)
+    part = _part(entity, seed, attempt + syllables)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "secret", secret).when(kind == "card", _card(entity, seed)).when(kind == "iban", _iban(entity, seed)).when(kind == "name", part).otherwise(plain)
 
 
 def surrogate_table(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(entity, kind, surrogate) of distinct entities: no surrogate twice, and none that is an entity."""
-    named = lambda t: t.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), F.lit(key), F.col("attempt")))
-    now = scratch.table(named(entities.withColumn("kind", entity_type(F.col("entity"))).withColumn("attempt", F.lit(0))), "surrogates")
+    """(entity, kind, surrogate) of distinct (entity, kind): no surrogate twice, and none that is an entity; of names, entities are keys of parts.
+
+    More entities of a format than it has values cannot all differ; such formats share surrogates after MOST_ROUNDS.
+    """
+    entities = scratch.table(entities, "distinct")
+    syllables, names = 3, entities.where("kind = 'name'").count()
+    while 16**syllables < 64 * names:
+        syllables += 1
+    named = lambda t: t.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), F.lit(key), F.col("attempt"), syllables))
+    word = F.when(F.col("kind") == "name", F.substring("entity", F.lit(3), F.length("entity"))).otherwise(F.col("entity"))
+    real = entities.select(word.alias("surrogate")).distinct()
+    now = scratch.table(named(entities.withColumn("attempt", F.lit(0))), "surrogates")
     for _ in range(MOST_ROUNDS):
         twice = now.withColumn("rank", F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "entity"))).where("rank > 1").select("entity")
-        real = now.join(entities.select(F.col("entity").alias("surrogate")), "surrogate", "left_semi").select("entity")
-        clash = scratch.table(twice.union(real).distinct(), "clashes")
+        clash = scratch.table(twice.union(now.join(real, "surrogate", "left_semi").select("entity")).distinct(), "clashes")
         if not clash.limit(1).count():
-            return now.select("entity", "kind", "surrogate")
+            break
         again = named(now.join(clash, "entity", "left_semi").withColumn("attempt", F.col("attempt") + 1).drop("surrogate"))
         now = scratch.table(now.join(clash, "entity", "left_anti").select("entity", "kind", "attempt", "surrogate").unionAll(again.select("entity", "kind", "attempt", "surrogate")), "surrogates")
-    raise RuntimeError("surrogates did not become distinct")
+    return now.select("entity", "kind", "surrogate")
+
+
+def _with_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, _id, text, found, kinds, parts) per row of docs: entities in order, their types, and the keys of its names' parts."""
+    none = F.array().cast("array<string>")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("found", F.when(may_have_entity(F.col("text")), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).otherwise(none))
+    rows = rows.withColumn("kinds", F.transform("found", entity_type))
+    of_names = F.filter(F.arrays_zip("found", "kinds"), lambda x: x["kinds"] == "name")
+    rows = rows.withColumn("parts", F.when(F.array_contains("kinds", "name"), F.array_distinct(F.flatten(F.flatten(F.transform(of_names, lambda x: name_keys(x["found"])))))).otherwise(none))
+    # where there are names, their parts are looked for as well, after the patterns
+    rows = rows.withColumn("found", F.when(F.size("parts") > 0, F.regexp_extract_all("text", _pattern(), F.lit(0))).otherwise(F.col("found")))
+    kinds = F.transform("found", lambda e: F.when(F.array_contains(_words(), e), "part").otherwise(entity_type(e)))
+    return rows.withColumn("kinds", F.when(F.size("parts") > 0, kinds).otherwise(F.col("kinds"))).withColumn("row", F.monotonically_increasing_id())
+
+
+def _words() -> Column:
+    """The parts of a row's names, without their genders."""
+    return F.transform("parts", lambda p: F.substring(p, F.lit(3), F.length(p)))
+
+
+def _pattern() -> Column:
+    """The patterns and a row's parts of names, which are letters and apostrophes."""
+    return F.concat(F.lit(ENTITY + r"|(?<![\p{L}\p{Nd}])(?:"), F.array_join(F.array_distinct(_words()), "|"), F.lit(r")(?![\p{L}\p{Nd}])"))
 
 
 def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_entities, kinds, text) per row of docs; text has every detected entity replaced.
 
-    kinds maps each type that was found to its count. The same key gives the same
+    kinds maps each type that was found to its count; a part of one of the text's names that stands alone counts as a name. The same key gives the same
     surrogates for the same set of entities. A null text stays null and an empty one empty, with 0 entities
     and no kinds; null ids and repeated rows stay as they are. Other columns are
     ignored. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "surrogates")
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    found = F.when(may_have_entity(F.col("text")), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("found", found).withColumn("row_key", F.when(F.size("found") > 0, F.xxhash64("_id", "text")))
-    # texts without an entity are done; the others go on by a key of their own
-    met = scratch.table(rows.where("row_key is not null").select("row_key", F.explode(F.array_distinct("found")).alias("entity")), "entities")
-    table = surrogate_table(scratch.table(met.select("entity").distinct(), "distinct"), key, scratch)
-    maps = met.distinct().join(table, "entity").groupBy("row_key").agg(F.collect_list(F.struct("entity", "surrogate", "kind")).alias("known"))
-    joined = rows.where("row_key is not null").join(maps, "row_key")
-    lookup = F.map_from_entries(F.transform("known", lambda k: F.struct(k["entity"], k["surrogate"])))
-    kind_of = F.map_from_entries(F.transform("known", lambda k: F.struct(k["entity"], k["kind"])))
-    between = F.split(F.col("text"), ENTITY, -1)
-    pieces = F.zip_with(between, F.col("found"), lambda a, e: F.concat(a, F.coalesce(F.element_at(F.col("lookup"), e), F.lit(""))))
-    kinds = F.transform("found", lambda e: F.element_at(F.col("kind_of"), e))
-    counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct("all_kinds")), lambda k: F.struct(k, F.size(F.filter("all_kinds", lambda x: x == k)))))
-    out = joined.withColumn("lookup", lookup).withColumn("kind_of", kind_of).withColumn("all_kinds", kinds)
-    changed = out.select(F.col("_id").alias(id_col), F.size("found").alias("n_entities"), F.to_json(counted).alias("kinds"), F.concat_ws("", pieces).alias("text"))
+    # texts are searched once; those without an entity are then done, the others go on by the number of their row
+    rows = scratch.table(_with_entities(docs, id_col, text_col), "found")
+    some = rows.where(F.size("found") > 0)
+    own = F.filter(F.arrays_zip("found", "kinds"), lambda x: ~x["kinds"].isin("name", "part"))
+    asked = F.concat(F.transform(own, lambda x: F.struct(x["found"].alias("entity"), x["kinds"].alias("kind"))), F.transform("parts", lambda p: F.struct(p.alias("entity"), F.lit("name").alias("kind"))))
+    met = scratch.table(some.select("row", F.explode(F.array_distinct(asked)).alias("e")).select("row", "e.*"), "entities")
+    table = surrogate_table(met.select("entity", "kind").distinct(), key, scratch)
+    maps = met.join(table, ["entity", "kind"]).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("known"))
+    out = some.join(maps, "row")
+
+    of = lambda e: F.try_element_at("known", e)
+    named = lambda e: F.concat_ws(" ", F.concat(F.array(F.substring_index(e, " ", 1)), F.transform(name_keys(e), lambda keys: F.array_join(F.transform(keys, of), "-"))))
+    alone = lambda e: F.coalesce(*(of(F.concat(F.lit(g), e)) for g in ("n:", "m:", "f:")))
+    changed = F.transform(F.arrays_zip("found", "kinds"), lambda x: F.when(x["kinds"] == "name", named(x["found"])).when(x["kinds"] == "part", alone(x["found"])).otherwise(of(x["found"])))
+    between = F.when(F.size("parts") > 0, F.split("text", _pattern(), -1)).otherwise(F.split("text", F.lit(ENTITY), -1))
+    types = F.transform("kinds", lambda k: F.when(k == "part", "name").otherwise(k))
+    out = out.withColumn("changed", changed).withColumn("between", between).withColumn("types", types)
+    pieces = F.zip_with("between", "changed", lambda a, e: F.concat(a, F.coalesce(e, F.lit(""))))
+    counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct("types")), lambda k: F.struct(k, F.size(F.filter("types", lambda x: x == k)))))
+    replaced = out.select(F.col("_id").alias(id_col), F.size("found").alias("n_entities"), F.to_json(counted).alias("kinds"), F.concat_ws("", pieces).alias("text"))
     # texts without an entity are not shuffled
-    return changed.unionAll(rows.where("row_key is null").select(F.col("_id").alias(id_col), F.lit(0).alias("n_entities"), F.lit(None).cast("string").alias("kinds"), "text"))
+    return replaced.unionAll(rows.where(F.size("found") == 0).select(F.col("_id").alias(id_col), F.lit(0).alias("n_entities"), F.lit(None).cast("string").alias("kinds"), "text"))

@@ -466,11 +466,39 @@ def test_colliding_surrogates_are_drawn_again(spark):
     from millrace.llm.scratch import Scratch
 
     # 78 of 676 possible texts: some surrogates meet at first
-    emails = spark.range(26 * 3).select(F.concat(F.chr(97 + F.col("id") % 26), F.lit("@"), F.chr(97 + F.floor(F.col("id") / 26).cast("int")), F.lit(".org")).alias("entity"))
+    emails = spark.range(26 * 3).select(F.concat(F.chr(97 + F.col("id") % 26), F.lit("@"), F.chr(97 + F.floor(F.col("id") / 26).cast("int")), F.lit(".org")).alias("entity"), F.lit("email").alias("kind"))
     table = surrogates.surrogate_table(emails, "k", Scratch(spark, "test")).toPandas()
     assert len(table) == table.surrogate.nunique() == 78 and not set(table.surrogate) & set(table.entity)
 
 
+def test_names_stay_distinct_and_coreferent(spark):
+    """Against the mappings that the texts themselves show: one surrogate for each part wherever it stands, and none for two."""
+    rng = np.random.default_rng(12)
+    part = lambda: "".join(rng.choice(["ba", "de", "fi", "go", "hu", "ka", "le", "mi", "no", "ru"], 5)).capitalize()
+    surnames = sorted({part() for _ in range(9_000)})
+    given = sorted({part() for _ in range(60)} - set(surnames))
+    rows = [(i, f"Mr. {given[i % len(given)]} {x} came with Mrs {x}. {x}'s hat; Dr. {x}-{surnames[i - 1]}, {given[i % len(given)]}, no {x}ish") for i, x in enumerate(surnames)]
+    got = {r.doc_id: r for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    seen, firsts = {}, {}
+    for i, x in enumerate(surnames):
+        m = re.fullmatch(rf"Mr\. (\w+rik) (\w+ten) came with Mrs \2\. \2's hat; Dr\. \2-(\w+ten), \1, no {x}ish", got[i].text)
+        assert m and got[i].n_entities == 5 and got[i].kinds == '{"name":5}', got[i]
+        for part, new, table in ((x, m[2], seen), (surnames[i - 1], m[3], seen), (given[i % len(given)], m[1], firsts)):
+            assert table.setdefault(part, new) == new
+    assert len(set(seen.values())) == len(surnames) and len(set(firsts.values())) == len(given)
+    assert not (set(seen.values()) | set(firsts.values())) & (set(surnames) | set(given))
+
+
+def test_bank_accounts_stay_valid(spark):
+    iban = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606"]
+    valid = lambda x: int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    docs = spark.createDataFrame([(i, f"to {x} now") for i, x in enumerate([*iban, "DE00 3704 0044 0532 0130 00"])], "doc_id long, text string")
+    got = {r.doc_id: r.text[3:-4] for r in surrogates.replace_pii(docs, key="k").collect()}
+    for i, x in enumerate(iban):
+        assert got[i] != x and got[i][:2] == x[:2] and valid(got[i].replace(" ", "")) and re.sub(r"\d", "0", got[i])[4:].isupper() == re.sub(r"\d", "0", x)[4:].isupper()
+    assert got[3][:2] == "DE" and len(got[3]) == 27
+
+
 def test_line_crf_learns_from_all_lines():
     import pyarrow as pa
 
