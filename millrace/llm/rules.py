@@ -3,8 +3,9 @@
 A fixed base rule rejects short and repetitive texts. The other texts are judged
 by a vector of six transformed statistics against a minimum-covariance-determinant
 (MCD) estimate of their language and source: concentration steps from a
-median / MAD start, each one aggregation over all documents, then a cut-off on the
-squared Mahalanobis distance.
+median / MAD start, each one aggregation over all documents, until the determinants stop
+falling, then a cut-off on the squared Mahalanobis distance. Each estimate is drawn towards that of its language
+as if PRIOR_TEXTS of the language's texts belonged to it, so that a few texts don't judge themselves.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from .scratch import Scratch
 from .text import Words, column_bytes, mix, per_row, slices, windows
 
 P = 6
-#: Part of a group that a concentration step keeps, and how many such steps.
-SUPPORT, STEPS = 0.75, 4
-#: Groups with fewer texts are judged by their language, and that by all texts.
-SMALL = 100
+#: Part of a group that a concentration step keeps; most such steps; the fall of a determinant's logarithm that is worth another.
+SUPPORT, STEPS, FALL = 0.75, 12, 0.02
+#: Texts of its language that each group is given, and words of its language that its pooled ratios are given.
+PRIOR_TEXTS, PRIOR_RATIO_WORDS = 50, 5_000
+#: Tables with one row a group are broadcast up to so many rows (of 28 numbers); larger ones are joined by a shuffle.
+BROADCAST_GROUPS = 20_000
 #: Words of the group's pooled ratio that are added to each text's own counts.
 PRIOR_WORDS = 40
 #: Least standard deviation of each transformed statistic.
@@ -118,27 +121,26 @@ def _quantile_bins(bins: DataFrame, part: float, keys: list[str]) -> DataFrame:
     return bins.withColumn("up", F.sum("count").over(up)).withColumn("all", F.sum("count").over(Window.partitionBy(*keys))).where(F.col("up") >= part * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("bin"))
 
 
-def _solve(batches):
-    """Rows (key, n, means, products) to (key, m_*, i_*): the mean and the inverse of the covariance."""
-    for pdf in batches:
-        out = []
-        for r in pdf.itertuples(index=False):
-            n, mean = max(float(r.n), 1.0), np.array(r.sums, float) / max(float(r.n), 1.0)
-            cov = np.zeros((P, P))
-            cov[np.triu_indices(P)] = np.array(r.products, float) / n
-            cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
-            cov = cov * r.factor
-            cov[np.diag_indices(P)] = np.maximum(cov[np.diag_indices(P)], 0) + np.array(FLOOR) ** 2
-            inverse = np.linalg.inv(cov)
-            out.append((r.key, *mean, *inverse[np.triu_indices(P)]))
-        import pandas as pd
-
-        yield pd.DataFrame(out, columns=["key", *_PARAMS])
+_PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+_MEANS, _CELLS = [f"m{i}" for i in range(P)], [f"i{i}{j}" for i, j in _PAIRS]
+_SOLVED = "key string, " + ", ".join(f"{p} double" for p in _MEANS + _CELLS) + ", volume double"
 
 
-_PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
-_PARAMS = [f"m{i}" for i in range(P)] + [f"i{i}{j}" for i, j in _PAIRS]
-_SOLVED = "key string, " + ", ".join(f"{p} double" for p in _PARAMS)
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Moments of groups and their languages to (key, m_*, i_*, volume): mean, inverse covariance, and the logarithm of its determinant."""
+    at = chi2_quantile(SUPPORT)
+    factor = SUPPORT / _chi2(at, P + 2)
+    for batch in batches:
+        get = lambda names: np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1).astype(float)  # noqa: E731, B023
+        n, in_lang = get(["n"]), np.maximum(get(["l_n"]), 1)
+        mean = (get([f"s{i}" for i in range(P)]) + PRIOR_TEXTS * get([f"l_s{i}" for i in range(P)]) / in_lang) / (n + PRIOR_TEXTS)
+        cells = factor * (get([f"c{i}{j}" for i, j in _PAIRS]) + PRIOR_TEXTS * get([f"l_c{i}{j}" for i, j in _PAIRS]) / in_lang) / (n + PRIOR_TEXTS)
+        cov = np.zeros((len(n), P, P))
+        for k, (i, j) in enumerate(_PAIRS):
+            cov[:, i, j] = cov[:, j, i] = np.maximum(cells[:, k], 0) + FLOOR[i] ** 2 if i == j else cells[:, k]
+        inverse = np.linalg.inv(cov)
+        values = [*mean.T, *(inverse[:, i, j] for i, j in _PAIRS), np.linalg.slogdet(cov)[1]]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(v) for v in values)], names=["key", *_MEANS, *_CELLS, "volume"])
 
 
 def _distance() -> Column:
@@ -149,8 +151,13 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """A written table with a row for each group: to be broadcast if it is short enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
+
+
 def mcd(points: DataFrame, scratch: Scratch) -> DataFrame:
-    """MCD estimates (key, m_*, i_*) of points (key, x0 .. x5), by aggregations only."""
+    """MCD estimates (key, m_*, i_*, volume) of points (lang, key, x0 .. x5), by aggregations only."""
     bins = points.select("key", F.explode(F.array(*(F.struct(F.lit(i).alias("dim"), F.floor(F.col(f"x{i}") * BINS).alias("bin")) for i in range(P)))).alias("v")).select("key", "v.*").groupBy("key", "dim", "bin").agg(F.count("*").alias("count"))
     bins = scratch.table(bins, "bins")
     middle = _quantile_bins(bins, 0.5, ["key", "dim"]).select("key", "dim", ((F.col("bin") + 0.5) / BINS).alias("median"))
@@ -158,14 +165,20 @@ def mcd(points: DataFrame, scratch: Scratch) -> DataFrame:
     spread = _quantile_bins(away, 0.5, ["key", "dim"]).select("key", "dim", ((F.col("bin") + 0.5) / BINS * 1.4826).alias("mad"))
     start = middle.join(spread, ["key", "dim"]).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("dim", "median", "mad"))).alias("v"))
     pick = lambda i, f: F.col("v")[i][f]
-    estimate = scratch.table(start.select("key", *(pick(i, "median").alias(f"m{i}") for i in range(P)), *((1 / (pick(i, "mad") * pick(i, "mad") + FLOOR[i] ** 2) if i == j else F.lit(0.0)).alias(f"i{i}{j}") for i, j in _PAIRS)), "start")
+    cells = (((1 / (pick(i, "mad") * pick(i, "mad") + FLOOR[i] ** 2)) if i == j else F.lit(0.0)).alias(f"i{i}{j}") for i, j in _PAIRS)
+    estimate = scratch.table(start.select("key", *(pick(i, "median").alias(f"m{i}") for i in range(P)), *cells, F.lit(float("inf")).alias("volume")), "start")
+    x = [F.col(f"x{i}") for i in range(P)]
     for _ in range(STEPS):
-        near = points.join(estimate, "key").select("key", *(f"x{i}" for i in range(P)), F.floor(F.log2(_distance() + 1e-6) * OCTAVE).alias("bin"))
-        cut = _quantile_bins(near.groupBy("key", "bin").agg(F.count("*").alias("count")), SUPPORT, ["key"]).withColumnRenamed("bin", "cut")
-        kept = near.join(cut, "key").where("bin <= cut")
-        sums = kept.groupBy("key").agg(F.count("*").alias("n"), F.array(*(F.sum(f"x{i}") for i in range(P))).alias("sums"), F.array(*(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in _PAIRS)).alias("products"))
-        at = chi2_quantile(SUPPORT)
-        estimate = scratch.table(sums.withColumn("factor", F.lit(SUPPORT / _chi2(at, P + 2))).mapInPandas(_solve, _SOLVED), "estimate")
+        near = points.join(_few(estimate), "key").select("lang", "key", *x, F.floor(F.log2(_distance() + 1e-6) * OCTAVE).alias("bin"))
+        cut = scratch.table(_quantile_bins(near.groupBy("key", "bin").agg(F.count("*").alias("count")), SUPPORT, ["key"]).withColumnRenamed("bin", "cut"), "cut")
+        sums = near.join(_few(cut), "key").where("bin <= cut").groupBy("lang", "key").agg(F.count("*").alias("n"), *(F.sum(x[i]).alias(f"s{i}") for i in range(P)), *(F.sum(x[i] * x[j]).alias(f"p{i}{j}") for i, j in _PAIRS))
+        own = scratch.table(sums.select("lang", "key", "n", *(f"s{i}" for i in range(P)), *((F.col(f"p{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")).alias(f"c{i}{j}") for i, j in _PAIRS)), "moments")
+        in_lang = own.groupBy("lang").agg(*(F.sum(c).alias(f"l_{c}") for c in own.columns[2:]))
+        new = scratch.table(own.join(in_lang, "lang").drop("lang").mapInArrow(_solve, _SOLVED), "estimate")
+        fall = new.join(estimate.select("key", F.col("volume").alias("before")), "key").agg(F.max(F.col("before") - F.col("volume"))).first()[0]
+        estimate = new
+        if fall is None or fall <= FALL:
+            break
     return estimate
 
 
@@ -176,8 +189,8 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     windows. Others are kept unless their squared distance exceeds the cut-off.
     Null text is empty (base_failed); a null language or source is a value of its own;
     repeated rows count as often as they occur; texts that fail the base rule take no part in the
-    estimates (distance null). Groups under SMALL texts use their language's
-    estimate, and that all texts' one. Other columns are ignored. An empty table gives no rows.
+    estimates (distance null). Estimates of small groups are mostly their language's. Other columns are
+    ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "rules")
@@ -188,21 +201,15 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     counted = scratch.table(counted.withColumn("base_failed", failed), "counts")
 
     fine = counted.where("not base_failed")
-    by_own = fine.groupBy("lang", "own").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in _COUNTS))
-    by_own = scratch.table(by_own, "groups")
-    ratios = lambda t, keys: t.groupBy(*keys).agg(F.sum("n").alias("size"), *((F.sum(k) / F.sum("n_words")).alias(r) for k, r in (("word_chars", "r_chars"), ("n_symbols", "r_symbols"), ("n_upper", "r_upper"), ("n_marks", "r_marks"), ("n_repeat_words", "r_repeat"))))
-    per_lang = by_own.groupBy("lang").agg(F.sum("n").alias("in_lang"))
-    placed = by_own.join(per_lang, "lang").select("lang", "own", F.when(F.col("n") >= SMALL, F.concat(F.lit("s"), "own")).when(F.col("in_lang") >= SMALL, F.concat(F.lit("l"), "lang")).otherwise("g").alias("key"))
-    # the estimates that a text takes part in: its own group's, and those that small groups look up
-    needed = placed.groupBy("lang").agg(F.max(F.col("key").startswith("l")).alias("lang_used"))
-    any_all = placed.where("key = 'g'").limit(1).count() > 0
-    keys = placed.join(needed, "lang").select("own", "key", F.array_distinct(F.concat(F.array("key"), F.when(F.col("lang_used"), F.array(F.concat(F.lit("l"), "lang"))).otherwise(F.array().cast("array<string>")), F.array(F.lit("g")) if any_all else F.array().cast("array<string>"))).alias("keys"))
-    keys = scratch.table(keys, "keys")
-    pooled = keys.join(by_own.drop("lang"), "own").select(F.explode("keys").alias("k"), "n", *_COUNTS)
-    pooled = scratch.table(ratios(pooled.withColumnRenamed("k", "key"), ["key"]), "pooled")
-
-    points = lambda t: t.join(pooled, "key").select(*[c for c in ("_id", "key") if c in t.columns], *(v.alias(f"x{i}") for i, v in enumerate(_vector())))
-    estimates = mcd(scratch.table(points(fine.join(keys.select("own", "keys"), "own").select(F.explode("keys").alias("key"), *_COUNTS)), "points"), scratch)
-    judged = counted.join(keys.select("own", "key"), "own", "left").join(pooled, "key", "left").withColumns({f"x{i}": v for i, v in enumerate(_vector())}).join(estimates, "key", "left")
+    groups = scratch.table(fine.groupBy("lang", "own").agg(*(F.sum(c).alias(c) for c in _COUNTS)), "groups")
+    of = (("word_chars", "r_chars"), ("n_symbols", "r_symbols"), ("n_upper", "r_upper"), ("n_marks", "r_marks"), ("n_repeat_words", "r_repeat"))
+    in_lang = groups.groupBy("lang").agg(F.sum("n_words").alias("l_words"), *(F.sum(k).alias(f"l_{k}") for k, _ in of))
+    ratios = ((F.col(k) + PRIOR_RATIO_WORDS * F.col(f"l_{k}") / F.col("l_words")) / (F.col("n_words") + PRIOR_RATIO_WORDS) for k, _ in of)
+    pooled = _few(scratch.table(groups.join(in_lang, "lang").select("own", *(r.alias(name) for r, (_, name) in zip(ratios, of, strict=True))), "pooled"))
+
+    vector = [v.alias(f"x{i}") for i, v in enumerate(_vector())]
+    points = scratch.table(fine.join(pooled, "own").select("lang", F.col("own").alias("key"), *vector), "points")
+    estimates = _few(mcd(points, scratch))
+    judged = counted.join(pooled, "own", "left").withColumns({f"x{i}": v for i, v in enumerate(_vector())}).join(estimates.withColumnRenamed("key", "own"), "own", "left")
     distance = F.when(~F.col("base_failed"), _distance())
     return judged.select(F.col("_id").alias(id_col), *_COUNTS[:5], "base_failed", (~F.col("base_failed") & F.coalesce(distance <= chi2_quantile(cutoff), F.lit(True))).alias("kept"), distance.alias("distance"))

@@ -159,22 +159,41 @@ def base_counts(text):
     return len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in text or ""), len(lines) - len(set(lines)), len(seen)
 
 
-def brute_mcd(x):
-    """Concentration steps on one group, in plain numpy."""
+def brute_mcd(x, lang, key):
+    """Concentration steps on all groups, in plain numpy."""
     quantile = lambda v, q: np.sort(v)[max(0, math.ceil(q * len(v)) - 1)]
-    bins = np.floor(x * rules.BINS)
-    middle = np.array([(quantile(b, 0.5) + 0.5) / rules.BINS for b in bins.T])
-    mad = np.array([(quantile(np.abs(b - np.floor(m * rules.BINS)), 0.5) + 0.5) / rules.BINS * 1.4826 for b, m in zip(bins.T, middle, strict=True)])
-    mean, inverse = middle, np.diag(1 / (mad**2 + np.array(rules.FLOOR) ** 2))
+    rows = {k: np.flatnonzero(key == k) for k in sorted(set(key))}
+    lang_of = {k: lang[r[0]] for k, r in rows.items()}
+    floor = np.diag(np.array(rules.FLOOR) ** 2)
+    model = {}
+    for k, r in rows.items():
+        bins = np.floor(x[r] * rules.BINS)
+        middle = np.array([(quantile(b, 0.5) + 0.5) / rules.BINS for b in bins.T])
+        mad = np.array([(quantile(np.abs(b - np.floor(m * rules.BINS)), 0.5) + 0.5) / rules.BINS * 1.4826 for b, m in zip(bins.T, middle, strict=True)])
+        model[k] = middle, np.linalg.inv(np.diag(mad**2) + floor), np.inf
     factor = rules.SUPPORT / rules._chi2(rules.chi2_quantile(rules.SUPPORT), rules.P + 2)
+    distance = lambda k: np.maximum(np.einsum("ij,jk,ik->i", x[rows[k]] - model[k][0], model[k][1], x[rows[k]] - model[k][0]), 0)
     for _ in range(rules.STEPS):
-        d = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
-        b = np.floor(np.log2(np.maximum(d, 0) + 1e-6) * rules.OCTAVE)
-        kept = x[b <= quantile(b, rules.SUPPORT)]
-        mean = kept.mean(0)
-        cov = (kept - mean).T @ (kept - mean) / len(kept) * factor
-        inverse = np.linalg.inv(cov + np.diag(np.array(rules.FLOOR) ** 2))
-    return np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+        kept = {}
+        for k, r in rows.items():
+            b = np.floor(np.log2(distance(k) + 1e-6) * rules.OCTAVE)
+            kept[k] = x[r][b <= quantile(b, rules.SUPPORT)]
+        falls = []
+        for k in rows:
+            same = [v for g, v in kept.items() if lang_of[g] == lang_of[k]]
+            spread = sum((v - v.mean(0)).T @ (v - v.mean(0)) for v in same) / sum(map(len, same))
+            n, prior = len(kept[k]), rules.PRIOR_TEXTS
+            mean = (kept[k].sum(0) + prior * np.concatenate(same).mean(0)) / (n + prior)
+            cov = factor * ((kept[k] - kept[k].mean(0)).T @ (kept[k] - kept[k].mean(0)) + prior * spread) / (n + prior) + floor
+            volume = np.linalg.slogdet(cov)[1]
+            falls.append(model[k][2] - volume)
+            model[k] = mean, np.linalg.inv(cov), volume
+        if max(falls) <= rules.FALL:
+            break
+    out = np.zeros(len(x))
+    for k, r in rows.items():
+        out[r] = distance(k)
+    return out
 
 
 def test_quality_rules(spark, docs, texts, none):
@@ -188,18 +207,42 @@ def test_quality_rules(spark, docs, texts, none):
     assert rules.quality_rules(none).count() == 0
 
 
-def test_distances_are_those_of_plain_mcd(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({"lang": F.lit("x"), "source": F.lit("y")})
-    got = rules.quality_rules(docs).where("not base_failed").toPandas().sort_values("doc_id")
+def brute_vectors(n, lang, key):
+    """The statistics of each text, smoothed by its group's ratios, in plain numpy."""
+    out, a = np.zeros((len(n), 6)), float(rules.PRIOR_WORDS)
+    for k in set(key):
+        rows, same = np.flatnonzero(key == k), lang == lang[np.flatnonzero(key == k)[0]]
+        g, whole, given = n.iloc[rows], n[same], rules.PRIOR_RATIO_WORDS
+        ratio = {c: (g[c].sum() + given * whole[c].sum() / whole.n_words.sum()) / (g.n_words.sum() + given) for c in rules._COUNTS}
+        w, chars = g.n_words, g.word_chars + a * ratio["word_chars"]
+        root = lambda c, g=g, chars=chars, ratio=ratio: np.arcsin(np.sqrt(np.minimum(1, (g[c] + a * ratio[c]) / chars)))
+        out[rows] = np.stack([np.log(chars / (w + a)), root("n_symbols"), root("n_upper"), root("n_marks"), np.arcsin(np.sqrt((g.n_repeat_words + a * ratio["n_repeat_words"]) / (w + a))), np.log(np.maximum(g.n_pieces + 1, 2)) / np.log(w + 2)], axis=1)
+    return out
+
+
+@pytest.mark.parametrize("groups", ["one", "many", "shuffled"])
+def test_distances_are_those_of_plain_mcd(spark, groups, monkeypatch):
+    """One large group; groups of 1 to some hundred texts, with null languages and sources; and these without broadcasts."""
     import pyarrow as pa
 
-    text = docs.toPandas().set_index("doc_id").text
-    n = pd.DataFrame(rules.text_counts(pa.array(text[got.doc_id].tolist())), columns=rules._COUNTS).astype(float)
-    a, w = float(rules.PRIOR_WORDS), n.n_words
-    ratio = {k: n[k].sum() / w.sum() for k in rules._COUNTS}
-    root = lambda k: np.arcsin(np.sqrt(np.minimum(1, (n[k] + a * ratio[k]) / (n.word_chars + a * ratio["word_chars"]))))
-    x = np.stack([np.log((n.word_chars + a * ratio["word_chars"]) / (w + a)), root("n_symbols"), root("n_upper"), root("n_marks"), np.arcsin(np.sqrt((n.n_repeat_words + a * ratio["n_repeat_words"]) / (w + a))), np.log(np.maximum(n.n_pieces + 1, 2)) / np.log(w + 2)], axis=1)
-    np.testing.assert_allclose(got.distance.to_numpy(), brute_mcd(x), rtol=1e-6, atol=1e-9)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    if groups == "one":
+        docs = docs.withColumns({"lang": F.lit("x"), "source": F.lit("y")})
+    else:
+        some = F.pmod(F.xxhash64("doc_id"), F.lit(20))
+        docs = docs.withColumns({"lang": F.when(F.col("doc_id") % 3 > 0, "x"), "source": F.when(some == 0, F.concat(F.lit("s"), F.col("doc_id"))).when(some < 5, "few").when(some < 18, "many")})
+    if groups == "shuffled":
+        monkeypatch.setattr(rules, "BROADCAST_GROUPS", 0)
+    got = rules.quality_rules(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
+    rows = docs.toPandas().set_index("doc_id").loc[got.doc_id]
+    judged = (~got.base_failed).to_numpy()
+    rows = rows[judged]
+    n = pd.DataFrame(rules.text_counts(pa.array(rows.text.tolist())), columns=rules._COUNTS).astype(float)
+    lang = rows.lang.fillna("").to_numpy(str)
+    key = np.array([f"{a}|{b}" for a, b in zip(lang, rows.source.fillna(""), strict=True)])
+    want = brute_mcd(brute_vectors(n, lang, key), lang, key)
+    np.testing.assert_allclose(got.distance[judged].to_numpy(), want, rtol=1e-6, atol=1e-9)
+    assert (got.kept[judged] == (want <= rules.chi2_quantile(rules.CUTOFF))).all() and not got.kept[~judged].any()
 
 
 def test_rules_keep_good_documents_and_reject_bad_ones(spark):
