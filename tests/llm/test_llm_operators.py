@@ -623,12 +623,56 @@ def test_mixing(docs, texts, none):
     assert mixing.mix_sources(none).count() == 0
 
 
-def test_positions_invert_the_schedule(spark):
+@pytest.mark.parametrize("knots", [*mixing.SCHEDULE, ((0, 0), (0.3, 2), (0.3001, 0), (0.8, 0), (1, 5))])
+def test_times_invert_the_schedule(spark, knots):
     q = np.linspace(0, 1, 50)
-    for ramp in (-0.5, 0.0, 0.5):
-        df = spark.createDataFrame([(float(x),) for x in q], "q double").select("q", mixing._when_met(F.col("q"), F.lit(ramp)).alias("t"))
-        t = df.toPandas().t.to_numpy()
-        np.testing.assert_allclose(t + ramp * (t * t - t), q, atol=1e-12)
+    t = spark.createDataFrame([(float(x),) for x in q], "q double").select(mixing.when_met(F.col("q"), knots).alias("t"))
+    got = t.select("t", mixing.met_by(F.col("t"), knots).alias("q")).toPandas()
+    np.testing.assert_allclose(got.q.to_numpy(), q, atol=1e-9)
+    # the integral, by small steps
+    fine = np.linspace(0, 1, 200_001)
+    weight = np.interp(fine, *zip(*knots, strict=True))
+    total = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+    np.testing.assert_allclose(np.interp(got.t.to_numpy(), fine, total / total[-1]), q, atol=1e-4)
+    with pytest.raises(ValueError, match="knots go from"):
+        mixing.met_by(F.col("t"), ((0, 1), (0.5, 1)))
+
+
+def test_each_part_of_the_run_holds_its_scheduled_shares(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(["w"] * int(rng.integers(5, 30))), "abc"[min(2, int(rng.integers(0, 5)))]) for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    schedule = (((0, 1), (0.5, 1), (1, 0)), ((0, 0), (1, 1)), ((0, 1), (1, 1)))
+    target = {r.source: r.target for r in mixing.mix_sources(docs, schedule=schedule).join(docs, "doc_id").select("source", "target").distinct().collect()}
+    run = [(r.source, len(r.text.split())) for r in mixing.curriculum(docs, schedule=schedule).collect()]
+    total = sum(n for _, n in run)
+    assert abs(total - sum(target.values())) < 100
+    # what each source has met by the time at which a tenth of all words is met
+    fine = np.linspace(0, 1, 10_001)
+    met = {}
+    for s, knots in zip("abc", schedule, strict=True):
+        weight = np.interp(fine, *zip(*knots, strict=True))
+        area = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+        met[s] = target[s] * area / area[-1]
+    demand = sum(met.values())
+    upto, seen, at = 0, collections.Counter(), 1
+    for s, n in run:
+        upto += n
+        seen[s] += n
+        if upto >= at * total / 10:
+            for k in "abc":
+                assert abs(seen[k] - np.interp(at * total / 10, demand, met[k])) < 0.01 * total
+            at += 1
+    assert at == 11
+
+
+def test_curriculum_with_clashing_names_null_ids_and_repeats(spark):
+    rows = [(None, "a b c", "x", 1, 2, 3), (7, "a b c", "x", 4, 5, 6), (7, "d e", "x", 7, 8, 9), (7, "d e", None, 1, 1, 1), (8, None, "y", 0, 0, 0), (None, "", "y", 0, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _at long, round long, row long")
+    out = mixing.curriculum(docs, share=(2, 1))
+    assert out.columns == docs.columns
+    assert collections.Counter(map(tuple, out.collect())) == collections.Counter({r: 2 for r in rows[:4]})
+    assert mixing.curriculum(docs.limit(0)).count() == 0
 
 
 def test_curriculum_repeats_whole_rows(docs, texts):
