@@ -9,6 +9,7 @@ each stage against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import decontaminate
 from millrace.llm.jaccard import ngram_jaccard_join
@@ -21,25 +22,42 @@ from millrace.llm.token_files import token_files
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in kept; a row without doc_id goes."""
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a 64-bit hash of each whole row, and that column's name: decisions are about rows, whatever their ids.
+
+    Rows that agree in every column get the same decisions. Null and repeated ids are ids like others.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.xxhash64(*docs.columns)), name
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality rules reject."""
-    return _keep(docs, quality_rules(docs).where("kept").select("doc_id"))
+    rows, key = _keyed(docs)
+    kept = quality_rules(rows, id_col=key).where("kept").select(key)
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies (five words, 0.8)."""
-    return _keep(docs, ngram_jaccard_join(docs).where("doc_id = component_id").select("doc_id")).dropDuplicates(["doc_id"])
+    """Keeps the document with the smallest doc_id of each group of near copies (five words, 0.8), null ids last; of equal ids that with the smallest row hash.
+
+    Rows that agree in every column are copies of each other, and one stays. Texts without words are no copies: all of them stay but equal rows.
+    """
+    rows, key = _keyed(docs)
+    groups = ngram_jaccard_join(rows, id_col=key).select(key, "component_id").distinct()
+    ids = rows.select(key, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key).alias("rank"))
+    # least ids are found by aggregations that are combined before the shuffle
+    first = groups.join(ids, key).groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank")[key].alias(key))
+    return rows.join(first, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a passage of the benchmark."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    rows, key = _keyed(docs)
+    found = decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key).select(key).distinct()
+    return rows.join(found, key, "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
