@@ -91,6 +91,24 @@ def test_tokens_of_all_rows(stages):
     assert (after.start.to_numpy() == np.cumsum(after.n_tokens.to_numpy()) - after.n_tokens.to_numpy()).all()
 
 
+def test_stages_decide_about_rows(spark):
+    """Null and repeated ids, null texts, rows that agree in all columns, extra columns, and an empty table."""
+    rng = np.random.default_rng(9)
+    text = lambda n=60: " ".join(f"{a}{b}" for a, b in zip(rng.choice(list("klmnprst"), n), rng.integers(100, 999, n), strict=True))
+    item = pd.read_parquet(f"{SF}/benchmark.parquet").text[0]
+    a, b, c, d, leak = text(), text(), text(), text(), f"{text()} {item} {text()}"
+    rows = [(None, a), (None, b), (5, c), (5, d), (5, d), (6, f"{c} more"), (7, leak), (7, text()), (8, "short"), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int, _row string")
+    out = lambda stage, df: collections.Counter((r.doc_id, r.text) for r in stage(spark, df, SF).collect())
+    assert out(corpus_pipeline.rules, docs) == collections.Counter(rows[:8])
+    assert out(corpus_pipeline.near_copies, docs) == collections.Counter(rows[:4] + rows[6:])
+    assert out(corpus_pipeline.leaks, docs) == collections.Counter(rows[:6] + rows[7:])
+    assert set(out(corpus_pipeline.mixing, docs)) <= set(rows)
+    assert corpus_pipeline.token_ids(spark, docs, SF).count() == len(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_entry_points():
     import __spark_entry__
 
