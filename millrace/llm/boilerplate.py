@@ -34,11 +34,12 @@ def html_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
 
 
-def line_dedup(pages: DataFrame, *, ratio: tuple[int, int] = (1, 4), least_pages: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def line_dedup(pages: DataFrame, *, ratio: tuple[int, int] = (1, 4), least_pages: int = 2, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, host, n_lines, n_dropped, text) per row of pages; text is what is left, one line after another.
 
     A line goes if at least `least_pages` rows of the host contain it and these are more than
-    ratio = (numerator, denominator) of the host's rows. Repeats within a page count once
+    ratio = (numerator, denominator) of the host's rows; what is on one page alone is not
+    repeated, so that a host's only page keeps its text. Repeats within a page count once
     and go together. Null or empty html has no lines and text ''; pages without a host,
     with a null url too, are one host ''; repeated rows count as pages of their own. Other columns are
     ignored. An empty table gives no rows.
@@ -60,7 +61,7 @@ def line_dedup(pages: DataFrame, *, ratio: tuple[int, int] = (1, 4), least_pages
 OP3_SQL = rf"""
 WITH l AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '{HOST}', 1)) AS host,
   list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '{HIDDEN}', '', 'g'), '{BREAKS}', chr(10), 'g'), '{TAGS}', '', 'g'), chr(10)), lambda x: trim(x, chr(32) || chr(9) || chr(13))), lambda x: x <> '') AS lines FROM pages),
-c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY host, line HAVING count(*) >= 3),
+c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY host, line HAVING count(*) >= 2),
 t AS (SELECT host, count(*) AS pages FROM l GROUP BY host),
 b AS (SELECT c.host, list(c.line) AS common FROM c JOIN t USING (host) WHERE 4 * c.n > t.pages GROUP BY c.host),
 k AS (SELECT l.page_id, l.host, l.lines, CASE WHEN b.common IS NULL THEN l.lines ELSE list_filter(l.lines, lambda x: NOT list_contains(b.common, x)) END AS kept FROM l LEFT JOIN b ON l.host = b.host)

@@ -228,7 +228,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     # FIT_DOCS rows at most are broadcast
     joined = texts.join(F.broadcast(chosen), "_id").select("label", "mark", "text")
-    rows = sorted((r.mark, r.label, bytes(r.features), bytes(r.sizes)) for r in joined.mapInArrow(_collect_features, "label int, mark long, features binary, sizes binary").toLocalIterator())
+    # one job, whatever the number of partitions; FIT_DOCS documents' line features come to the driver
+    found = joined.mapInArrow(_collect_features, "label int, mark long, features binary, sizes binary").toArrow()
+    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("mark", "label", "features", "sizes")), strict=True))
     return fit([np.frombuffer(r[2], np.float32).reshape(-1, FEATURES) for r in rows], [np.frombuffer(r[3], np.float64) for r in rows], np.array([r[1] for r in rows], int))
 
 

@@ -184,6 +184,12 @@ class ByteEncoder:
         return fine & full & ~edges
 
 
+@functools.lru_cache(2)
+def piece_counter(path: str) -> PieceCounter:
+    """One per worker process, so that its cache outlives a task."""
+    return PieceCounter(path)
+
+
 class PieceCounter:
     """Numbers of pieces of texts by a sentencepiece model, from a table of frequent words and a cache of the rest."""
 

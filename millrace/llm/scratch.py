@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where that is unset, as in tests, a local folder."""
+    """The cluster's spark.checkpoint.dir; where that is unset and all runs on one machine, as in tests, a local folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}"
     return path.rstrip("/")
 

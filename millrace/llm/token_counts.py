@@ -7,6 +7,7 @@ encoded once by the worker that meets it and cached there. No word is ever shuff
 
 from __future__ import annotations
 
+import functools
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -16,7 +17,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import PieceCounter
+from .pieces import PieceCounter, piece_counter
 from .text import column_bytes, slices
 
 #: Texts, about, from which the frequent words are taken; words in the table; words that one task reports.
@@ -27,7 +28,7 @@ WORD_CHARS = 24
 
 def _sample_words(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, seen = PieceCounter(model), Counter()
+        counter, seen = piece_counter(model), Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 if counter.plain(text):
@@ -50,7 +51,9 @@ class FrequentLengths:
     def __init__(self, lengths: dict[str, int]):
         self.words, self.lengths = " ".join(lengths), array("H", lengths.values())
 
+    @functools.cached_property
     def table(self) -> dict[str, int]:
+        """Unpacked once in a process: a worker keeps a broadcast's value."""
         return dict(zip(self.words.split(" "), self.lengths, strict=True)) if self.lengths else {}
 
 
@@ -60,12 +63,9 @@ def frequent_lengths(docs: DataFrame, model: str, text_col: str) -> FrequentLeng
         return FrequentLengths({})
     text = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     sample = text.sample(fraction=min(1.0, SAMPLE_TEXTS / total), seed=5)
-    seen: Counter = Counter()
-    for row in sample.mapInArrow(_sample_words(model), "word string, n long").toLocalIterator():
-        seen[row.word] += row.n
-        if len(seen) > 20 * TABLE_WORDS:
-            seen = Counter(dict(seen.most_common(4 * TABLE_WORDS)))
-    words = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:TABLE_WORDS] if w]
+    # added up by the executors; at most TABLE_WORDS words come to the driver
+    seen = sample.mapInArrow(_sample_words(model), "word string, n long").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
+    words = [r.word for r in seen.orderBy(F.desc("n"), "word").limit(TABLE_WORDS).select("word").collect()]
     return FrequentLengths(dict(zip(words, PieceCounter(model)._spaced(words), strict=True)))
 
 
@@ -82,7 +82,8 @@ def token_counts(docs: DataFrame, model: str, *, limit: int = 4096, id_col: str
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(model, frequent.value.table())
+        counter = piece_counter(model)
+        counter.frequent = frequent.value.table
         for batch in batches:
             for part in slices(batch, "text"):
                 _, off = column_bytes(part.column("text"))

@@ -442,10 +442,12 @@ def test_warc_records_are_standard(spark, tmp_path):
 
 def test_line_dedup(spark):
     rows = [(i, f"http://Site{i % 2}.org:80/p{i}", f"<p>Menu</p><div>only {i}</div><!-- x --><p>seen {i // 4}<br>Menu") for i in range(12)]
-    rows += [(100, None, "<b>x"), (101, "no url", None), (102, "http://one.org", "alone"), (103, "http://one.org", "")]
+    rows += [(100, None, "<b>x"), (101, "no url", None), (102, "http://one.org", "alone"), (103, "http://one.org", ""), (104, "http://two.org/a", "<p>Top<p>a"), (105, "http://two.org/b", "<p>b<p>Top"), (106, "http://single.org", "<p>Top<p>c<p>c")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: (r.host, r.n_lines, r.n_dropped, r.text) for r in boilerplate.line_dedup(pages, ratio=(1, 2)).collect()}
     assert got[5] == ("site1.org", 4, 2, "only 5\nseen 1") and got[100] == ("", 1, 0, "x") and got[102][3] == "alone" and got[103] == ("one.org", 0, 0, "")
+    # a line on both pages of a host goes, and a host's only page keeps its lines
+    assert got[104] == ("two.org", 2, 1, "a") and got[105] == ("two.org", 2, 1, "b") and got[106] == ("single.org", 3, 0, "Top\nc\nc")
     plan = boilerplate.line_dedup(pages)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert boilerplate.line_dedup(pages.limit(0)).count() == 0
@@ -494,6 +496,24 @@ def test_surrogates(spark):
     assert surrogates.replace_pii(docs.limit(0), key="k").count() == 0
 
 
+def test_jobs_do_not_grow_with_partitions(spark):
+    """Fitting reads all partitions in the same jobs."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(name, run):
+        spark.sparkContext.setJobGroup(name, name)
+        run()
+        return len(tracker.getJobIdsForGroup(name))
+
+    texts = [(i, f"some words of text number {i} " * 12, i % 2) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, quality int")
+    model = queries.vocabulary("piece_bpe_32k.model")
+    for n, run in enumerate((lambda d: token_counts.frequent_lengths(d, model, "text"), lambda d: line_crf.train(d.select("doc_id", "text"), docs.select("doc_id", "quality")), lambda d: decontaminate.latent_space(d.withColumn("_id", d.doc_id), 200, __import__("pyarrow").array(["a b"]), decontaminate.inverse_frequencies(d)[0]))):
+        few, many = (jobs(f"fit {n} {k}", lambda k=k, run=run: run(docs.repartition(k))) for k in (2, 23))
+        assert few == many, n
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_long_secrets_are_replaced_whole(spark):
     long, bare = "abc123XYZ_" * 40 + "TAIL9", "q7" * 150
     docs = spark.createDataFrame([(1, f'token = "{long}" end'), (2, f"use sk-{bare}, please"), (3, f"password: {long}=")], "doc_id long, text string")
