@@ -75,7 +75,9 @@ def test_labels_own_their_values():
     golden = "Awareness | 35726; Retention | 34685"
     assert match(golden, "Awareness led with 35,726 and Retention had 34,685").result == "pass"
     assert match(golden, "Awareness had 34,685 and Retention led with 35,726").result == "fail"
-    assert match(golden, "35,726 for Awareness; 34,685 for Retention").result == "pass"
+    # a label after its value is only believed where no other stands before the value
+    assert match("Awareness | 35726", "35,726 for Awareness; 34,685 for Retention").result == "pass"
+    assert match(golden, "35,726 for Awareness; 34,685 for Retention").unsatisfied == ["label:Retention"]
     assert match("28731", "28,731.00 in all").result == "pass" and match("4182650.00", "4,182,000").result == "fail"
     assert match("2026-04-01 | 5", "On April 1, 2026 there were 5").result == "pass"
     assert match("2026", "It was on 2026-04-01").result == "fail"
@@ -92,3 +94,22 @@ def test_an_answer_matches_itself_and_no_step_beside_it(golden):
     assert scoring.owned_match(golden, golden).result == "pass"
     changed = golden[:-1] + str((int(golden[-1]) + 1) % 10)
     assert scoring.owned_match(golden, changed).result == "fail"
+
+
+def test_owned_labels_without_regard_to_spaces_and_policies():
+    match, policy = scoring.owned_match, scoring.Policy
+    assert match("CustomerEducation | 12", "Customer Education led with 12 campaigns").result == "pass"
+    golden = "North | 35; South | 34; FarEast | 33"
+    assert match(golden, "North led with 35, then South at 34 and Far East at 33.").result == "pass"
+    assert match(golden, "South | 35; Far East | 34; North | 33").detail.count("a different label claims its value") == 3
+    assert match("Standard | 6229", "6,229 cases fall under Standard.").result == "pass"
+    assert match("Ann Lee — 1,000.50", "Bob closed 1000.5").result == "fail"
+    assert match("Ann Lee — 1,000.50", "Bob closed 1000.5", policy(labels=False)).result == "pass"
+    assert match("x | 28731", "x: 28,731").result == "pass" and match("x | 28731", "x: 28,731", policy(as_written=True)).result == "fail"
+    assert match("2026-04-01", "on April 1st, 2026").result == "pass" and match("2026-04-01", "on April 1st, 2026", policy(prose_dates=False)).result == "fail"
+    assert match("A | 5", f"A {'z' * 150} 5").detail == "label 'A' present but 152 chars from any of its values (limit 120)"
+    # a label has 60 characters at most, and a sentence is none
+    assert match("x" * 61, "other").result == match("All is well.", "other").result == "not_applicable"
+    assert match("x" * 60, "other").result == "fail" and match("5 apples", "there are 5").result == "pass"
+    assert match("5; 5", "5 only").satisfied == ["value:5"] and match("7", "-7").result == "fail"
+    assert match("a", " ").result == match("a", None).result == "error"
