@@ -93,9 +93,15 @@ def answer_lines(df: DataFrame) -> DataFrame:
 
 
 def table_digest(df: DataFrame) -> DataFrame:
-    """(rows, xor_hash, sum_hash) of a table, whatever the order and partitioning of its rows; combined before any shuffle."""
-    h = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)))
-    return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("xor_hash"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("sum_hash"))
+    """(rows, digest) of a table, whatever the order and partitioning of its rows; combined before any shuffle.
+
+    The digest is the SHA-256 of the number of rows and two sums of 60 bits of each row's MD5, over its
+    columns by name as text, with nulls as \\N. Repeated rows count as often as they occur.
+    """
+    text = F.md5(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(r"\N")) for c in sorted(df.columns))))
+    part = lambda at: F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")
+    sums = df.select(text.alias("h")).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(part(at)), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"s{at}") for at in (1, 16)))
+    return sums.select("rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), "s1", "s16"), 256).alias("digest"))
 
 
 def fingerprint(parts: Mapping[str, object]) -> str:

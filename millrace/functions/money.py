@@ -7,8 +7,29 @@ from pyspark.sql import functions as F
 
 
 def quantise(value: Column, digits: int, scale: int) -> Column:
-    """Rounded half away from zero; more digits than fit are an error under ANSI."""
-    return F.round(value, scale).cast(f"decimal({digits},{scale})")
+    """A whole or decimal number, or its text, rounded half away from zero; floats, NaN, other texts and more digits than fit are errors."""
+    kind = F.typeof(value)
+    exact = kind.isin("tinyint", "smallint", "int", "bigint", "string") | kind.startswith("decimal")
+    refused = F.raise_error(F.concat(F.lit("an exact number is needed, not "), kind)).cast("decimal(38,10)")
+    return F.round(F.when(exact, value.cast("decimal(38,10)")).otherwise(refused), scale).cast(f"decimal({digits},{scale})")
+
+
+def minor_units(amount: Column, scale: int = 2) -> Column:
+    """An exact amount in units of its last decimal; a fraction of one is an error."""
+    units = amount.cast("decimal(38,10)") * 10**scale
+    return F.when(units == F.round(units, 0), units.cast("long")).otherwise(F.when(units.isNotNull(), F.raise_error(F.concat(amount.cast("string"), F.lit(f" has more than {scale} decimals"))).cast("long")))
+
+
+#: Hours until a case of each priority is due.
+SLA_HOURS = {"Low": 72, "Medium": 48, "High": 24, "Critical": 4}
+
+
+def due_at(opened: Column, priority: Column, hours: dict[str, int] | None = None) -> Column:
+    """When a case is due: its priority's hours after it was opened; null for another priority."""
+    out = F.lit(None).cast("timestamp")
+    for name, n in (hours or SLA_HOURS).items():
+        out = F.when(priority == name, opened.cast("timestamp") + F.expr(f"INTERVAL {int(n)} HOURS")).otherwise(out)
+    return out
 
 
 def convert(amount: Column, rate: Column) -> Column:

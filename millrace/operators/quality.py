@@ -7,12 +7,14 @@ one anti join, so that it distributes over the keys that it checks.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 
 def _result(df: DataFrame, name: str, violations: Column | None = None) -> DataFrame:
     count = F.count("*") if violations is None else violations
@@ -136,17 +138,104 @@ def grid(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return _result(df, name, F.count_distinct(a) * F.count_distinct(b) - F.count_distinct(F.struct(a, b)))
 
 
-def acyclic(df: DataFrame, key: str, parent: str, name: str, most_depth: int = 32) -> DataFrame:
-    """Rows that climb more than `most_depth` parents, which a hierarchy of that depth does only in a cycle."""
-    up = df.select(F.col(key).alias("k"), F.col(parent).alias("p")).where("p is not null")
-    climb, steps = up, 1
-    while steps < most_depth:
-        # each round doubles the steps: k's ancestor's ancestor
-        climb = climb.alias("x").join(climb.alias("y"), F.col("x.p") == F.col("y.k")).select(F.col("x.k").alias("k"), F.col("y.p").alias("p"))
+def acyclic(df: DataFrame, key: str, parent: str, name: str) -> DataFrame:
+    """Rows that climb their parents forever: those of a cycle, and those below one; a valid hierarchy may have any depth.
+
+    The steps climbed double each round, until no row has an ancestor left or more steps are made than there are rows.
+    """
+    climb = cut(df.select(F.col(key).alias("k"), F.col(parent).alias("p")).where("p is not null"))
+    rows, steps = climb.count(), 1
+    while steps <= rows:
+        climb = cut(climb.alias("x").join(climb.alias("y"), F.col("x.p") == F.col("y.k")).select(F.col("x.k").alias("k"), F.col("y.p").alias("p")))
         steps *= 2
+        if climb.isEmpty():
+            break
     return _result(climb, name)
 
 
+def same_as_parent(df: DataFrame, key: str, parent: str, column: str, name: str) -> DataFrame:
+    """Rows whose column differs from that of their parent in the same table."""
+    above = df.select(F.col(key).alias("_above"), F.col(column).alias("_value"))
+    return _result(df.join(above, F.col(parent) == F.col("_above")).where(~F.col(column).eqNullSafe(F.col("_value"))), name)
+
+
+def agrees(child: DataFrame, parent: DataFrame, key: str, column: str, name: str, required: bool = True) -> DataFrame:
+    """Child rows whose value is another than their parent's, or that have one where the parent has none.
+
+    A null in the child is no violation, unless the column is required to be the parent's.
+    """
+    joined = child.select(key, F.col(column).alias("_own")).join(parent.select(key, F.col(column).alias("_given")), key)
+    wrong = ~F.col("_own").eqNullSafe(F.col("_given"))
+    return _result(joined.where(wrong if required else F.col("_own").isNotNull() & wrong), name)
+
+
+def member(child: DataFrame, pairs: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Child rows, all keys known, that are in no pair."""
+    known = child.select(*keys).where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+    return _result(known.join(pairs.select(*keys), list(keys), "left_anti"), name)
+
+
+def one_each(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Keys with several values."""
+    return _result(df.groupBy(key).agg(F.count_distinct(value).alias("_n")).where("_n > 1"), name)
+
+
+def same_pairs(a: DataFrame, b: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Distinct combinations that only one of two tables has."""
+    sides = a.select(*columns, F.lit(1).alias("_side")).unionAll(b.select(*columns, F.lit(2).alias("_side")))
+    return _result(sides.groupBy(*columns).agg(F.count_distinct("_side").alias("_n")).where("_n < 2"), name)
+
+
+def lag_within(df: DataFrame, lag: Column, least: int, most: int, name: str) -> DataFrame:
+    """Rows whose lag is outside [least, most]; a null lag is no violation."""
+    return where_violated(df, name, ~lag.between(least, most))
+
+
+def some(df: DataFrame, name: str) -> DataFrame:
+    """1 if there is no row at all, where a question needs one."""
+    return _result(df, name, (F.count("*") == 0).cast("long"))
+
+
+def evidence(parents: DataFrame, children: DataFrame, key: str, status: str, demands: Mapping[str, Column], name: str) -> DataFrame:
+    """Parents in a status that demands a child of some kind, which none of theirs is."""
+    kinds = {s: f"_has_{i}" for i, s in enumerate(demands)}
+    seen = children.groupBy(key).agg(*(F.max(demands[s].cast("int")).alias(c) for s, c in kinds.items()))
+    missing = reduce(lambda a, b: a | b, ((F.col(status) == s) & (F.coalesce(F.col(c), F.lit(0)) == 0) for s, c in kinds.items()))
+    return _result(parents.select(key, status).join(seen, key, "left").where(missing), name)
+
+
+def at_most(df: DataFrame, key: str, counted: Column, most: int, name: str) -> DataFrame:
+    """Keys for which more than `most` rows meet a condition."""
+    return _result(df.groupBy(key).agg(F.sum(counted.cast("int")).alias("_n")).where(F.col("_n") > most), name)
+
+
+def even_groups(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Groups with an odd number of rows."""
+    return _result(df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n % 2 = 1"), name)
+
+
+def covered(df: DataFrame, windows: DataFrame, key: str, moment: str, start: str, end: str, least: int, name: str) -> DataFrame:
+    """How many windows [start, end) too few, of `least`, hold a moment of their key."""
+    hit = windows.alias("w").join(df.select(F.col(key).alias("_key"), F.col(moment).alias("_moment")), (F.col(f"w.{key}") == F.col("_key")) & (F.col("_moment") >= F.col(f"w.{start}")) & (F.col("_moment") < F.col(f"w.{end}")), "left_semi")
+    return _result(hit, name, F.greatest(F.lit(0), F.lit(least) - F.count("*")))
+
+
+def shape(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]], name: str) -> list[str]:
+    """What differs from a contract of tables, their order, and their columns in order; schemas only, no data is read."""
+    out = [] if list(tables) == list(columns) else [f"{name}: tables {list(tables)} instead of {list(columns)}"]
+    return out + [f"{name}.{t}: columns {tables[t].columns} instead of {list(c)}" for t, c in columns.items() if t in tables and tables[t].columns != list(c)]
+
+
+def reproducible(first: Mapping[str, DataFrame], again: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, rows, same) of two runs of a generator: equal if the digests of all rows are, in whatever order they come."""
+    from millrace.functions.answers import table_digest
+
+    digest = lambda t, df, n: table_digest(df).select(F.lit(t).alias("table"), F.col("rows").alias(f"rows{n}"), F.col("digest").alias(f"digest{n}"))
+    sides = [reduce(DataFrame.unionAll, [digest(t, df, n) for t, df in tables.items()]) for n, tables in (("", first), ("2", again))]
+    joined = sides[0].join(sides[1], "table", "full")
+    return joined.select("table", "rows", F.col("digest").eqNullSafe(F.col("digest2")).alias("same"))
+
+
 def fixed_scale(df: DataFrame, column: str, digits: int, scale: int, name: str) -> DataFrame:
     """Texts that are not numbers of exactly `scale` decimals that fit `digits` digits."""
     return _result(df.where(F.col(column).isNotNull() & ~F.col(column).rlike(rf"^-?\d{{1,{digits - scale}}}\.\d{{{scale}}}$")), name)

@@ -1,7 +1,7 @@
 """Synthesis and defect injection as functions of a row's key: the same rows under any partitioning.
 
 Randomness is a hash of (seed, stream, key). Exact counts come from a rank of such
-hashes; only the chosen rows are ranked, by a top-k that each task combines first, never by a
+hashes: rows are counted by the hashes' first digits, and ranked within each of these buckets, never by a
 sort of the whole table in one task.
 """
 
@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 
 def count_of(rows: int, percent: float) -> int:
     """At least one row, and no fraction of one."""
@@ -73,10 +75,22 @@ def poisson(u: Column, rate: float, most: int = 60) -> Column:
 
 
 def chosen(df: DataFrame, key: str, n: int, seed: int, stream: str, protected: Column | None = None) -> DataFrame:
-    """(key, rank from 1) of the n rows that are drawn; n is a defect count and bounds the result."""
+    """(key, rank from 1) of the n rows that are drawn first.
+
+    The rows are counted by the first digits of their draws; a row's rank is the number of rows in smaller
+    buckets and its place in its own, so that nothing is sorted in one task.
+    """
     rows = df if protected is None else df.where(~F.coalesce(protected, F.lit(False)))
-    drawn = rows.select(key, draw(seed, stream, F.col(key)).alias("_draw")).orderBy("_draw", key).limit(n)
-    return drawn.select(key, F.row_number().over(Window.orderBy("_draw", key)).alias("rank"))
+    drawn = rows.select(key, draw(seed, stream, F.col(key)).alias("_draw"))
+    total, digits = drawn.count(), 1
+    while 16**digits * 1_000 < total:
+        digits += 1
+    drawn = drawn.withColumn("_bucket", F.substring("_draw", 1, digits))
+    counts = drawn.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    # a row for each bucket of about a thousand rows
+    before = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before")).where(F.col("_before") < n)
+    placed = drawn.join(before, "_bucket").withColumn("rank", F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy("_draw", key)))
+    return placed.where(F.col("rank") <= n).select(key, F.col("rank").cast("int").alias("rank"))
 
 
 def disjoint_groups(df: DataFrame, key: str, sizes: Mapping[str, int], seed: int, stream: str) -> DataFrame:
@@ -136,13 +150,126 @@ def shift_tree(root: DataFrame, key: str, delta: DataFrame, tables: Mapping[str,
     return out
 
 
-def double_entry(transactions: DataFrame, key: str, amount: str, accounts: int, seed: int = 42) -> DataFrame:
-    """Two lines for each transaction: a debit and a credit of its amount on two different accounts."""
-    first = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(accounts))
-    second = F.pmod(first + 1 + F.pmod(F.xxhash64(F.lit(seed + 1), key), F.lit(accounts - 1)), F.lit(accounts))
-    lines = transactions.withColumn("line_number", F.explode(F.array(F.lit(1), F.lit(2))))
-    is_debit = F.col("line_number") == 1
-    return lines.select(key, "line_number", F.when(is_debit, first).otherwise(second).alias("account_id"), F.when(is_debit, F.col(amount)).alias("debit_amount"), F.when(~is_debit, F.col(amount)).alias("credit_amount"))
+def whole(n: int, seed: int, stream: str, *key: Column) -> Column:
+    """A whole number from 0 to n - 1."""
+    return F.pmod(F.conv(F.substring(draw(seed, stream, *key), 1, 13), 16, 10).cast("long"), F.lit(n))
+
+
+def double_entry(transactions: DataFrame, key: str, amount: str, accounts: int, *, pairs: int = 1, reversal: str | None = None, unposted: int = 0, seed: int = 42) -> DataFrame:
+    """Debit and credit lines of each transaction, in `pairs` pairs that share its amount exactly, on different accounts.
+
+    Of a reversed transaction the sides are swapped and the posting type is Reversal;
+    exactly `unposted` transactions have no lines. The first pair gets what an even division leaves over.
+    """
+    kind = transactions.schema[amount].dataType
+    rows = transactions.join(chosen(transactions, key, unposted, seed, "unposted").select(key), key, "left_anti") if unposted else transactions
+    lines = rows.withColumn("line_number", F.explode(F.sequence(F.lit(1), F.lit(2 * pairs))))
+    pair = F.ceil(F.col("line_number") / 2).cast("int")
+    first = whole(accounts, seed, "debit account", F.col(key), pair)
+    other = F.pmod(first + 1 + whole(accounts - 1, seed, "credit account", F.col(key), pair), F.lit(accounts))
+    undone = F.coalesce(F.col(reversal), F.lit(False)) if reversal else F.lit(False)
+    is_debit = (F.col("line_number") % 2 == 1) != undone
+    unit = F.lit(10 ** kind.scale).cast("decimal(19,0)")
+    units = (F.col(amount) * unit).cast("long")
+    even = units - F.pmod(units, F.lit(pairs))
+    share = (even / pairs).cast("long") + F.when(pair == 1, units - even).otherwise(0)
+    part = (share.cast("decimal(28,0)") / unit).cast(kind)
+    account = F.when(F.col("line_number") % 2 == 1, first).otherwise(other)
+    return lines.select(key, "line_number", account.alias("account_id"), F.when(is_debit, part).alias("debit_amount"), F.when(~is_debit, part).alias("credit_amount"), F.when(undone, "Reversal").otherwise("Standard").alias("posting_type"))
+
+
+def allocate_whole(df: DataFrame, key: str, total: int, least: int = 1, most: int | None = None, weight: Column | None = None, seed: int = 42, stream: str = "share") -> DataFrame:
+    """(key, units): `total` whole units over all rows, each with at least `least` and at most `most`, by weight or evenly by draws.
+
+    Shares are rounded down, and what is left goes to the rows with the largest remainders; what passes `most`
+    is shared again among the others. A total that cannot be met is an error.
+    """
+    rows = df.count()
+    if total < least * rows or (most is not None and total > most * rows):
+        raise ValueError(f"{total} units cannot be shared by {rows} rows of {least} to {most}")
+    w = uniform(seed, stream, F.col(key)) + 0.5 if weight is None else weight.cast("double")
+    now = cut(df.select(key, w.alias("_w"), draw(seed, f"{stream} tie", F.col(key)).alias("_tie"), F.lit(least).cast("long").alias("units")))
+    left = total - least * rows
+    while left:
+        open_ = now if most is None else now.where(F.col("units") < most)
+        weights = open_.agg(F.sum("_w")).first()[0]
+        shared = now.withColumn("_share", F.when(F.lit(True) if most is None else F.col("units") < most, F.col("_w") / weights * left).otherwise(0.0))
+        room = F.lit(left) if most is None else most - F.col("units")
+        shared = shared.withColumn("_add", F.least(F.floor("_share"), room.cast("long")))
+        given = shared.agg(F.sum("_add")).first()[0]
+        if not given:
+            # less than one unit for each: one to those with the largest shares
+            free = shared.where("_share > 0")
+            order = F.concat(F.lpad((F.lit(10**15) - F.floor(F.col("_share") * 10**14)).cast("string"), 17, "0"), F.col("_tie"))
+            hit = free.select(key, order.alias("_order")).orderBy("_order").limit(left).select(F.col(key).alias("_hit"))
+            return shared.join(F.broadcast(hit) if left < 100_000 else hit, F.col(key) == F.col("_hit"), "left").select(key, (F.col("units") + F.col("_hit").isNotNull().cast("long")).alias("units"))
+        now, left = cut(shared.select(key, "_w", "_tie", (F.col("units") + F.col("_add")).alias("units"))), left - given
+    return now.select(key, "units")
+
+
+def number_in_groups(df: DataFrame, key: str, group: str, least: int, most: int, seed: int = 42) -> DataFrame:
+    """(key, group, number): each group's rows, in the order of the key, dealt to runs of least to most rows, numbered from 1 within a run."""
+    size = least + whole(most - least + 1, seed, "run", F.col(group), F.col("_run"))
+    # a run's size is a function of its group and its number; runs are laid end to end up to the group's size
+    sizes = df.groupBy(group).agg(F.count("*").alias("_rows")).withColumn("_run", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_rows") / least).cast("int"))))
+    line = Window.partitionBy(group).orderBy("_run")
+    runs = sizes.withColumn("_size", size).withColumn("_end", F.sum("_size").over(line)).withColumn("_begin", F.col("_end") - F.col("_size")).where("_begin < _rows")
+    runs = runs.select(F.col(group).alias("_group"), "_run", "_begin", "_end")
+    placed = df.withColumn("_at", F.row_number().over(Window.partitionBy(group).orderBy(key)) - 1)
+    joined = placed.join(runs, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_at") >= F.col("_begin")) & (F.col("_at") < F.col("_end")))
+    return joined.select(key, group, F.col("_run").alias("run"), (F.col("_at") - F.col("_begin") + 1).cast("int").alias("number"))
+
+
+def unique_pairs(a: DataFrame, b: DataFrame, a_key: str, b_key: str, n: int, seed: int = 42) -> DataFrame:
+    """(a_key, b_key): n distinct pairs in which every key of the larger side, and of the smaller, occurs once before any occurs again.
+
+    Both sides are numbered by their draws; pair i joins number i of each side, counted around, and moved by one
+    at each full turn, so that no pair repeats before all there are.
+    """
+    many, few = a.count(), b.count()
+    if n > many * few:
+        raise ValueError(f"{n} pairs of {many} and {few} keys")
+    if not n:
+        return a.select(a_key).limit(0).crossJoin(b.select(b_key).limit(0))
+    left = chosen(a, a_key, many, seed, "left").select(a_key, (F.col("rank") - 1).cast("long").alias("_x"))
+    right = chosen(b, b_key, few, seed, "right").select(b_key, (F.col("rank") - 1).cast("long").alias("_y"))
+    turn = math.lcm(many, few)
+    i = F.col("id")
+    pairs = a.sparkSession.range(n).select((i % many).alias("_x"), ((i + F.floor(i / turn)) % few).cast("long").alias("_y"))
+    return pairs.join(left, "_x").join(right, "_y").select(a_key, b_key)
+
+
+def preferred_then_rest(df: DataFrame, key: str, n: int, preferred: Column, seed: int = 42, stream: str = "preferred", protected: Column | None = None) -> DataFrame:
+    """(key): n rows that are not protected, preferred ones first, and others only where these are too few."""
+    free = df if protected is None else df.where(~F.coalesce(protected, F.lit(False)))
+    likes = free.where(F.coalesce(preferred, F.lit(False)))
+    first = chosen(likes, key, n, seed, stream).select(key)
+    missing = n - min(n, likes.count())
+    rest = free.where(~F.coalesce(preferred, F.lit(False)))
+    return first if not missing else first.unionAll(chosen(rest, key, missing, seed, stream).select(key))
+
+
+def rebalance(lines: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, totals: DataFrame, total: str) -> DataFrame:
+    """lines with a group's amounts changed in proportion, so that they add up to its new total exactly; groups without one stay.
+
+    Amounts are shared in units of their scale by their old weights; what rounding leaves goes to the first lines.
+    """
+    kind = lines.schema[amount].dataType
+    unit = 10**kind.scale
+    joined = lines.join(totals.select(*keys, F.col(total).alias("_total")), list(keys), "left").withColumn("_weight", (F.col(amount) * unit).cast("long"))
+    group, line = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
+    wanted, all_ = (F.col("_total") * unit).cast("decimal(19,0)"), F.sum("_weight").over(group)
+    joined = joined.withColumn("_share", F.expr("cast(_weight as decimal(19,0))") * wanted).withColumn("_all", all_)
+    joined = joined.withColumn("_floor", F.expr("cast(_share div cast(_all as decimal(19,0)) as bigint)"))
+    joined = joined.withColumn("_left", wanted.cast("long") - F.sum("_floor").over(group)).withColumn("_n", F.row_number().over(line))
+    new = ((F.col("_floor") + (F.col("_n") <= F.col("_left")).cast("long")).cast("decimal(28,0)") / unit).cast(kind)
+    return joined.withColumn(amount, F.when(F.col("_total").isNull(), F.col(amount)).otherwise(new)).select(*lines.columns)
+
+
+def windowed_moment(key: Column, start: Column, end: Column, seed: int = 42, stream: str = "moment") -> Column:
+    """A day in a campaign's window [start, end], drawn by the key; an end before the start is no window."""
+    days = F.datediff(end, start) + 1
+    return F.when(days > 0, F.date_add(start, F.floor(uniform(seed, stream, key) * days).cast("int")))
 
 
 def date_grid(pairs: DataFrame, first: str, last: str) -> DataFrame:
@@ -157,3 +284,9 @@ def transpose_typo(text: Column) -> Column:
     at = F.array_max(F.when(n > 1, places))
     swapped = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.lit(1)), F.substring(text, at, F.lit(1)), F.substring(text, at + 2, n))
     return F.when(n == 0, text).otherwise(F.coalesce(swapped, F.concat(text, F.right(text, F.lit(1)))))
+
+
+def email_typo(email: Column) -> Column:
+    """An address whose part before the @ has a typo; without one the whole text has."""
+    at = F.instr(email, "@")
+    return F.when(at > 1, F.concat(transpose_typo(F.substring(email, F.lit(1), at - 1)), F.substring(email, at, F.length(email)))).otherwise(transpose_typo(email))

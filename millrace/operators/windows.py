@@ -33,8 +33,9 @@ def latest(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
 def allocate(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, units: Column, name: str = "units") -> DataFrame:
     """A group's whole units shared by weight: floors first, then one more from the first row on, so that the total is exact."""
     group, line = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
-    floors = F.floor(units * F.col(weight) / F.sum(weight).over(group)).cast("long")
-    df = df.withColumn("_floor", floors).withColumn("_left", units - F.sum("_floor").over(group)).withColumn("_n", F.row_number().over(line))
+    # whole division of exact products, at any size
+    df = df.withColumn("_all", F.sum(weight).over(group).cast("decimal(19,0)")).withColumn("_share", units.cast("decimal(19,0)") * F.col(weight).cast("decimal(19,0)"))
+    df = df.withColumn("_floor", F.expr("cast(_share div _all as bigint)")).drop("_share", "_all").withColumn("_left", units - F.sum("_floor").over(group)).withColumn("_n", F.row_number().over(line))
     return df.withColumn(name, (F.col("_floor") + (F.col("_n") <= F.col("_left")).cast("long")).cast("long")).drop("_floor", "_left", "_n")
 
 

@@ -72,27 +72,32 @@ def _rep(number: str) -> str:
     return f"CONCAT('Rep ', CAST(({number}) % 12 AS STRING))"
 
 
+def _beside(number: str, n: int) -> str:
+    """A key, or the one before it where it is a multiple of n: those parents stay without children."""
+    return f"({number} - CASE WHEN {number} % {n} = 0 THEN 1 ELSE 0 END)"
+
+
 _opened = day("o_orderkey * 3 + o_custkey", 300)
 _sent = day("l_orderkey * 5 + l_partkey", 280)
 
 TABLES: dict[str, dict[str, str]] = {
     "crm": {
         "accounts": f"SELECT c_custkey AS account_id, CASE WHEN c_custkey % 50 = 0 THEN 'Shared Name' ELSE c_name END AS account_name, CAST(c_custkey % 1000 AS INT) AS account_size, {pick('c_custkey', INDUSTRIES)} AS industry, {pick('c_nationkey', REGIONS)} AS region, {pick('c_custkey + c_nationkey', TIERS)} AS customer_tier, c_custkey % 10 <> 0 AS is_active FROM customer",
-        "contacts": f"SELECT o_orderkey AS contact_id, CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE o_custkey END AS account_id, {pick('o_orderkey', TITLES)} AS title, o_orderkey % 4 <> 0 AS is_active FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey % 6 <> 0",
+        "contacts": f"SELECT o_orderkey AS contact_id, CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE {_beside('o_custkey', 6)} END AS account_id, {pick('o_orderkey', TITLES)} AS title, o_orderkey % 4 <> 0 AS is_active FROM orders",
         "campaigns": f"SELECT p_partkey AS campaign_id, {pick('p_partkey', CAMPAIGN_TYPES)} AS campaign_type, {pick('p_size', CAMPAIGN_STATUSES)} AS status, {pick('p_partkey + p_size', CHANNELS)} AS primary_channel, {money('p_retailprice')} AS budget_amount FROM part",
-        "contact_campaigns": f"SELECT DISTINCT l_orderkey AS contact_id, l_partkey AS campaign_id, CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE {money('((l_orderkey + l_partkey) % 10001) * 0.0001', '5,4')} END AS attribution_weight FROM lineitem WHERE l_orderkey % 3 = 0 AND l_orderkey % 4 <> 0",
-        "interactions": f"SELECT l_orderkey * 8 + l_linenumber AS interaction_id, l_orderkey - l_orderkey % 3 AS contact_id, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE l_partkey % 150 END AS account_id, CASE WHEN l_orderkey % 4 = 0 THEN NULL ELSE l_partkey END AS campaign_id, {pick('l_orderkey + l_linenumber', ENGAGEMENTS)} AS engagement_type, {pick('l_partkey + l_linenumber', CHANNELS)} AS channel, {pick('l_partkey', ('Inbound', 'Outbound'))} AS direction, CAST(l_quantity AS INT) AS engagement_points, {stamp(day('l_orderkey * 7 + l_partkey', 320))} AS interaction_at FROM lineitem WHERE l_partkey % 7 <> 0 AND l_orderkey % 5 <> 0",
+        "contact_campaigns": f"SELECT DISTINCT contact_id, l_partkey AS campaign_id, CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE {money('((contact_id + l_partkey) % 10001) * 0.0001', '5,4')} END AS attribution_weight FROM (SELECT {_beside('l_orderkey', 4)} AS contact_id, l_partkey FROM lineitem) AS s",
+        "interactions": f"SELECT l_orderkey * 8 + l_linenumber AS interaction_id, l_orderkey - l_orderkey % 3 AS contact_id, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE l_partkey % 150 END AS account_id, CASE WHEN l_orderkey % 4 = 0 THEN NULL ELSE {_beside('l_partkey', 7)} END AS campaign_id, {pick('l_orderkey + l_linenumber', ENGAGEMENTS)} AS engagement_type, {pick('l_partkey + l_linenumber', CHANNELS)} AS channel, {pick('l_partkey', ('Inbound', 'Outbound'))} AS direction, CAST(l_quantity AS INT) AS engagement_points, {stamp(day('l_orderkey * 7 + l_partkey', 320))} AS interaction_at FROM lineitem",
         "support_cases": f"SELECT case_id, account_id, contact_id, category, priority, status, {stamp('opened')} AS opened_at, {stamp('opened + CAST(1 + case_id % 4 AS INT)')} AS sla_due_at, CASE WHEN status IN ('Resolved', 'Closed') THEN {stamp('opened + CAST(case_id % 6 AS INT)')} END AS resolved_at FROM (SELECT o_orderkey AS case_id, o_custkey AS account_id, CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderkey - o_orderkey % 3 END AS contact_id, {pick('o_orderkey', CASE_CATEGORIES)} AS category, {pick('o_orderkey + o_custkey', PRIORITIES)} AS priority, {pick('o_custkey * 3 + o_orderkey', CASE_STATUSES)} AS status, {_opened} AS opened FROM orders) AS s",
     },
     "sales": {
         "leads": f"SELECT c_custkey AS lead_id, {pick('c_custkey', LEAD_SOURCES)} AS lead_source, {pick('c_custkey + c_nationkey', LEAD_STATUSES)} AS lead_status, {_rep('c_custkey')} AS rep_name, {pick('c_nationkey', REGIONS)} AS territory FROM customer",
-        "deals": f"SELECT o_orderkey AS deal_id, o_custkey AS lead_id, {_rep('o_custkey')} AS rep_name, {pick('o_orderkey + o_custkey', STAGES)} AS stage, {money('o_totalprice')} AS deal_amount, CASE WHEN (o_orderkey + o_custkey) % 4 >= 2 THEN {_opened} END AS close_date FROM orders WHERE o_custkey % 5 <> 0",
+        "deals": f"SELECT o_orderkey AS deal_id, {_beside('o_custkey', 5)} AS lead_id, {_rep('o_custkey')} AS rep_name, {pick('o_orderkey + o_custkey', STAGES)} AS stage, {money('o_totalprice')} AS deal_amount, CASE WHEN (o_orderkey + o_custkey) % 4 >= 2 THEN {_opened} END AS close_date FROM orders",
         "products": f"SELECT p_partkey AS product_id, {pick('p_partkey', SALES_CATEGORIES, True)} AS category, CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE {money('p_retailprice')} END AS list_price, p_size % 5 <> 0 AS is_active FROM part",
         "quotations": f"SELECT l_orderkey * 8 + l_linenumber AS quotation_id, l_orderkey AS deal_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity, {money('(l_partkey * 37 % 9000) * 0.25')} AS unit_price, {money('ROUND(l_discount * 100, 0)', '5,2')} AS discount_pct, {pick('l_orderkey + l_partkey', QUOTE_STATUSES)} AS quote_status FROM lineitem",
-        "targets": f"SELECT c_custkey * 4 + q AS target_id, CONCAT('Rep ', CAST(c_custkey % 15 AS STRING)) AS rep_name, {pick('c_nationkey', REGIONS)} AS territory, CASE q WHEN 0 THEN DATE '2025-10-01' WHEN 1 THEN DATE '2026-01-01' WHEN 2 THEN DATE '2026-04-01' ELSE DATE '2026-07-01' END AS period_start, CASE q WHEN 0 THEN DATE '2026-01-01' WHEN 1 THEN DATE '2026-04-01' WHEN 2 THEN DATE '2026-07-01' ELSE DATE '2026-10-01' END AS period_end, {money('100000 + 37 * (c_custkey % 1000)')} AS quota_amount FROM customer CROSS JOIN (SELECT 0 AS q UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS quarters WHERE c_custkey < 40",
+        "targets": f"SELECT n_nationkey * 4 + q AS target_id, CONCAT('Rep ', CAST(n_nationkey % 15 AS STRING)) AS rep_name, {pick('n_nationkey', REGIONS)} AS territory, CASE q WHEN 0 THEN DATE '2025-10-01' WHEN 1 THEN DATE '2026-01-01' WHEN 2 THEN DATE '2026-04-01' ELSE DATE '2026-07-01' END AS period_start, CASE q WHEN 0 THEN DATE '2026-01-01' WHEN 1 THEN DATE '2026-04-01' WHEN 2 THEN DATE '2026-07-01' ELSE DATE '2026-10-01' END AS period_end, {money('100000 + 37 * n_nationkey')} AS quota_amount FROM nation CROSS JOIN (SELECT 0 AS q UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS quarters",
     },
     "finance": {
-        "accounts": f"SELECT c_custkey AS account_id, {pick('c_custkey', ACCOUNT_TYPES)} AS account_type, CASE WHEN c_custkey % 10 < 5 THEN NULL ELSE c_custkey - 5 END AS parent_account_id, CASE WHEN c_custkey % 5 IN (0, 4) THEN 'Debit' ELSE 'Credit' END AS normal_balance FROM customer WHERE c_custkey < 200",
+        "accounts": f"SELECT c_custkey AS account_id, {pick('c_custkey', ACCOUNT_TYPES)} AS account_type, CASE WHEN c_custkey % 10 < 5 THEN NULL ELSE c_custkey - 5 END AS parent_account_id, CASE WHEN c_custkey % 5 IN (0, 4) THEN 'Debit' ELSE 'Credit' END AS normal_balance FROM customer",
         "transactions": f"SELECT o_orderkey AS transaction_id, {_opened} AS transaction_date, {pick('o_orderkey', SYSTEMS)} AS source_system, {pick('o_custkey + o_orderkey', CURRENCIES)} AS source_currency, 'USD' AS target_currency, {money('o_totalprice', '19,4')} AS total_amount, o_orderkey % 50 = 0 AS reversed, {stamp(f'{_opened} + CAST(o_orderkey % 3 AS INT)')} AS posted_at FROM orders",
         "ledger_entries": f"SELECT l_orderkey * 8 + l_linenumber AS entry_id, l_orderkey AS transaction_id, l_partkey % 200 AS account_id, l_linenumber AS line_number, CASE WHEN l_linenumber % 2 = 0 THEN {money('l_extendedprice', '19,4')} END AS debit_amount, CASE WHEN l_linenumber % 2 = 1 THEN {money('l_extendedprice', '19,4')} END AS credit_amount, {pick('l_orderkey + l_partkey', POSTINGS)} AS posting_type FROM lineitem",
         "budgets": f"SELECT p_partkey AS budget_id, p_partkey % 200 AS account_id, {day('(p_partkey % 12) * 30', 360)} AS period_start, {day('(p_partkey % 12) * 30', 360, '2025-10-31')} AS period_end, {money('p_retailprice * 10', '19,4')} AS budget_amount, {pick('p_partkey + p_size', SCENARIOS)} AS scenario FROM part",
@@ -101,8 +106,8 @@ TABLES: dict[str, dict[str, str]] = {
     "project_management": {
         "projects": f"SELECT c_custkey AS project_id, {pick('c_custkey', PROJECT_STATUSES)} AS status, {pick('c_custkey + c_nationkey', PRIORITIES)} AS priority, {money('c_acctbal * 100')} AS budget_amount FROM customer",
         "resources": f"SELECT s_suppkey AS resource_id, {pick('s_suppkey', ROLES)} AS role, {pick('s_nationkey', DEPARTMENTS, True)} AS department, {money('20 + s_suppkey % 90', '10,2')} AS hourly_rate, s_suppkey % 6 <> 0 AS is_active FROM supplier",
-        "tasks": f"SELECT o_orderkey AS task_id, o_custkey AS project_id, {pick('o_orderkey + o_custkey', TASK_STATUSES)} AS status, {pick('o_orderkey', TASK_TYPES, True)} AS task_type, {_opened} AS start_date, {_opened} + CAST(o_orderkey % 60 AS INT) AS due_date, CASE WHEN (o_orderkey + o_custkey) % 4 = 3 THEN {_opened} + CAST(o_orderkey % 70 AS INT) END AS completed_date, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE {money('o_orderkey % 160 * 0.25', '8,2')} END AS estimate_hours FROM orders WHERE o_custkey % 4 <> 0",
-        "task_resources": f"SELECT DISTINCT l_orderkey AS task_id, l_suppkey AS resource_id, {money('(l_orderkey + l_suppkey) % 4 * 25 + 25', '5,2')} AS allocation_pct FROM lineitem WHERE l_linenumber < 4",
+        "tasks": f"SELECT o_orderkey AS task_id, {_beside('o_custkey', 4)} AS project_id, {pick('o_orderkey + o_custkey', TASK_STATUSES)} AS status, {pick('o_orderkey', TASK_TYPES, True)} AS task_type, {_opened} AS start_date, {_opened} + CAST(o_orderkey % 60 AS INT) AS due_date, CASE WHEN (o_orderkey + o_custkey) % 4 = 3 THEN {_opened} + CAST(o_orderkey % 70 AS INT) END AS completed_date, CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE {money('o_orderkey % 160 * 0.25', '8,2')} END AS estimate_hours FROM orders",
+        "task_resources": f"SELECT DISTINCT task_id, resource_id, {money('(task_id + resource_id) % 4 * 25 + 25', '5,2')} AS allocation_pct FROM (SELECT l_orderkey AS task_id, l_suppkey + CASE WHEN l_linenumber < 4 THEN 0 ELSE 1 END AS resource_id FROM lineitem) AS s",
         "milestones": f"SELECT p_partkey AS milestone_id, p_partkey % 150 AS project_id, {pick('p_size', MILESTONE_STATUSES)} AS status, {day('p_partkey * 3', 300)} AS planned_date, CASE WHEN p_size % 4 = 2 THEN {day('p_partkey * 3 + 2', 302)} END AS actual_date FROM part",
         "time_entries": f"SELECT l_orderkey * 8 + l_linenumber AS entry_id, l_orderkey AS task_id, l_suppkey AS resource_id, {_sent} AS entry_date, {money('(1 + l_quantity % 16) * 0.5', '6,2')} AS hours, l_partkey % 3 <> 0 AS billable, {pick('l_partkey', WORK_TYPES)} AS work_type FROM lineitem",
     },
@@ -110,7 +115,7 @@ TABLES: dict[str, dict[str, str]] = {
         "carriers": f"SELECT s_suppkey AS carrier_id, {pick('s_suppkey', SERVICE_LEVELS)} AS service_level, {pick('s_suppkey + s_nationkey', CARRIER_TYPES, True)} AS carrier_type FROM supplier",
         "warehouses": f"SELECT n_nationkey AS warehouse_id, {pick('n_nationkey', HOUSE_REGIONS)} AS region, CAST(1000 + n_nationkey * 10 AS INT) AS capacity_units FROM nation",
         "orders": f"SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 20 = 0 THEN NULL WHEN o_orderkey % 33 = 0 THEN 900000000 + o_orderkey ELSE o_custkey % 25 END AS warehouse_id, {_opened} AS order_date, {pick('o_orderkey + o_custkey', ORDER_STATUSES)} AS status, {pick('o_custkey', ORDER_PRIORITIES)} AS order_priority, {money('o_totalprice')} AS total_amount FROM orders",
-        "shipments": f"SELECT l_orderkey * 8 + l_linenumber AS shipment_id, l_orderkey AS order_id, l_suppkey AS carrier_id, {_sent} AS ship_date, CASE WHEN l_partkey % 5 = 2 THEN {_sent} + CAST(l_partkey % 9 AS INT) END AS delivery_date, {pick('l_partkey', SHIPMENT_STATUSES)} AS status, CASE WHEN l_partkey % 40 = 0 THEN NULL ELSE {money('l_tax * 100 + l_quantity')} END AS shipping_cost FROM lineitem WHERE l_orderkey % 6 <> 0",
+        "shipments": f"SELECT l_orderkey * 8 + l_linenumber AS shipment_id, {_beside('l_orderkey', 6)} AS order_id, l_suppkey AS carrier_id, {_sent} AS ship_date, CASE WHEN l_partkey % 5 = 2 THEN {_sent} + CAST(l_partkey % 9 AS INT) END AS delivery_date, {pick('l_partkey', SHIPMENT_STATUSES)} AS status, CASE WHEN l_partkey % 40 = 0 THEN NULL ELSE {money('l_tax * 100 + l_quantity')} END AS shipping_cost FROM lineitem",
         "inventory": f"SELECT p_partkey AS inventory_id, p_partkey % 25 AS warehouse_id, {pick('p_partkey + p_size', STOCK_CATEGORIES, True)} AS product_category, CAST(p_size * 10 AS INT) AS quantity_on_hand, CAST(p_size * 3 AS INT) AS reorder_point FROM part",
     },
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from millrace.operators import quality, scorecard, synth, windows
 
 from .catalog import FAMILIES
 from .demo import TABLES, demo_sql, demo_tables
+from .gates import GATES, domain_gate, gate_sql
 from .metrics import METRICS, metric, metric_sql
 from .special import SPECIAL
 
@@ -48,6 +50,10 @@ for _domain, _metric in METRICS:
     query(f"metric_{_domain}_{_metric}", demo_sql(_domain, metric_sql(_domain, _metric)))(lambda spark, sf, d=_domain, m=_metric: metric(spark, demo_tables(spark, sf, d), d, m))
 
 
+for _domain in GATES:
+    query(f"gate_{_domain}", demo_sql(_domain, gate_sql(_domain)))(lambda spark, sf, d=_domain: domain_gate(demo_tables(spark, sf, d), d))
+
+
 # ---- star schema
 
 
@@ -216,9 +222,13 @@ def dq_grid(spark, sf):
     return quality.grid(demo_tables(spark, sf, "finance")["fx_rates"], "from_currency", "rate_date", "grid")
 
 
-@rule("acyclic", "SELECT 0 AS v")
+#: Customers in chains of parents, one in seven chains closed to a cycle.
+_TREE = "SELECT c_custkey AS k, CASE WHEN c_custkey % 9 > 0 THEN c_custkey - 1 WHEN c_custkey % 7 = 0 THEN c_custkey + 4 END AS p FROM "
+
+
+@rule("acyclic", f"SELECT COUNT(DISTINCT k) AS v FROM (WITH RECURSIVE t AS ({_TREE} customer), r AS (SELECT k, p FROM t WHERE p IS NOT NULL UNION SELECT r.k, t.p FROM r INNER JOIN t ON r.p = t.k WHERE t.p IS NOT NULL) SELECT k FROM r WHERE p IN (SELECT k FROM r WHERE k = p)) AS c")
 def dq_acyclic(spark, sf):
-    return quality.acyclic(demo_tables(spark, sf, "finance")["accounts"], "account_id", "parent_account_id", "acyclic")
+    return quality.acyclic(spark.sql(_TREE + "{customer}", customer=table(spark, sf, "customer")), "k", "p", "acyclic")
 
 
 @rule("fixed_scale", "SELECT COUNT(*) AS v FROM orders WHERE NOT regexp_full_match(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '-?[0-9]{1,5}[.][0-9]{2}')")
@@ -280,12 +290,36 @@ def near_duplicates(spark, sf):
     return synth.near_duplicates(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 20, {"o_custkey": F.col("o_custkey") + 1})
 
 
-@query("inject_outliers")
+def _uniform_sql(stream: str, key: str = "o_orderkey", more: str = "") -> str:
+    return f"(CAST(CAST('0x' || substr(md5('42:{stream}:' || CAST({key} AS VARCHAR){more}), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496)"
+
+
+def _whole_sql(n: int, stream: str, key: str = "o_orderkey", more: str = "") -> str:
+    return f"(CAST('0x' || substr(md5('42:{stream}:' || CAST({key} AS VARCHAR){more}), 1, 13) AS BIGINT) % {n})"
+
+
+@query("inject_outliers", f"SELECT o_orderkey, CASE WHEN rank <= 12 THEN ROUND(9e6 + (9.9e6 - 9e6) * {_uniform_sql('outlier value:o_totalprice')}, 2) ELSE o_totalprice END AS o_totalprice FROM orders INNER JOIN ({_DRAWN.format(stream='outlier:o_totalprice')}) AS d USING (o_orderkey)")
 def inject_outliers(spark, sf):
     return synth.inject_outliers(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", "o_totalprice", 12, 9e6, 9.9e6)
 
 
-@query("synthetic_amounts")
+def _poisson_sql(u: str, rate: float, most: int = 60) -> str:
+    """Values by the sums of the distribution's terms; each is the one before times rate / k."""
+    terms = [math.exp(-rate)]
+    for k in range(1, most):
+        terms.append(terms[-1] * rate / k)
+    return "CASE " + " ".join(f"WHEN {u} < {sum(terms[: k + 1])!r} THEN {k}" for k in range(most)) + f" ELSE {most} END"
+
+
+_MIX = f"""SELECT o_orderkey, {_uniform_sql('amount')} AS m, {_uniform_sql('c')} AS c, {_uniform_sql('a')} AS a, {_uniform_sql('b')} AS b, {_uniform_sql('kind')} AS k, {_uniform_sql('n')} AS u FROM orders"""
+
+
+@query(
+    "synthetic_amounts",
+    f"""SELECT o_orderkey, ROUND(least(1e6, 50.0 * pow(1 - m, CAST(-1.0 AS DOUBLE) / 1.6)), 2) AS amount,
+    CAST(greatest(0, least(364, round_even(CASE WHEN c < 0.7 THEN 0.3 * 365 ELSE 0.8 * 365 END + CASE WHEN c < 0.7 THEN 0.1 * 365 ELSE 0.05 * 365 END * sqrt(-2 * ln(1 - a)) * cos(2 * pi() * b), 0))) AS INTEGER) AS day,
+    CASE WHEN k < 0.5 THEN 'a' WHEN k < 0.8 THEN 'b' ELSE 'c' END AS kind, {_poisson_sql('u', 2.5)} AS n FROM ({_MIX}) AS d""",
+)
 def synthetic_amounts(spark, sf):
     """Heavy-tailed amounts, mixture dates, weighted choices and Poisson counts, by key."""
     key = F.col("o_orderkey")
@@ -293,9 +327,61 @@ def synthetic_amounts(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", synth.pareto(u("amount"), 1.6, 50, 1e6).alias("amount"), synth.mixture_offset(u("c"), u("a"), u("b"), 365, [(0.7, 0.3, 0.1), (0.3, 0.8, 0.05)]).alias("day"), synth.choose(u("kind"), {"a": 0.5, "b": 0.3, "c": 0.2}).alias("kind"), synth.poisson(u("n"), 2.5).alias("n"))
 
 
-@query("double_entry")
+_FIRST, _OTHER = (_whole_sql(n, stream, more=" || ':' || CAST(p AS VARCHAR)") for n, stream in ((50, "debit account"), (49, "credit account")))
+
+
+@query(
+    "double_entry",
+    f"""SELECT o_orderkey, line_number, CASE WHEN line_number % 2 = 1 THEN f ELSE (f + 1 + g) % 50 END AS account_id, CASE WHEN (line_number % 2 = 1) <> undone THEN part END AS debit_amount, CASE WHEN (line_number % 2 = 1) = undone THEN part END AS credit_amount, CASE WHEN undone THEN 'Reversal' ELSE 'Standard' END AS posting_type
+    FROM (SELECT o_orderkey, p * 2 - l AS line_number, undone, {_FIRST} AS f, {_OTHER} AS g, CAST((CASE WHEN p = 1 THEN units - units // 2 ELSE units // 2 END) / CAST(10000 AS DECIMAL(10,0)) AS DECIMAL(19,4)) AS part
+    FROM (SELECT o_orderkey, o_orderkey % 50 = 0 AS undone, CAST(CAST(o_totalprice AS DECIMAL(19,4)) * 10000 AS BIGINT) AS units FROM orders INNER JOIN ({_DRAWN.format(stream='unposted')}) AS d USING (o_orderkey) WHERE rank > 75) AS t CROSS JOIN (SELECT UNNEST([1, 2]) AS p) AS p CROSS JOIN (SELECT UNNEST([0, 1]) AS l) AS l) AS e""",
+)
 def double_entry(spark, sf):
-    return synth.double_entry(table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(19,4)").alias("amount")), "o_orderkey", "amount", 50)
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(19,4)").alias("amount"), (F.col("o_orderkey") % 50 == 0).alias("undone"))
+    return synth.double_entry(orders, "o_orderkey", "amount", 50, pairs=2, reversal="undone", unposted=75)
+
+
+@query("unique_pairs", "SELECT CAST(200 AS BIGINT) AS pairs, CAST((SELECT COUNT(*) FROM nation) AS BIGINT) AS nations, CAST((SELECT least(200, COUNT(*)) FROM supplier) AS BIGINT) AS suppliers")
+def unique_pairs(spark, sf):
+    """How many pairs, and that they cover both sides."""
+    pairs = synth.unique_pairs(table(spark, sf, "nation"), table(spark, sf, "supplier"), "n_nationkey", "s_suppkey", 200)
+    return pairs.distinct().agg(F.count("*").alias("pairs"), F.count_distinct("n_nationkey").alias("nations"), F.count_distinct("s_suppkey").alias("suppliers"))
+
+
+@query("preferred_then_rest", f"SELECT rate_id FROM (SELECT rate_id, ROW_NUMBER() OVER (ORDER BY CASE WHEN used THEN 0 ELSE 1 END, md5('42:preferred:' || CAST(rate_id AS VARCHAR)), rate_id) AS rank FROM (SELECT rate_id, EXISTS (SELECT 1 FROM transactions WHERE source_currency = from_currency AND transaction_date = rate_date AND source_system = 'Manual') AS used FROM fx_rates WHERE from_currency <> 'USD') AS u) AS r WHERE rank <= 500".replace("SELECT rate_id FROM", "SELECT rate_id FROM", 1))
+def preferred_then_rest(spark, sf):
+    """Rates to be lost: those that manual transactions use first, never the reporting currency's."""
+    t = demo_tables(spark, sf, "finance")
+    used = t["transactions"].where("source_system = 'Manual'").select(F.col("source_currency").alias("c"), F.col("transaction_date").alias("d")).distinct().withColumn("used", F.lit(True))
+    rates = t["fx_rates"].join(used, (F.col("from_currency") == F.col("c")) & (F.col("rate_date") == F.col("d")), "left")
+    return synth.preferred_then_rest(rates, "rate_id", 500, F.col("used"), protected=F.col("from_currency") == "USD")
+
+
+ORACLE_SQL["preferred_then_rest"] = demo_sql("finance", ORACLE_SQL["preferred_then_rest"])
+
+
+@query("rebalance", """SELECT l_orderkey, l_linenumber, CAST(CAST(fl + CASE WHEN n <= 100000 - fs THEN 1 ELSE 0 END AS DECIMAL(18,0)) / CAST(100 AS DECIMAL(18,0)) AS DECIMAL(18,2)) AS amount FROM (SELECT *, SUM(fl) OVER (PARTITION BY l_orderkey) AS fs, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, w) AS n FROM
+    (SELECT l_orderkey, l_linenumber, w, CAST(CAST(w AS HUGEINT) * 100000 // CAST(SUM(w) OVER (PARTITION BY l_orderkey) AS HUGEINT) AS BIGINT) AS fl FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS w FROM lineitem) AS a) AS b) AS c WHERE l_orderkey % 7 = 0
+    UNION ALL SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(18,2)) FROM lineitem WHERE l_orderkey % 7 <> 0""")
+def rebalance(spark, sf):
+    """Orders whose total became 1,000 get their lines changed in proportion."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    totals = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1000).cast("decimal(18,2)").alias("total"))
+    return synth.rebalance(lines, ["l_orderkey"], ["l_linenumber", "amount"], "amount", totals, "total")
+
+
+@query("numbered_runs", "SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS groups, 1 AS least, 0 AS gaps, 0 AS over FROM orders")
+def numbered_runs(spark, sf):
+    """Quote numbers within runs of one to four, and that none is missing, too high or repeated."""
+    placed = synth.number_in_groups(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", "o_custkey", 1, 4)
+    runs = placed.groupBy("o_custkey", "run").agg(F.count("*").alias("n"), F.min("number").alias("lo"), F.max("number").alias("hi"), F.count_distinct("number").alias("d"))
+    return runs.agg(F.sum("n").alias("rows"), F.count_distinct("o_custkey").alias("groups"), F.min("lo").alias("least"), F.sum(((F.col("hi") != F.col("n")) | (F.col("d") != F.col("n"))).cast("int")).cast("int").alias("gaps"), F.sum((F.col("hi") > 4).cast("int")).cast("int").alias("over"))
+
+
+@query("campaign_moments", f"SELECT p_partkey, CAST(start + CAST(FLOOR({_uniform_sql('moment', 'p_partkey')} * (p_size + 1)) AS INT) AS DATE) AS day FROM (SELECT p_partkey, p_size, DATE '2026-01-01' + CAST(p_size AS INT) AS start FROM part) AS p")
+def campaign_moments(spark, sf):
+    start = F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size").cast("int"))
+    return table(spark, sf, "part").select("p_partkey", synth.windowed_moment(F.col("p_partkey"), start, F.date_add(start, F.col("p_size").cast("int"))).alias("day"))
 
 
 @query("date_grid", "SELECT n_nationkey, CAST(d AS DATE) AS day FROM nation CROSS JOIN generate_series(DATE '2026-01-01', DATE '2026-01-31', INTERVAL 1 DAY) AS g(d)")
@@ -303,12 +389,28 @@ def date_grid(spark, sf):
     return synth.date_grid(table(spark, sf, "nation").select("n_nationkey"), "2026-01-01", "2026-01-31")
 
 
-@query("transpose_typo")
+def _typo_sql(text: str) -> str:
+    """The last place at which neighbours differ decides."""
+    at = f"list_max(list_filter(range(1, CAST(length({text}) AS BIGINT)), lambda i: substr({text}, i, 1) <> substr({text}, i + 1, 1)))"
+    return f"CASE WHEN length({text}) = 0 THEN {text} ELSE COALESCE(substr({text}, 1, {at} - 1) || substr({text}, {at} + 1, 1) || substr({text}, {at}, 1) || substr({text}, {at} + 2), {text} || right({text}, 1)) END"
+
+
+@query("transpose_typo", f"SELECT p_partkey, {_typo_sql('p_name')} AS typo FROM part")
 def transpose_typo(spark, sf):
     return table(spark, sf, "part").select("p_partkey", synth.transpose_typo(F.col("p_name")).alias("typo"))
 
 
-@query("mean_reverting_rates")
+@query("email_typo", f"SELECT c_custkey, {_typo_sql('l')} || '@x.org' AS typo FROM (SELECT c_custkey, replace(lower(c_name), '#', '.') AS l FROM customer) AS c")
+def email_typo(spark, sf):
+    address = F.concat(F.translate(F.lower("c_name"), "#", "."), F.lit("@x.org"))
+    return table(spark, sf, "customer").select("c_custkey", synth.email_typo(address).alias("typo"))
+
+
+@query(
+    "mean_reverting_rates",
+    demo_sql("finance", f"""SELECT rate_id, from_currency, rate_date, anchor, shock, rate FROM (WITH RECURSIVE s AS (SELECT rate_id, from_currency, rate_date, rate AS anchor, CAST(ROUND(({_uniform_sql('shock', 'rate_id')} - 0.5) / 100, 6) AS DECIMAL(19,6)) AS shock, ROW_NUMBER() OVER (PARTITION BY from_currency ORDER BY rate_date) AS n FROM fx_rates WHERE rate IS NOT NULL),
+    r AS (SELECT *, CAST(anchor + shock AS DECIMAL(19,6)) AS rate FROM s WHERE n = 1 UNION ALL SELECT s.*, CAST(ROUND(r.rate - (r.rate - s.anchor) * CAST(0.05 AS DECIMAL(3,2)) + s.shock, 6) AS DECIMAL(19,6)) FROM r INNER JOIN s ON s.from_currency = r.from_currency AND s.n = r.n + 1) SELECT * FROM r) AS x"""),
+)
 def mean_reverting_rates(spark, sf):
     """A decimal recurrence over each currency's days."""
     rates = demo_tables(spark, sf, "finance")["fx_rates"].where("rate IS NOT NULL")
@@ -324,9 +426,12 @@ def answer_lines(spark, sf):
     return answers.answer_lines(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"))
 
 
-@query("table_digest")
+_DIGEST = "md5(COALESCE(CAST(o_custkey AS VARCHAR), '\\N') || '|' || COALESCE(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '\\N') || '|' || COALESCE(CAST(o_orderkey AS VARCHAR), '\\N') || '|' || COALESCE(o_orderpriority, '\\N') || '|' || COALESCE(o_orderstatus, '\\N'))"
+
+
+@query("table_digest", f"SELECT CAST(COUNT(*) AS BIGINT) AS rows, sha256(COUNT(*) || ':' || SUM(CAST(CAST('0x' || substr(h, 1, 15) AS BIGINT) AS DECIMAL(38,0))) || ':' || SUM(CAST(CAST('0x' || substr(h, 16, 15) AS BIGINT) AS DECIMAL(38,0)))) AS digest FROM (SELECT {_DIGEST} AS h FROM orders) AS d")
 def table_digest(spark, sf):
-    return answers.table_digest(table(spark, sf, "orders"))
+    return answers.table_digest(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority", "o_orderstatus"))
 
 
 _GOLDEN = "concat(o_orderstatus, ' | ', CAST(o_custkey AS STRING))"
@@ -337,7 +442,22 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.expr(_GOLDEN).alias("golden"), F.expr(_ANSWER).alias("answer"))
 
 
-@query("score_modes", "SELECT o_orderkey, o_orderkey % 4 <> 0 AS scalar, o_orderkey % 4 IN (1, 3) AS tabular, o_orderkey % 4 <> 0 AS ordered FROM orders")
+#: The same texts and rules for the other engine: numbers are read from the texts, rows and cells are compared one by one.
+_NUM = r"list_transform(regexp_extract_all(replace(replace({0}, ',', ''), '$', ''), '-?[0-9]+(?:[.][0-9]+)?'), lambda x: CAST(x AS DECIMAL(38,10)))"
+_NORM = r"lower(trim(regexp_replace({0}, '\s+', ' ', 'g')))"
+_FIRST_NUM = "(CASE WHEN len({g}) = 0 THEN {ng} = {na} ELSE COALESCE({a}[1] = {g}[1], false) END)"
+_CELL = "(CASE WHEN len({g}) = 1 AND len({a}) >= 1 THEN {a}[1] = {g}[1] ELSE {ng} = {na} END)"
+
+
+def _both(form: str, golden: str, answer: str) -> str:
+    return form.format(g=_NUM.format(golden), a=_NUM.format(answer), ng=_NORM.format(golden), na=_NORM.format(answer))
+
+
+_CELLS = "len(string_split(golden, '|')) = len(string_split(answer, '|')) AND " + " AND ".join(_both(_CELL, f"string_split(golden, '|')[{k}]", f"COALESCE(string_split(answer, '|')[{k}], '')") for k in (1, 2))
+_TEXTS = f"SELECT o_orderkey, {_GOLDEN.replace('STRING', 'VARCHAR')} AS golden, {_ANSWER.replace('STRING', 'VARCHAR')} AS answer FROM orders"
+
+
+@query("score_modes", f"SELECT o_orderkey, {_both(_FIRST_NUM, 'golden', 'answer')} AS scalar, {_CELLS} AS tabular, list_contains({_NUM.format('answer')}, {_NUM.format('golden')}[1]) AS ordered FROM ({_TEXTS}) AS t")
 def score_modes(spark, sf):
     g, a = F.col("golden"), F.col("answer")
     return _scored(spark, sf).select("o_orderkey", scoring.scalar_exact(g, a).alias("scalar"), scoring.table_exact(g, a).alias("tabular"), scoring.judge_plus_exact(g, a, F.lit(None).cast("boolean")).alias("ordered"))
@@ -348,11 +468,19 @@ def score_owned_labels(spark, sf):
     return scoring.match_owned(_scored(spark, sf), "golden", "answer").select("o_orderkey", F.col("match.result").alias("result"), F.size("match.satisfied").alias("satisfied"))
 
 
-@query("null_handling", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'unknown' ELSE 'not_applicable' END AS status FROM orders")
+_ASKED = "CASE k WHEN 3 THEN 'T1' ELSE 't3 ' END AS tier, CASE k WHEN 0 THEN 'SELECT 1 FROM a LEFT JOIN b ON a.x = b.x' WHEN 1 THEN 'SELECT 1 FROM a JOIN b ON a.x = b.x' WHEN 3 THEN 'SELECT 1' WHEN 4 THEN 'select 1 from a where not  exists (select 1 from b)' WHEN 5 THEN 'select count(*) from a' END AS sql"
+
+
+@query(
+    "null_handling",
+    rf"""SELECT o_orderkey, CASE WHEN upper(trim(tier)) <> 'T3' THEN 'not_applicable' WHEN COALESCE(trim(sql), '') = '' THEN 'unknown'
+    WHEN regexp_matches(sql, '(?i)\b(left|right|full)\s+(outer\s+)?join\b|\bnot\s+exists\b|\bnot\s+in\s*\(|\bis\s+null\b|\bexcept\b|\bcoalesce\s*\(') THEN 'pass' WHEN regexp_matches(sql, '(?i)\bjoin\b') THEN 'fail' ELSE 'unknown' END AS status FROM (SELECT o_orderkey, {_ASKED} FROM (SELECT o_orderkey, o_orderkey % 6 AS k FROM orders) AS o) AS t""",
+)
 def null_handling(spark, sf):
-    k = F.col("o_orderkey") % 4
-    sql = F.when(k == 0, "SELECT 1 FROM a LEFT JOIN b ON a.x = b.x").when(k == 1, "SELECT 1 FROM a JOIN b ON a.x = b.x").when(k == 3, "SELECT 1")
-    return table(spark, sf, "orders").select("o_orderkey", scoring.null_handling(F.when(k == 3, "T1").otherwise("t3 "), F.lit("SELECT 1 FROM a"), sql).alias("status"))
+    asked = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 6).alias("k")).selectExpr("o_orderkey", *_ASKED.split(" AS tier, ")[0:1]).toDF("o_orderkey", "tier")
+    sql = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 6).alias("k")).selectExpr("o_orderkey", _ASKED.split(" AS tier, ")[1])
+    both = asked.join(sql, "o_orderkey")
+    return both.select("o_orderkey", scoring.null_handling(F.col("tier"), F.lit("SELECT 1 FROM a"), F.col("sql")).alias("status"))
 
 
 @query(
@@ -447,7 +575,10 @@ def latest_runs(spark, sf):
     return scorecard.latest_runs(table(spark, sf, "orders").select(F.col("o_orderpriority").alias("domain"), F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("pass")))
 
 
-@query("release_blockers")
+_BLOCKERS = {"not a release run": "n_nationkey % 4 = 0", "judge not calibrated": "n_nationkey % 2 <> 0", "comparison policy relaxed": "n_nationkey % 3 = 0", "temperature not enforced": "n_nationkey % 5 = 0", "platform errors": "n_nationkey % 7 > 0"}
+
+
+@query("release_blockers", " UNION ALL ".join(f"SELECT n_name AS domain, n_nationkey AS run_id, '{name}' AS blocker FROM nation WHERE {when}" for name, when in _BLOCKERS.items()))
 def release_blockers(spark, sf):
     k = F.col("n_nationkey")
     flags = {"calibrated": k % 2 == 0, "default_policy": k % 3 != 0, "temperature_enforced": k % 5 != 0, "seed_enforced": F.lit(True)}

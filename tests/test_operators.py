@@ -153,3 +153,62 @@ def test_calibration_defeats_constant_judges(spark):
     assert good.passed and not good.constant_ok
     dull = scorecard.calibration(spark.createDataFrame([(i, "factual", 3, 3) for i in range(12)], "anchor_id int, dimension string, human int, judge int")).first()
     assert dull.constant_ok and not dull.passed
+
+
+def test_whole_units_are_shared_exactly(spark):
+    df = spark.range(100)
+    for total, least, most in ((100, 1, None), (777, 1, None), (777, 2, 9), (900, 1, 9), (103, 1, 2), (0, 0, 5)):
+        units = [r.units for r in synth.allocate_whole(df, "id", total, least, most).collect()]
+        assert len(units) == 100 and sum(units) == total and min(units) >= least and (most is None or max(units) <= most)
+    with pytest.raises(ValueError, match="cannot be shared"):
+        synth.allocate_whole(df, "id", 901, 1, 9)
+
+
+def test_pairs_cover_both_sides_before_they_repeat(spark):
+    a, b = spark.range(12).withColumnRenamed("id", "a"), spark.range(8).withColumnRenamed("id", "b")
+    for n in (0, 5, 12, 30, 96):
+        pairs = [tuple(r) for r in synth.unique_pairs(a, b, "a", "b", n).collect()]
+        assert len(set(pairs)) == len(pairs) == n
+        assert len({x for x, _ in pairs}) == min(n, 12) and len({y for _, y in pairs}) == min(n, 8)
+    with pytest.raises(ValueError, match="97 pairs"):
+        synth.unique_pairs(a, b, "a", "b", 97)
+
+
+def test_chosen_rows_are_the_first_of_all_draws(spark):
+    df = spark.range(3_000)
+    draws = sorted((r.d, r.id) for r in df.select("id", synth.draw(7, "s", F.col("id")).alias("d")).collect())
+    for n in (0, 1, 40, 2_999, 5_000):
+        got = {r.id: r["rank"] for r in synth.chosen(df, "id", n, 7, "s").collect()}
+        assert got == {k: i for i, (_, k) in enumerate(draws[:n], 1)}
+
+
+def test_gates_find_what_is_wrong(spark):
+    deep = [(i, i - 1 if i else None, "A") for i in range(40)]
+    tree = lambda rows: spark.createDataFrame(rows, "k int, p int, t string")
+    assert violations(q.acyclic(tree(deep), "k", "p", "x")) == 0
+    assert violations(q.acyclic(tree([*deep, (50, 51, "A"), (51, 50, "A"), (52, 50, "A"), (53, 99, "A")]), "k", "p", "x")) == 3
+    assert violations(q.same_as_parent(tree([(1, None, "A"), (2, 1, "B"), (3, 1, "A"), (4, 9, "C")]), "k", "p", "t", "x")) == 1
+    parents, children = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string"), spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "c"), (2, None), (3, "z")], "k int, v string")
+    assert violations(q.agrees(children, parents, "k", "v", "x")) == 3 and violations(q.agrees(children, parents, "k", "v", "x", required=False)) == 2
+    orders = spark.createDataFrame([(1, "Shipped"), (2, "Shipped"), (3, "Delivered"), (4, "Delivered"), (5, "Pending")], "k int, s string")
+    shipped = spark.createDataFrame([(1, "Lost"), (3, "Lost"), (4, "Delivered")], "k int, t string")
+    assert violations(q.evidence(orders, shipped, "k", "s", {"Shipped": F.lit(True), "Delivered": F.col("t") == "Delivered"}, "x")) == 2
+    assert q.shape({"a": orders}, {"a": ["k", "s"]}, "d") == [] and len(q.shape({"a": orders}, {"a": ["s", "k"], "b": []}, "d")) == 2
+    same = {r.table: r.same for r in q.reproducible({"a": orders, "b": shipped}, {"a": orders.repartition(3), "b": shipped.limit(2)}).collect()}
+    assert same == {"a": True, "b": False}
+    assert violations(q.same_pairs(parents, children, ["k", "v"], "x")) == 4 and violations(q.one_each(children, "k", "v", "x")) == 1
+
+
+def test_exact_money_refuses_floats(spark):
+    from pyspark.errors import SparkRuntimeException
+
+    df = spark.range(1)
+    assert df.select(money.quantise(F.lit("2.345"), 10, 2).alias("x")).first().x == Decimal("2.35") == df.select(money.quantise(F.lit(Decimal("-2.345")), 10, 2).alias("x")).first().x * -1
+    for bad in (F.lit(2.5), F.lit(float("nan"))):
+        with pytest.raises(SparkRuntimeException, match="exact number"):
+            df.select(money.quantise(bad, 10, 2)).collect()
+    assert df.select(money.minor_units(F.lit(Decimal("12.30"))).alias("x")).first().x == 1230
+    with pytest.raises(SparkRuntimeException, match="more than 2 decimals"):
+        df.select(money.minor_units(F.lit(Decimal("12.305")))).collect()
+    due = df.select(money.due_at(F.lit("2026-01-30").cast("date"), F.lit("Low")).alias("x"), money.due_at(F.lit("2026-01-30").cast("date"), F.lit("?")).alias("y")).first()
+    assert due.x == datetime.datetime(2026, 2, 2) and due.y is None
