@@ -136,9 +136,13 @@ def release_blockers(runs: DataFrame) -> DataFrame:
     return found.select("domain", "run_id", "blocker")
 
 
-def rerun_selection(rows: DataFrame, ambiguous: Column) -> DataFrame:
-    """Questions to ask again: those that did not pass, without those whose wording allows another reading."""
-    return rows.where((F.col("result") != "pass") & ~F.coalesce(ambiguous, F.lit(False)))
+def rerun_selection(rows: DataFrame, pairs: DataFrame, ambiguous: Column, key: str = "question_id") -> DataFrame:
+    """The pairs to ask again: those whose row did not pass, without those whose wording allows another reading; rows without a pair are left out.
+
+    ambiguous is over the joined row and pair, see runs.ambiguous.
+    """
+    open_ = rows.where(F.col("result") != "pass").join(pairs, key).where(~F.coalesce(ambiguous, F.lit(False))).select(key)
+    return pairs.join(open_, key, "left_semi")
 
 
 def aggregates_used(sql: Column) -> Column:

@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import answers, scoring
-from millrace.operators import quality, scorecard, synth, windows
+from millrace.functions import answers, scoring, texts
+from millrace.operators import quality, runs, scorecard, summary, synth, windows
 
+from . import driver
 from .catalog import FAMILIES
 from .demo import TABLES, demo_sql, demo_tables
 from .gates import GATES, domain_gate, gate_sql
@@ -586,4 +587,55 @@ def release_blockers(spark, sf):
     return scorecard.release_blockers(runs)
 
 
+_SUMMARY = "SELECT '{c}' AS \"column\", COUNT({c}) AS known, COUNT(*) - COUNT({c}) AS missing, CAST(MIN({c}) AS DOUBLE) AS least, CAST(MAX({c}) AS DOUBLE) AS most, CAST(ROUND(AVG({c}), 2) AS DOUBLE) AS mean, COUNT(DISTINCT {c}) AS \"distinct\" FROM support_points"
+
+
+@query("column_summaries", "WITH support_points AS (SELECT CASE WHEN o_orderkey % 9 > 0 THEN o_custkey END AS custkey, o_orderkey % 100 AS points FROM orders) " + " UNION ALL ".join(_SUMMARY.format(c=c) for c in ("custkey", "points")))
+def column_summaries(spark, sf):
+    points = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 9 > 0, F.col("o_custkey")).alias("custkey"), (F.col("o_orderkey") % 100).alias("points"))
+    return summary.summarise(points, ["custkey", "points"])
+
+
+_PHRASES = {"_note": "not a token", "1-URGENT": "urgent", "5-LOW": "of low priority"}
+
+
+@query("names_and_labels", r"SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '5-LOW' THEN 'of low priority' ELSE o_orderpriority END AS label, trim(regexp_replace(lower(o_orderpriority || ' / ' || o_orderstatus), '[^a-z0-9]+', '.', 'g'), '.') AS slug, 'ORD-' || CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 5 THEN CAST(o_orderkey AS VARCHAR) ELSE lpad(CAST(o_orderkey AS VARCHAR), 5, '0') END AS code, lower(regexp_replace('SELECT  SUM( x )' || chr(10) || 'FROM ' || o_orderstatus, '[\s()]', '', 'g')) AS compact FROM orders")
+def names_and_labels(spark, sf):
+    text = F.concat(F.lit("SELECT  SUM( x )\nFROM "), "o_orderstatus")
+    return table(spark, sf, "orders").select("o_orderkey", texts.label(F.col("o_orderpriority"), _PHRASES).alias("label"), texts.slug(F.concat_ws(" / ", "o_orderpriority", "o_orderstatus")).alias("slug"), texts.padded("ORD-", F.col("o_orderkey")).alias("code"), texts.compact_sql(text).alias("compact"))
+
+
+@query("rephrase_integrity", "SELECT o_custkey AS rephrase_group_id, COUNT(*) AS members, CAST(SUM(CASE WHEN o_orderkey % 4 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS bases, COUNT(DISTINCT o_orderstatus) AS hashes, SUM(CASE WHEN o_orderkey % 4 = 1 THEN 1 ELSE 0 END) = 1 AND COUNT(DISTINCT o_orderstatus) = 1 AS sound FROM orders GROUP BY o_custkey")
+def rephrase_integrity(spark, sf):
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("rephrase_group_id"), F.col("o_orderstatus").alias("result_hash"), (F.col("o_orderkey") % 4 == 1).alias("is_base"))
+    return runs.rephrase_integrity(rows)
+
+
+_SQLS = "CASE question_id % 4 WHEN 0 THEN 'select sum(x), count(*) from contacts' WHEN 1 THEN 'SELECT AVG (x) FROM a' ELSE 'select x from contacts join b' END"
+_GIVEN = "CASE question_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'select count(*), sum(y) from contacts' WHEN 2 THEN 'select avg(x) from a' WHEN 3 THEN 'select x from b' END"
+_LACKS = " OR ".join(f"(regexp_matches(reference_sql, '(?i)\\b{f}\\s*\\(') AND NOT regexp_matches(answer_sql, '(?i)\\b{f}\\s*\\('))" for f in ("sum", "count", "avg", "min", "max"))
+
+
+@query("rerun_selection", f"SELECT question_id, reference_sql FROM (SELECT question_id, result, {_SQLS} AS reference_sql, {_GIVEN} AS answer_sql FROM ({_RUN} orders) AS r) AS p WHERE result <> 'pass' AND NOT (COALESCE(trim(answer_sql), '') <> '' AND ({_LACKS} OR (regexp_matches(reference_sql, '(?i)\\bcontacts\\b') AND NOT regexp_matches(answer_sql, '(?i)\\bcontacts\\b'))))")
+def rerun_selection(spark, sf):
+    rows = _run(spark, sf).select("question_id", "result", F.expr(_GIVEN).alias("answer_sql"))
+    pairs = _run(spark, sf).select("question_id", F.expr(_SQLS).alias("reference_sql"))
+    return scorecard.rerun_selection(rows, pairs, runs.ambiguous(F.col("reference_sql"), F.col("answer_sql")))
+
+
+_REGIONS, _PRIORITIES = ("Central", "North", "West"), ("Critical", "Medium")
+
+
+@query(
+    "family_build",
+    demo_sql("crm", " UNION ALL ".join([*(f"SELECT 'QA-crm:T1-06-{i:02d}' AS question_id, 'region={r}' AS param_values, CAST(COUNT(*) AS VARCHAR) AS expected_answer, sha256(CAST(COUNT(*) AS VARCHAR)) AS result_hash FROM accounts WHERE region = '{r}'" for i, r in enumerate(_REGIONS, 3)), *(f"SELECT 'QA-crm:T1-03-{i:02d}', 'priority={p}', CAST(COUNT(*) AS VARCHAR), sha256(CAST(COUNT(*) AS VARCHAR)) FROM support_cases WHERE priority = '{p}'" for i, p in enumerate(_PRIORITIES, 1))])),
+)
+def family_build(spark, sf):
+    """Two families of the driver: three of five regions, and two of four priorities, at even ranks."""
+    t = demo_tables(spark, sf, "crm")
+    values = driver.catalog(t, {"_note": "-", "region": "accounts.region", "priority": "support_cases.priority"})
+    made = driver.build(t, [FAMILIES["crm:T1-03"], FAMILIES["crm:T1-06"]], {"crm:T1-03": 2, "crm:T1-06": 3}, {"T1": 5}, values)
+    return spark.createDataFrame([(x.question_id, x.param_values, x.expected_answer, x.result_hash) for x in made], "question_id string, param_values string, expected_answer string, result_hash string")
+
+
 assert set(TABLES) == {i.split(":")[0] for i in FAMILIES}

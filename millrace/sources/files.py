@@ -28,6 +28,17 @@ def read_dataset(spark: SparkSession, folder: str, tables: Mapping[str, Table])
     return {name: read_typed(spark, f"{folder}/{name}.csv", t.schema) for name, t in tables.items()}
 
 
+def open_typed(spark: SparkSession, folder: str, tables: Mapping[str, Table]) -> dict[str, DataFrame]:
+    """All tables of a schema as temporary views, for reading alone; a folder or table that is missing is an error before any view is made."""
+    missing = [t for t in tables if not os.path.exists(os.path.join(folder, f"{t}.csv"))]
+    if not os.path.isdir(folder) or missing:
+        raise FileNotFoundError(f"{folder}: no tables {', '.join(missing) or list(tables)}")
+    out = read_dataset(spark, folder, tables)
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
+    return out
+
+
 def bad_rows(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
     """Rows with a value that does not fit its column, as a quality rule instead of an error."""
     rows = read_text(spark, path)
