@@ -114,6 +114,12 @@ def stale(built: Mapping[str, object], now: Mapping[str, object]) -> list[str]:
     return [f"{k}: {built.get(k)!r} is now {now.get(k)!r}" for k in sorted({*built, *now}) if built.get(k) != now.get(k)]
 
 
+def require_fresh(built: Mapping[str, object], now: Mapping[str, object]) -> None:
+    """An error that names all differences between a build's stamp and the present state."""
+    if found := stale(built, now):
+        raise RuntimeError("the build is stale: " + "; ".join(found))
+
+
 def even_sample(items: Sequence, n: int) -> list:
     """n items at even ranks, the first and the last among them."""
     if n >= len(items):

@@ -44,9 +44,15 @@ def parse_dimension(text: Column, dimension: str) -> Column:
 
 
 def asked_back(payload: Column) -> Column:
-    """Whether a platform's payload holds `clarify: true`, be the inner response an object or an object's text."""
-    inner = F.get_json_object(payload, "$.response.response")
-    return F.coalesce(F.try_variant_get(F.try_parse_json(inner), "$.clarify", "boolean"), F.lit(False))
+    """Whether a platform's payload holds `clarify: true`, be the inner response an object or an object's text; the text "true" is not it."""
+    inner = F.try_parse_json(F.get_json_object(payload, "$.response.response"))
+    is_flag = F.schema_of_variant(F.try_variant_get(inner, "$.clarify", "variant")) == "BOOLEAN"
+    return F.coalesce(is_flag & F.try_variant_get(inner, "$.clarify", "boolean"), F.lit(False))
+
+
+#: Least coverage of the reference for each score of completeness, and the lengths from which an answer is too long.
+COVERAGE = ((0.6, 5), (0.4, 4), (0.2, 3))
+LONG, TIMES_REFERENCE = 400, 6
 
 
 def _tokens(text: Column) -> Column:
@@ -61,9 +67,11 @@ def rule_based_scores(expected: Column, reference: Column, answer: Column, sql:
     shared = F.size(F.array_intersect(_tokens(expected), _tokens(answer)))
     factual = F.when(F.size(wanted) == 0, F.when(shared >= 2, 5).when(shared == 1, 3).otherwise(1)).when(hits == F.size(wanted), 5).when(hits == 0, 1).when(hits == 1, 3).otherwise(5)
     covered = F.size(F.array_intersect(_tokens(reference), _tokens(answer))) / F.greatest(F.size(_tokens(reference)), F.lit(1))
-    completeness = F.when(covered >= 0.6, 5).when(covered >= 0.4, 4).when(covered >= 0.2, 3).otherwise(1)
+    completeness = F.lit(1)
+    for least, points in reversed(COVERAGE):
+        completeness = F.when(covered >= least, points).otherwise(completeness)
     n = F.length(F.trim(F.coalesce(answer, F.lit(""))))
-    form = F.when(n == 0, 1).when(n > F.greatest(F.lit(400), 6 * F.length(F.coalesce(reference, F.lit("")))), 3).otherwise(5)
+    form = F.when(n == 0, 1).when(n > F.greatest(F.lit(LONG), TIMES_REFERENCE * F.length(F.coalesce(reference, F.lit("")))), 3).otherwise(5)
     s = F.trim(F.coalesce(sql, F.lit("")))
     balanced = F.length(F.translate(s, ")", "")) == F.length(F.translate(s, "(", ""))
     shape = F.when(s == "", 1).when(~F.lower(s).rlike("^(select|with)"), 2).when(balanced, 5).otherwise(3)

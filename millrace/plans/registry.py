@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import answers, scoring, texts
-from millrace.operators import quality, runs, scorecard, summary, synth, windows
+from millrace.functions import answers, money, scoring, texts, verdicts
+from millrace.operators import joins, quality, runs, scorecard, shared, summary, synth, windows
+from millrace.sources import files
+from millrace.sources.schema import parse_ddl
 
 from . import driver
 from .catalog import FAMILIES
@@ -638,4 +641,125 @@ def family_build(spark, sf):
     return spark.createDataFrame([(x.question_id, x.param_values, x.expected_answer, x.result_hash) for x in made], "question_id string, param_values string, expected_answer string, result_hash string")
 
 
+# ---- sources: files are written first, into the shared folder, and read back
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str, form: str = "csv") -> str:
+    path = shared.shared_folder(spark, name)
+    writer = df.write.option("header", True).option("escape", '"').option("emptyValue", "") if form == "csv" else df.write
+    getattr(writer, form)(path)
+    return path
+
+
+_PARTS = """SELECT p_partkey AS part_id, CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_size END AS size, concat(p_name, ', "', p_brand, '"') AS name, CASE WHEN p_size % 7 = 0 THEN NULL ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS price, DATE '2026-01-01' AS made FROM """
+_PARTS_DDL = "CREATE TABLE parts (part_id INTEGER PRIMARY KEY, size INTEGER, name VARCHAR(200), price DECIMAL(12,2), made DATE);"
+
+
+def _parts(spark: SparkSession, sf: str) -> str:
+    return _written(spark, spark.sql(_PARTS + "{part}", part=table(spark, sf, "part")), "parts")
+
+
+@query("csv_typed_scan", f"SELECT CAST(part_id AS INTEGER) AS part_id, CAST(size AS INTEGER) AS size, name, CAST(price AS DOUBLE) AS price, made FROM ({_PARTS} part) AS p")
+def csv_typed_scan(spark, sf):
+    schema = parse_ddl(_PARTS_DDL)["parts"].schema
+    return files.read_typed(spark, _parts(spark, sf), schema).withColumn("price", F.col("price").cast("double"))
+
+
+@query("csv_text_scan", f"SELECT CAST(part_id AS VARCHAR) AS part_id, COALESCE(CAST(size AS VARCHAR), '') AS size, name, COALESCE(CAST(price AS VARCHAR), '') AS price, '2026-01-01' AS made FROM ({_PARTS} part) AS p")
+def csv_text_scan(spark, sf):
+    return files.read_text(spark, _parts(spark, sf))
+
+
+@query("csv_inferred_scan", f"SELECT part_id, CAST(size AS BIGINT) AS size, name, CAST(price AS DOUBLE) AS price, '2026-01-01' AS made FROM ({_PARTS} part) AS p")
+def csv_inferred_scan(spark, sf):
+    return files.read_inferred(spark, _parts(spark, sf))
+
+
+@query("csv_bad_rows", f"SELECT 'sizes are dates' AS check_name, CAST(COUNT(size) AS BIGINT) AS violations FROM ({_PARTS} part) AS p")
+def csv_bad_rows(spark, sf):
+    schema = parse_ddl(_PARTS_DDL.replace("size INTEGER", "size DATE"))["parts"].schema
+    return files.bad_rows(spark, _parts(spark, sf), schema, "sizes are dates")
+
+
+@query("csv_row_count", "SELECT CAST(COUNT(*) AS BIGINT) AS value FROM part")
+def csv_row_count(spark, sf):
+    lines = table(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit("\n"), "p_brand").alias("two_lines"))
+    return spark.range(1).select(F.lit(files.csv_rows(spark, _written(spark, lines, "rows"))).cast("long").alias("value"))
+
+
+@query("pair_scan", "SELECT CAST(o_orderkey AS VARCHAR) AS question_id, CASE WHEN o_orderkey % 2 = 0 THEN 'T2' ELSE 'T9' END AS tier, 'strict' AS mode FROM orders")
+def pair_scan(spark, sf):
+    pairs = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("question_id"), F.when(F.col("o_orderkey") % 2 == 0, "T2").otherwise("").alias("tier"))
+    return files.read_pairs(spark, _written(spark, pairs, "pairs"), {"tier": "T9", "mode": "strict"}).select("question_id", "tier", "mode")
+
+
+@query("run_scan", "SELECT o_custkey AS run_id, o_orderkey AS question_id, o_orderstatus AS result FROM orders")
+def run_scan(spark, sf):
+    run = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("run_id")).agg(F.collect_list(F.struct(F.col("o_orderkey").alias("question_id"), F.col("o_orderstatus").alias("result"))).alias("rows"))
+    # one document a line: a run is an object of its own
+    path = _written(spark, run, "runs", "json")
+    rows = spark.read.json(path).select("run_id", F.explode("rows").alias("row"))
+    return rows.select("run_id", "row.question_id", "row.result")
+
+
+@query("bounded_batches", "SELECT CAST(COUNT(*) AS BIGINT) AS rows, 0 AS over_rows, 0 AS over_bytes, CAST(COUNT(*) AS BIGINT) AS lines FROM orders")
+def bounded_batches(spark, sf):
+    """That batches keep both bounds and hold every row once."""
+    made = files.batches(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), 50, 1_500)
+    return made.agg(F.sum("n").alias("rows"), F.sum((F.col("n") > 50).cast("int")).cast("int").alias("over_rows"), F.sum(((F.col("bytes") > 1_500) & (F.col("n") > 1)).cast("int")).cast("int").alias("over_bytes"), F.sum(F.size(F.split("lines", "\n"))).alias("lines"))
+
+
+# ---- functions over columns
+
+
+@query("dates_and_scores", """SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + CASE o_orderkey % 4 WHEN 0 THEN 72 WHEN 1 THEN 48 WHEN 2 THEN 24 ELSE 4 END * INTERVAL 1 HOUR AS due, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter_start, CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH AS DATE) AS quarter_end, (o_orderkey % 5) / CAST(4 AS DOUBLE) AS normalised, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents FROM orders""")
+def dates_and_scores(spark, sf):
+    k = F.col("o_orderkey")
+    start, end = money.quarter_bounds(F.col("o_orderdate"))
+    priority = F.element_at(F.array(*map(F.lit, ("Low", "Medium", "High", "Critical"))), (k % 4 + 1).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", money.due_at(F.col("o_orderdate"), priority).alias("due"), start.alias("quarter_start"), end.alias("quarter_end"), scorecard.normalised_score(k % 5 + 1).cast("double").alias("normalised"), money.minor_units(F.col("o_totalprice").cast("decimal(18,2)")).alias("cents"))
+
+
+_VERDICT = """CASE o_orderkey % 5 WHEN 0 THEN concat('{"factual": ', CAST(1 + o_custkey % 5 AS STRING), ', "rationale": "fits"}') WHEN 1 THEN '{"factual": "5", "rationale": "fits"}' WHEN 2 THEN '{"factual": 9, "rationale": "fits"}' WHEN 3 THEN '{"factual": 4, "rationale": " "}' ELSE 'no json' END"""
+_PAYLOADS = tuple(json.dumps({"response": {"response": r}}) for r in ({"clarify": True}, json.dumps({"clarify": True}), {"clarify": False}, {"clarify": "true"}, "no json"))
+_ASKED_BACK = "json_extract(p, '$.response.response.clarify') = 'true' OR json_extract(i, '$.clarify') = 'true'"
+
+
+@query("strict_verdicts", f"SELECT o_orderkey, CASE WHEN json_type(v, '$.factual') = 'UBIGINT' AND CAST(json_extract(v, '$.factual') AS INTEGER) BETWEEN 1 AND 5 AND length(trim(json_extract_string(v, '$.rationale'))) > 0 THEN CAST(json_extract(v, '$.factual') AS INTEGER) END AS score, COALESCE({_ASKED_BACK}, false) AS asked_back FROM (SELECT o_orderkey, CASE WHEN json_valid(v) THEN v END AS v, p, CASE WHEN json_valid(json_extract_string(p, '$.response.response')) THEN json_extract_string(p, '$.response.response') END AS i FROM (SELECT o_orderkey, {_VERDICT.replace('STRING', 'VARCHAR')} AS v, CASE o_orderkey % 5 {' '.join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(_PAYLOADS))} END AS p FROM orders) AS t) AS u")
+def strict_verdicts(spark, sf):
+    payload = F.element_at(F.array(*map(F.lit, _PAYLOADS)), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.expr(_VERDICT).alias("verdict"), payload.alias("payload"))
+    return rows.select("o_orderkey", verdicts.parse_dimension(F.col("verdict"), "factual").getField("score").alias("score"), verdicts.asked_back(F.col("payload")).alias("asked_back"))
+
+
+_RULED = "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || ' of ' || o_orderstatus AS expected, 'customers by status ' || o_orderstatus AS reference, CASE o_orderkey % 4 WHEN 0 THEN 'customers: ' || CAST(o_custkey AS VARCHAR) WHEN 1 THEN 'customers by status ' || o_orderstatus || ' are ' || CAST(o_custkey + 1 AS VARCHAR) WHEN 2 THEN '' ELSE CAST(o_custkey AS VARCHAR) || repeat(' and so on', 60) END AS answer, CASE o_orderkey % 3 WHEN 0 THEN 'select (1)' WHEN 1 THEN 'drop' ELSE 'with a as (select 1' END AS sql FROM "
+_WORDS = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
+_COVERED = f"len(list_intersect({_WORDS.format('reference')}, {_WORDS.format('answer')})) / CAST(len({_WORDS.format('reference')}) AS DOUBLE)"
+
+
+@query("rule_based_scores", f"SELECT o_orderkey, CASE WHEN list_contains(regexp_extract_all(answer, '-?[0-9]+(?:[.][0-9]+)?'), regexp_extract(expected, '-?[0-9]+(?:[.][0-9]+)?')) THEN 5 ELSE 1 END AS factual, CASE WHEN {_COVERED} >= 0.6 THEN 5 WHEN {_COVERED} >= 0.4 THEN 4 WHEN {_COVERED} >= 0.2 THEN 3 ELSE 1 END AS completeness, CASE WHEN length(trim(answer)) = 0 THEN 1 WHEN length(trim(answer)) > greatest(400, 6 * length(reference)) THEN 3 ELSE 5 END AS format, CASE WHEN NOT regexp_matches(lower(sql), '^(select|with)') THEN 2 WHEN length(replace(sql, ')', '')) = length(replace(sql, '(', '')) THEN 5 ELSE 3 END AS sql_quality FROM ({_RULED} orders) AS r")
+def rule_based_scores(spark, sf):
+    rows = spark.sql(_RULED.replace("VARCHAR", "STRING") + "{orders}", orders=table(spark, sf, "orders"))
+    return rows.select("o_orderkey", verdicts.rule_based_scores(*map(F.col, ("expected", "reference", "answer", "sql"))).alias("s")).select("o_orderkey", "s.*")
+
+
+@query("one_to_one", "SELECT check_name, violations, violations = 0 AS passed FROM (SELECT 'left rows with the same k' AS check_name, CAST((SELECT COUNT(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1) AS g) AS BIGINT) AS violations UNION ALL SELECT 'right rows with the same k', 0 UNION ALL SELECT 'left rows without a partner', (SELECT COUNT(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) UNION ALL SELECT 'right rows without a partner', (SELECT COUNT(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))) AS r")
+def one_to_one(spark, sf):
+    orders, customers = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey"), table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_name")
+    return joins.one_to_one(orders, customers, ["k"])[1]
+
+
+@query("budget_actuals", demo_sql("finance", "SELECT b.budget_id, CAST(COALESCE(SUM(d.amount), 0) AS DOUBLE) AS actual FROM budgets AS b LEFT JOIN (SELECT e.account_id, t.transaction_date AS day, SUM(COALESCE(e.debit_amount, 0)) AS amount FROM ledger_entries AS e INNER JOIN transactions AS t ON t.transaction_id = e.transaction_id GROUP BY e.account_id, t.transaction_date) AS d ON d.account_id = b.account_id AND d.day >= b.period_start AND d.day < b.period_end GROUP BY b.budget_id"))
+def budget_actuals(spark, sf):
+    t = demo_tables(spark, sf, "finance")
+    lines = t["ledger_entries"].join(t["transactions"], "transaction_id")
+    daily = lines.groupBy("account_id", F.col("transaction_date").alias("day")).agg(F.sum(F.coalesce("debit_amount", F.lit(0))).alias("amount"))
+    return joins.budget_actuals(t["budgets"], daily).select("budget_id", F.col("actual").cast("double").alias("actual"))
+
+
+@query("ordinal_groups", "SELECT o_orderstatus, o_orderpriority, CAST(COUNT(*) AS BIGINT) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority")
+def ordinal_groups(spark, sf):
+    return spark.sql("SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n FROM {orders} GROUP BY 1, 2", orders=table(spark, sf, "orders"))
+
+
 assert set(TABLES) == {i.split(":")[0] for i in FAMILIES}

@@ -57,9 +57,10 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """A column is a number if every value that is not empty reads as one, and whole if all are; else it is text."""
     text = read_text(spark, path)
     value = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    number = text.agg(*(F.coalesce(F.bool_and(F.when(value(c).isNotNull(), value(c).try_cast("double").isNotNull())), F.lit(False)).alias(c) for c in text.columns)).first()
-    whole = text.agg(*(F.coalesce(F.bool_and(F.when(value(c).isNotNull(), value(c).try_cast("long").isNotNull())), F.lit(False)).alias(c) for c in text.columns)).first()
-    return text.select(*((value(c).cast("long") if whole[c] else value(c).cast("double") if number[c] else value(c)).alias(c) for c in text.columns))
+    reads = lambda c, kind: F.coalesce(F.bool_and(F.when(value(c).isNotNull(), value(c).try_cast(kind).isNotNull())), F.lit(False))
+    # one pass over the file finds the types of all columns
+    found = text.agg(*(F.struct(reads(c, "double").alias("number"), reads(c, "long").alias("whole")).alias(c) for c in text.columns)).first()
+    return text.select(*((value(c).cast("long") if found[c].whole else value(c).cast("double") if found[c].number else value(c)).alias(c) for c in text.columns))
 
 
 def read_pairs(spark: SparkSession, path: str, defaults: Mapping[str, str]) -> DataFrame:
@@ -103,11 +104,16 @@ def csv_text(df: DataFrame) -> list[Column]:
     return out
 
 
-def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
+def write_csv(df: DataFrame, path: str, order: Sequence[str], fields: Sequence[str] | None = None) -> None:
     """One local file with a header, UTF-8 and line feeds, sorted by a total order; the same rows give the same bytes.
 
+    With fields, a contract's columns, the file has these in this order, and a column that is missing or not among them is an error.
     Rows come to the driver a partition at a time; the file has its name only once it is whole.
     """
+    if fields is not None:
+        if set(fields) != set(df.columns):
+            raise ValueError(f"columns {sorted(set(df.columns) ^ set(fields))} are in the contract or in the rows, but not in both")
+        df = df.select(*fields)
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     handle, temporary = tempfile.mkstemp(dir=target.parent, prefix=f".{target.name}.")
