@@ -51,11 +51,12 @@ MOST_ROUNDS = 50
 
 
 def entity_type(entity: Column) -> Column:
-    """The type of a found entity: the first pattern that is all of it."""
+    """The type of a found entity: the first pattern that is all of it. Digits in the shape of a card that no issuer gives out, or whose checksum fails, are none."""
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(PATTERNS.items()):
         kind = F.when(entity.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
-    return F.coalesce(kind, F.lit("other"))
+    no_card = ~entity.rlike("^[2-6]") | (_luhn(F.regexp_replace(entity, "[^0-9]", "")) != 0)
+    return F.when((kind == "card") & no_card, "none").otherwise(F.coalesce(kind, F.lit("other")))
 
 
 def may_have_entity(text: Column) -> Column:
@@ -176,7 +177,7 @@ def surrogate_table(entities: DataFrame, key: str, scratch: Scratch) -> DataFram
 
 
 def _with_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, _id, text, found, kinds, parts) per row of docs: entities in order, their types, and the keys of its names' parts."""
+    """(row, _id, text, found, kinds, parts) per row of docs: entities in order, their types (none stays as it is), and the keys of its names' parts."""
     none = F.array().cast("array<string>")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("found", F.when(may_have_entity(F.col("text")), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).otherwise(none))
@@ -210,8 +211,8 @@ def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col:
     scratch = Scratch(docs.sparkSession, "surrogates")
     # texts are searched once; those without an entity are then done, the others go on by the number of their row
     rows = scratch.table(_with_entities(docs, id_col, text_col), "found")
-    some = rows.where(F.size("found") > 0)
-    own = F.filter(F.arrays_zip("found", "kinds"), lambda x: ~x["kinds"].isin("name", "part"))
+    some = rows.where(F.exists("kinds", lambda k: k != "none"))
+    own = F.filter(F.arrays_zip("found", "kinds"), lambda x: ~x["kinds"].isin("name", "part", "none"))
     asked = F.concat(F.transform(own, lambda x: F.struct(x["found"].alias("entity"), x["kinds"].alias("kind"))), F.transform("parts", lambda p: F.struct(p.alias("entity"), F.lit("name").alias("kind"))))
     met = scratch.table(some.select("row", F.explode(F.array_distinct(asked)).alias("e")).select("row", "e.*"), "entities")
     table = surrogate_table(met.select("entity", "kind").distinct(), key, scratch)
@@ -221,12 +222,12 @@ def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col:
     of = lambda e: F.try_element_at("known", e)
     named = lambda e: F.concat_ws(" ", F.concat(F.array(F.substring_index(e, " ", 1)), F.transform(name_keys(e), lambda keys: F.array_join(F.transform(keys, of), "-"))))
     alone = lambda e: F.coalesce(*(of(F.concat(F.lit(g), e)) for g in ("n:", "m:", "f:")))
-    changed = F.transform(F.arrays_zip("found", "kinds"), lambda x: F.when(x["kinds"] == "name", named(x["found"])).when(x["kinds"] == "part", alone(x["found"])).otherwise(of(x["found"])))
+    changed = F.transform(F.arrays_zip("found", "kinds"), lambda x: F.when(x["kinds"] == "name", named(x["found"])).when(x["kinds"] == "part", alone(x["found"])).when(x["kinds"] == "none", x["found"]).otherwise(of(x["found"])))
     between = F.when(F.size("parts") > 0, F.split("text", _pattern(), -1)).otherwise(F.split("text", F.lit(ENTITY), -1))
-    types = F.transform("kinds", lambda k: F.when(k == "part", "name").otherwise(k))
+    types = F.transform(F.filter("kinds", lambda k: k != "none"), lambda k: F.when(k == "part", "name").otherwise(k))
     out = out.withColumn("changed", changed).withColumn("between", between).withColumn("types", types)
     pieces = F.zip_with("between", "changed", lambda a, e: F.concat(a, F.coalesce(e, F.lit(""))))
     counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct("types")), lambda k: F.struct(k, F.size(F.filter("types", lambda x: x == k)))))
-    replaced = out.select(F.col("_id").alias(id_col), F.size("found").alias("n_entities"), F.to_json(counted).alias("kinds"), F.concat_ws("", pieces).alias("text"))
+    replaced = out.select(F.col("_id").alias(id_col), F.size("types").alias("n_entities"), F.to_json(counted).alias("kinds"), F.concat_ws("", pieces).alias("text"))
     # texts without an entity are not shuffled
-    return replaced.unionAll(rows.where(F.size("found") == 0).select(F.col("_id").alias(id_col), F.lit(0).alias("n_entities"), F.lit(None).cast("string").alias("kinds"), "text"))
+    return replaced.unionAll(rows.where(~F.exists("kinds", lambda k: k != "none")).select(F.col("_id").alias(id_col), F.lit(0).alias("n_entities"), F.lit(None).cast("string").alias("kinds"), "text"))

@@ -552,6 +552,17 @@ def test_names_stay_distinct_and_coreferent(spark):
     assert not (set(seen.values()) | set(firsts.values())) & (set(surnames) | set(given))
 
 
+def test_only_valid_card_numbers_are_cards(spark):
+    rows = [(1, "id 9807915762804490 of 4845168114407329"), (2, "order 4417744280351546, card 4417744280351547"), (3, "8417744280351543"), (4, "a@b.org 1234567812345678")]
+    got = {r.doc_id: r for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    luhn = lambda x: sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, x[::-1]))) % 10 == 0
+    for i, text in rows:
+        cards = [x for x in re.findall(r"\d{16}", text) if x[0] in "23456" and luhn(x)]
+        assert got[i].n_entities == len(cards) + text.count("@")
+        assert all((x in got[i].text) == (x not in cards) for x in re.findall(r"\d{16}", text))
+    assert got[3].text == rows[2][1] and got[3].kinds is None and got[4].kinds == '{"email":1}'
+
+
 def test_bank_accounts_stay_valid(spark):
     iban = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606"]
     valid = lambda x: int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
