@@ -19,7 +19,8 @@ def connected(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) -> Data
     now, before = scratch.table(now, "edges"), None
     for _ in range(most_rounds):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, so that the join with it is of two plain exchanges and can be split at a star's centre
+        least = scratch.table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
@@ -28,9 +29,7 @@ def connected(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) -> Data
         after = scratch.table(moved, "edges")
         sums = lambda t: t.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38)))")).first()
         mark = sums(after)
-        if before is None:
-            before = sums(now)
-        scratch.drop(now)
+        scratch.drop(now, least)
         same, now, before = mark == before, after, mark
         if same:
             break
