@@ -44,7 +44,7 @@ GROUP_ROWS, GROUP_SHINGLES = 256, 400_000
 #: Bounds of a chunk: shingles, and texts, whose numbers must fit 16 bits.
 CHUNK_SHINGLES, CHUNK_TEXTS = 1_000_000, 30_000
 #: Buckets of shingles for each partition of a shuffle; a bucket is what a task holds at a time.
-BUCKETS = 4
+BUCKETS = 16
 #: Tables of at most so many rows (of four numbers) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: The text number of shingles that several texts of a chunk have, and of texts that are copies there.
