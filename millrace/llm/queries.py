@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .boilerplate import OP3_SQL, line_dedup
 from .decontaminate import decontaminate
+from .divergence import OP11_SQL, divergence
 from .jaccard import OP2_SQL, ngram_jaccard_join
 from .line_crf import score_quality
+from .merkle import OP13_SQL, verified_manifest
 from .mixing import OP9_SQL, mix_sources
 from .rules import quality_rules
 from .surrogates import replace_pii
@@ -69,6 +71,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("distance")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,7 +92,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_source_mixing,
         op10_quality_rules,
+        op11_source_divergence,
+        op13_merkle_manifest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2_SQL, "op3_line_dedup": OP3_SQL, "op7_warc_revisits": OP7_SQL, "op9_source_mixing": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": OP2_SQL,
+    "op3_line_dedup": OP3_SQL,
+    "op7_warc_revisits": OP7_SQL,
+    "op9_source_mixing": OP9_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
+}
