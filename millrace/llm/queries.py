@@ -11,6 +11,7 @@ from .decontaminate import decontaminate
 from .divergence import OP11_SQL, divergence
 from .jaccard import OP2_SQL, ngram_jaccard_join
 from .line_crf import score_quality
+from .lm import held_out_scores
 from .merkle import OP13_SQL, verified_manifest
 from .mixing import OP9_SQL, mix_sources
 from .rules import quality_rules
@@ -75,6 +76,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_read(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(_read(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(_read(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_source_mixing,
         op10_quality_rules,
         op11_source_divergence,
+        op12_lm_scores,
         op13_merkle_manifest,
     )
 }
