@@ -127,10 +127,13 @@ class Level:
 
 def _by_file(files: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Which entries belong to each file."""
-    order = np.argsort(files, kind="stable")
-    cuts = np.flatnonzero(np.diff(files[order], prepend=-1)) if len(files) else np.zeros(0, np.int64)
-    for k, rows in zip(cuts, np.split(order, cuts[1:]), strict=False):
-        yield int(files[order[k]]), rows
+    if not len(files):
+        return
+    step = np.diff(files)
+    order = np.arange(len(files)) if (step >= 0).all() else np.argsort(files, kind="stable")
+    cuts = np.flatnonzero(np.diff(files[order])) + 1
+    for rows in np.split(order, cuts):
+        yield int(files[rows[0]]), rows
 
 
 @dataclass

@@ -30,17 +30,19 @@ def _packed(values: np.ndarray, bits: int) -> np.ndarray:
     return words
 
 
+_EACH, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+#: The place of the k-th one of a byte, at byte + 256 * k.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for k in range(8) for byte in range(256)], np.uint8)
+
+
 def _place(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     """The place of the k-th one of each word, from 0."""
-    word, k, at = word.copy(), k.astype(np.uint8), np.zeros(len(word), np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(word & _U((1 << half) - 1))
-        go = k >= below
-        k -= np.where(go, below, 0).astype(np.uint8)
-        step = np.where(go, _U(half), _U(0))
-        word >>= step
-        at += step
-    return at.astype(np.int64)
+    k = k.astype(np.uint64)
+    # of each byte of a word the ones up to its end, and so how many bytes end before the k-th one
+    upto = np.bitwise_count(np.ascontiguousarray(word).view(np.uint8)).view(np.uint64) * _EACH
+    shift = np.bitwise_count((((k * _EACH) | _TOPS) - upto) & _TOPS).astype(np.uint64) << _U(3)
+    left = k - (((upto << _U(8)) >> shift) & _U(255))
+    return shift.astype(np.int64) + _IN_BYTE[(((word >> shift) & _U(255)) | (left << _U(8))).astype(np.int64)]
 
 
 class Monotone:
