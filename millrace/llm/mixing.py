@@ -44,7 +44,7 @@ def _sizes(keep: list[str]):
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: tuple[int, int], most: int) -> DataFrame:
     """(source, source_size, target, place, shares) of sizes (source, size); one row for each source.
 
-    shares are the parts of all targets that sources of each place have.
+    shares are the parts of all targets that sources of each place have, 0 if no source has a word.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     src = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
@@ -60,7 +60,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: tuple[int,
     level = F.first(F.when(open_, F.col("level")), ignorenulls=True).over(everything)
     fills = F.max(open_.cast("int")).over(upto) == 1
     src = src.withColumn("target", F.when(fills, level * F.col("w")).otherwise(F.col("cap").cast("double")))
-    of = lambda p: F.coalesce(F.sum(F.when(F.col("place") == p, F.col("target"))).over(everything) / F.sum("target").over(everything), F.lit(0.0))
+    of = lambda p: F.coalesce(F.try_divide(F.sum(F.when(F.col("place") == p, F.col("target"))).over(everything), F.sum("target").over(everything)), F.lit(0.0))
     return src.select("source", "source_size", "target", "place", F.array(*map(of, range(len(weights)))).alias("shares"))
 
 

@@ -63,15 +63,17 @@ class Words:
     """Words of the rows of a string column, in order: starts, ends, and of each row the first word's number."""
 
     def __init__(self, col, lower: bool = False, fold=None):
-        """fold: gives the bytes to hash, as many as there are, and a flag for each that belongs to a word, if words are other than above."""
+        """fold: gives the bytes to hash, as many as there are, and a flag for each that belongs to a word, if words are other than above; and, if there is a third array, a flag for each byte before which a word ends in any case."""
         self.raw, self.off = column_bytes(col)
         self.bytes = lower_ascii(self.raw) if lower else self.raw
         n = len(self.raw)
         if fold is None:
             solid = ~_SPACE[self.raw]
         else:
-            self.bytes, solid = fold(self.raw)
+            self.bytes, solid, *cut = fold(self.raw)
         edge = np.zeros(n + 1, bool)
+        if fold is not None and cut:
+            edge[:n] = cut[0]
         edge[self.off] = True
         first, last = solid.copy(), solid.copy()
         if n:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 
 import duckdb
@@ -322,6 +323,15 @@ def test_decontamination_folds_case_and_marks_of_any_script(spark):
     assert found == {(1, 1), (2, 1), (3, 2), (5, 1)}
 
 
+def test_decontamination_of_scripts_without_spaces_and_of_any_normal_form(spark):
+    chinese, thai = "这条河流经过的所有城市之中人口最多的是哪一座请写出它的名字答案是长安", "แม่น้ำสายนี้ไหลผ่านเมืองใดบ้างและเมืองใดมีประชากรมากที่สุดคำตอบคือเชียงใหม่"
+    accents = "où se trouve le plus vieux château de la région élevée près de la forêt réponse à la croisée des chemins"
+    benchmark = spark.createDataFrame([(1, chinese), (2, thai), (3, accents)], "item_id long, text string")
+    rows = [(1, "之前的文字很长很长而且没有空格" + chinese + "之后的文字也是这样"), (2, "ก่อน" + thai + "หลัง"), (3, unicodedata.normalize("NFD", accents.upper())), (4, "今天天气很好我们去公园散步然后回家吃饭看书" * 5), (5, "วันนี้อากาศดีมาก" * 9)]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3)}
+
+
 def test_decontamination_in_blocks(leaky, monkeypatch):
     docs, benchmark, leaks = leaky
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 11)
@@ -552,6 +562,39 @@ def test_names_stay_distinct_and_coreferent(spark):
     assert not (set(seen.values()) | set(firsts.values())) & (set(surnames) | set(given))
 
 
+#: Names as they are written, and the parts of which nothing may stay.
+NAMES = {
+    "Mr McDonald": ["McDonald"], "Mr O'Brien": ["O'Brien", "Brien"], "Mrs D’Angelo-O'Neil": ["Angelo", "Neil"], "Mr. J. Doe": ["Doe"], "Mr. J.R. Doe": ["Doe"],
+    "Dr. von Braun": ["Braun"], "Frau de la Cruz": ["Cruz"], "Mr JOHN SMITH": ["JOHN", "SMITH"], "Sir Ian McKellen": ["Ian", "McKellen", "Kellen"], "Госпожа Анна Петрова": ["Анна", "Петрова"], "Mme Zoë Lefèvre": ["Zoë", "Lefèvre"],
+}
+
+
+@pytest.mark.parametrize("before,after", [("", ""), ("when ", "'s dog ran"), ("(", "), who left"), ("\n", "’s"), ("a ", " and others")])
+def test_no_part_of_a_name_stays(spark, before, after):
+    rows = [(i, f"{before}{name}{after}") for i, name in enumerate(NAMES)]
+    out = {r.doc_id: r.text for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    for i, (name, parts) in enumerate(NAMES.items()):
+        assert out[i].startswith(before + name.split(" ")[0]) and out[i].endswith(after), out[i]
+        assert not any(p.lower() in out[i].lower() for p in parts), (name, out[i])
+
+
+def test_possessives_and_capitals_are_the_same_person(spark):
+    text = "Mr Smith's dog. Mr Smith left. MR SMITH? Mr SMITH: SMITH and Smith, Smith’s. Mr. J. Smith, Frau von Smith"
+    (out,) = surrogates.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), key="k").collect()
+    (name,) = re.findall(r"^Mr (\w+)'s dog", out.text)
+    up = name.upper()
+    initial = re.search(r"Mr\. (\w)\. ", out.text)[1]
+    assert out.text == f"Mr {name}'s dog. Mr {name} left. MR {up}? Mr {up}: {up} and {name}, {name}’s. Mr. {initial}. {name}, Frau von {name}"
+
+
+def test_secrets_addresses_and_numbers_go_whole(spark):
+    rows = ["password: hunter2!abcdefXYZ", 'token="ab#cd$ef%gh*ij", next', "pwd=pässwört99.", "2001:db8::ff00:42:8329 and 2001:0db8:85a3:0000:0000:8a2e:0370:7334", "std::vector at 12:30:45, a::b", "anna@müller.de or jörg.x@post.org", "call 0171 1234567 or 030/1234567", "0123 45, 2024-01 and 1.0123 456789"]
+    out = [r.text for r in surrogates.replace_pii(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    for was, now, gone in zip(rows, out, (["hunter", "abcdef", "XYZ"], ["ab#", "ij"], ["pässw", "rt99"], ["db8", "8329", "85a3", "7334"], [], ["anna", "müller", "jörg"], ["0171 1234567", "030/1234567"], []), strict=True):
+        assert len(was) == len(now) and not any(g in now for g in gone), now
+        assert gone or was == now
+
+
 def test_only_valid_card_numbers_are_cards(spark):
     rows = [(1, "id 9807915762804490 of 4845168114407329"), (2, "order 4417744280351546, card 4417744280351547"), (3, "8417744280351543"), (4, "a@b.org 1234567812345678")]
     got = {r.doc_id: r for r in surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
@@ -654,6 +697,13 @@ def test_mixing(docs, texts, none):
     assert mixing.mix_sources(none).count() == 0
 
 
+def test_mixing_of_texts_without_words(spark):
+    docs = spark.createDataFrame([(1, "", "a"), (2, None, "b"), (3, " \n", None)], "doc_id long, text string, source string")
+    got = mixing.mix_sources(docs).collect()
+    assert sorted((r.doc_id, r["size"], r.source_size, r.target, r.taken, r.position) for r in got) == [(i, 0, 0, 0.0, 0, None) for i in (1, 2, 3)]
+    assert not mixing.curriculum(docs).collect()
+
+
 @pytest.mark.parametrize("knots", [*mixing.SCHEDULE, ((0, 0), (0.3, 2), (0.3001, 0), (0.8, 0), (1, 5))])
 def test_times_invert_the_schedule(spark, knots):
     q = np.linspace(0, 1, 50)
