@@ -14,7 +14,7 @@ from millrace.operators import joins, quality, runs, scorecard, shared, summary,
 from millrace.sources import files
 from millrace.sources.schema import parse_ddl
 
-from . import driver
+from . import driver, generated
 from .catalog import FAMILIES
 from .demo import TABLES, demo_sql, demo_tables
 from .gates import GATES, domain_gate, gate_sql
@@ -696,10 +696,9 @@ def pair_scan(spark, sf):
 @query("run_scan", "SELECT o_custkey AS run_id, o_orderkey AS question_id, o_orderstatus AS result FROM orders")
 def run_scan(spark, sf):
     run = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("run_id")).agg(F.collect_list(F.struct(F.col("o_orderkey").alias("question_id"), F.col("o_orderstatus").alias("result"))).alias("rows"))
-    # one document a line: a run is an object of its own
+    # the reader takes a document a file, or an array of documents
     path = _written(spark, run, "runs", "json")
-    rows = spark.read.json(path).select("run_id", F.explode("rows").alias("row"))
-    return rows.select("run_id", "row.question_id", "row.result")
+    return files.read_runs(spark, path, lines=True).select("run_id", "row.question_id", "row.result")
 
 
 @query("bounded_batches", "SELECT CAST(COUNT(*) AS BIGINT) AS rows, 0 AS over_rows, 0 AS over_bytes, CAST(COUNT(*) AS BIGINT) AS lines FROM orders")
@@ -763,3 +762,7 @@ def ordinal_groups(spark, sf):
 
 
 assert set(TABLES) == {i.split(":")[0] for i in FAMILIES}
+
+
+QUERIES |= generated.QUERIES
+ORACLE_SQL |= generated.ORACLE_SQL

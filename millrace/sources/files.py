@@ -74,9 +74,9 @@ def read_pairs(spark: SparkSession, path: str, defaults: Mapping[str, str]) -> D
     return rows.drop("_file")
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of run documents, one JSON object a file with an array `rows`, beside the run's other fields."""
-    runs = spark.read.option("multiLine", True).json(path)
+def read_runs(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The rows of run documents, one JSON object a file, or a line, with an array `rows`, beside the run's other fields."""
+    runs = spark.read.option("multiLine", not lines).json(path)
     return runs.select(*[c for c in runs.columns if c != "rows"], F.explode("rows").alias("row"))
 
 
