@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import answers, money, scoring, texts, verdicts
+from millrace.functions import answers, money, ownership, scoring, texts, verdicts
 from millrace.operators import joins, quality, runs, scorecard, shared, summary, synth, windows
 from millrace.sources import files
 from millrace.sources.schema import parse_ddl
@@ -467,9 +467,34 @@ def score_modes(spark, sf):
     return _scored(spark, sf).select("o_orderkey", scoring.scalar_exact(g, a).alias("scalar"), scoring.table_exact(g, a).alias("tabular"), scoring.judge_plus_exact(g, a, F.lit(None).cast("boolean")).alias("ordered"))
 
 
-@query("score_owned_labels")
+#: A status and a number; a label that is there stands near enough in these answers, whatever number is beside it.
+_HELD = f"SELECT o_orderkey, {_NUM.format('answer')} AS found, {_NUM.format('golden')}[1] AS wanted, contains(lower(answer), lower(string_split(golden, ' | ')[1])) AS named FROM ({_TEXTS}) AS t"
+
+
+@query("score_owned_labels", f"SELECT o_orderkey, CASE WHEN list_contains(found, wanted) AND named THEN 'pass' ELSE 'fail' END AS result, CAST(CASE WHEN list_contains(found, wanted) THEN 1 ELSE 0 END + CASE WHEN named THEN 1 ELSE 0 END AS INTEGER) AS satisfied FROM ({_HELD}) AS h")
 def score_owned_labels(spark, sf):
-    return scoring.match_owned(_scored(spark, sf), "golden", "answer").select("o_orderkey", F.col("match.result").alias("result"), F.size("match.satisfied").alias("satisfied"))
+    return ownership.match_owned(_scored(spark, sf), "golden", "answer").select("o_orderkey", F.col("match.result").alias("result"), F.size("match.satisfied").alias("satisfied"))
+
+
+#: Two nations' records (names without digits) and an answer that names both, rightly, crosswise, in the other order, or one of them only.
+_PAIRED = """SELECT a.n_nationkey AS k, concat(a.n_name, ' | ', CAST(a.n_nationkey * 7 + 100 AS {0}), '; ', b.n_name, ' | ', CAST(b.n_nationkey * 7 + 100 AS {0})) AS golden,
+CASE a.n_nationkey % 4 WHEN 0 THEN concat(a.n_name, ' has ', CAST(a.n_nationkey * 7 + 100 AS {0}), ' and ', b.n_name, ' has ', CAST(b.n_nationkey * 7 + 100 AS {0})) WHEN 1 THEN concat(a.n_name, ' has ', CAST(b.n_nationkey * 7 + 100 AS {0}), ' and ', b.n_name, ' has ', CAST(a.n_nationkey * 7 + 100 AS {0}))
+WHEN 2 THEN concat(b.n_name, ': ', CAST(b.n_nationkey * 7 + 100 AS {0}), '.00, ', a.n_name, ': $', CAST(a.n_nationkey * 7 + 100 AS {0})) ELSE concat(lower(b.n_name), ' ', CAST(b.n_nationkey * 7 + 100 AS {0})) END AS answer FROM (SELECT n_nationkey, translate(n_name, '0123456789_', 'abcdefghij ') AS n_name FROM nation) AS a INNER JOIN (SELECT n_nationkey, translate(n_name, '0123456789_', 'abcdefghij ') AS n_name FROM nation) AS b ON b.n_nationkey = (a.n_nationkey + 1) % 25"""
+#: Distances in the answers' own texts: of each number that is there to the end of each name before it, and twice that to a name after it.
+_DISTANCE = "CASE WHEN {name} = 0 OR {value} = 0 THEN NULL WHEN {name} + length({label}) <= {value} THEN {value} - {name} - length({label}) ELSE 2 * ({name} - {value}) END"
+_OWNERS = f"""WITH p AS ({_PAIRED.format('VARCHAR')}), t AS (SELECT k, string_split(golden, '; ') AS r, lower(answer) AS answer FROM p),
+f AS (SELECT k, answer, string_split(r[1], ' | ')[1] AS la, string_split(r[1], ' | ')[2] AS va, string_split(r[2], ' | ')[1] AS lb, string_split(r[2], ' | ')[2] AS vb FROM t),
+i AS (SELECT *, instr(answer, lower(la)) AS na, instr(answer, lower(lb)) AS nb, instr(answer, va) AS pa, instr(answer, vb) AS pb FROM f),
+d AS (SELECT *, {_DISTANCE.format(name='na', value='pa', label='la')} AS aa, {_DISTANCE.format(name='nb', value='pa', label='lb')} AS ba, {_DISTANCE.format(name='na', value='pb', label='la')} AS ab, {_DISTANCE.format(name='nb', value='pb', label='lb')} AS bb FROM i),
+m AS (SELECT k, pa > 0 AS a_value, pb > 0 AS b_value, na > 0 AND (pa = 0 OR (aa <= 120 AND aa <= coalesce(ba, aa))) AS a_label, nb > 0 AND (pb = 0 OR (bb <= 120 AND bb <= coalesce(ab, bb))) AS b_label FROM d)
+SELECT k, CASE WHEN a_value AND b_value AND a_label AND b_label THEN 'pass' ELSE 'fail' END AS result, CAST(a_value AS INTEGER) + CAST(b_value AS INTEGER) + CAST(a_label AS INTEGER) + CAST(b_label AS INTEGER) AS satisfied FROM m"""
+
+
+@query("score_label_owners", _OWNERS)
+def score_label_owners(spark, sf):
+    """Values that are all there, by the wrong labels."""
+    pairs = spark.sql(_PAIRED.format("STRING").replace("FROM nation)", "FROM {nation})"), nation=table(spark, sf, "nation"))
+    return ownership.match_owned(pairs, "golden", "answer").select("k", F.col("match.result").alias("result"), F.size("match.satisfied").alias("satisfied"))
 
 
 _ASKED = "CASE k WHEN 3 THEN 'T1' ELSE 't3 ' END AS tier, CASE k WHEN 0 THEN 'SELECT 1 FROM a LEFT JOIN b ON a.x = b.x' WHEN 1 THEN 'SELECT 1 FROM a JOIN b ON a.x = b.x' WHEN 3 THEN 'SELECT 1' WHEN 4 THEN 'select 1 from a where not  exists (select 1 from b)' WHEN 5 THEN 'select count(*) from a' END AS sql"

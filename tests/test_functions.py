@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import answers, scoring
+from millrace.functions import answers, ownership, scoring
 
 
 def text(spark, rows, schema):
@@ -70,46 +70,77 @@ def test_modes(scored):
         assert not r.veto
 
 
-def test_labels_own_their_values():
-    match = scoring.owned_match
-    golden = "Awareness | 35726; Retention | 34685"
-    assert match(golden, "Awareness led with 35,726 and Retention had 34,685").result == "pass"
-    assert match(golden, "Awareness had 34,685 and Retention led with 35,726").result == "fail"
+#: Golden text, answer, result, and what is not met.
+OWNED = [
+    ("Awareness | 35726; Retention | 34685", "Awareness led with 35,726 and Retention had 34,685", "pass", []),
+    ("Awareness | 35726; Retention | 34685", "Awareness had 34,685 and Retention led with 35,726", "fail", ["label:Awareness", "label:Retention"]),
     # a label after its value is only believed where no other stands before the value
-    assert match("Awareness | 35726", "35,726 for Awareness; 34,685 for Retention").result == "pass"
-    assert match(golden, "35,726 for Awareness; 34,685 for Retention").unsatisfied == ["label:Retention"]
-    assert match("28731", "28,731.00 in all").result == "pass" and match("4182650.00", "4,182,000").result == "fail"
-    assert match("2026-04-01 | 5", "On April 1, 2026 there were 5").result == "pass"
-    assert match("2026", "It was on 2026-04-01").result == "fail"
-    assert match("5", None).result == "error" and match("", "x").result == "not_applicable"
-    assert match("1 | 2", "2").unsatisfied == ["value:1"]
-
-
-def test_each_number_is_spent_once():
-    assert scoring.owned_match("A | 5; B | 5", "A 5 and B").result == "fail"
-
-
-@pytest.mark.parametrize("golden", ["28731", "Standard | 6229", "Awareness | 35726; Retention | 34685", "South | 46072 | 22797 | -50.52"])
-def test_an_answer_matches_itself_and_no_step_beside_it(golden):
-    assert scoring.owned_match(golden, golden).result == "pass"
-    changed = golden[:-1] + str((int(golden[-1]) + 1) % 10)
-    assert scoring.owned_match(golden, changed).result == "fail"
-
-
-def test_owned_labels_without_regard_to_spaces_and_policies():
-    match, policy = scoring.owned_match, scoring.Policy
-    assert match("CustomerEducation | 12", "Customer Education led with 12 campaigns").result == "pass"
-    golden = "North | 35; South | 34; FarEast | 33"
-    assert match(golden, "North led with 35, then South at 34 and Far East at 33.").result == "pass"
-    assert match(golden, "South | 35; Far East | 34; North | 33").detail.count("a different label claims its value") == 3
-    assert match("Standard | 6229", "6,229 cases fall under Standard.").result == "pass"
-    assert match("Ann Lee — 1,000.50", "Bob closed 1000.5").result == "fail"
-    assert match("Ann Lee — 1,000.50", "Bob closed 1000.5", policy(labels=False)).result == "pass"
-    assert match("x | 28731", "x: 28,731").result == "pass" and match("x | 28731", "x: 28,731", policy(as_written=True)).result == "fail"
-    assert match("2026-04-01", "on April 1st, 2026").result == "pass" and match("2026-04-01", "on April 1st, 2026", policy(prose_dates=False)).result == "fail"
-    assert match("A | 5", f"A {'z' * 150} 5").detail == "label 'A' present but 152 chars from any of its values (limit 120)"
+    ("Awareness | 35726", "35,726 for Awareness; 34,685 for Retention", "pass", []),
+    ("Awareness | 35726; Retention | 34685", "35,726 for Awareness; 34,685 for Retention", "fail", ["label:Retention"]),
+    ("28731", "28,731.00 in all", "pass", []),
+    ("4182650.00", "4,182,000", "fail", ["value:4182650.00"]),
+    ("2026-04-01 | 5", "On April 1, 2026 there were 5", "pass", []),
+    ("2026", "It was on 2026-04-01", "fail", ["value:2026"]),
+    ("2026-02-30", "on 2026-02-30", "not_applicable", []),
+    ("5", None, "error", []),
+    ("a", " ", "error", []),
+    ("", "x", "not_applicable", []),
+    (None, "x", "not_applicable", []),
+    ("1 | 2", "2", "fail", ["value:1"]),
+    # each number is spent once
+    ("A | 5; B | 5", "A 5 and B", "fail", ["value:5"]),
+    ("5; 5", "5 only", "fail", ["value:5"]),
+    ("+5 | 007", "5 and 7.0", "pass", []),
+    # without regard to spaces
+    ("CustomerEducation | 12", "Customer Education led with 12 campaigns", "pass", []),
+    ("North | 35; South | 34; FarEast | 33", "North led with 35, then South at 34 and Far East at 33.", "pass", []),
+    ("South | 35; Far East | 34; North | 33", "North led with 35, then South at 34 and Far East at 33.", "fail", ["label:Far East", "label:North", "label:South"]),
+    ("South | 35; Far East | 34; North | 33", "South | 35; Far East | 34; North | 33", "pass", []),
+    ("a.b (c)* | 3", "A.B (c)* is 3, axb (c) is 4", "pass", []),
+    ("Standard | 6229", "6,229 cases fall under Standard.", "pass", []),
+    ("Ann Lee — 1,000.50", "Bob closed 1000.5", "fail", ["label:Ann Lee"]),
+    ("x | 28731", "x: 28,731", "pass", []),
+    ("2026-04-01", "on April 1st, 2026", "pass", []),
+    ("2026-04-01 | x", "the 1st April 2026, x", "pass", []),
+    ("A | 5", f"A {'z' * 150} 5", "fail", ["label:A"]),
     # a label has 60 characters at most, and a sentence is none
-    assert match("x" * 61, "other").result == match("All is well.", "other").result == "not_applicable"
-    assert match("x" * 60, "other").result == "fail" and match("5 apples", "there are 5").result == "pass"
-    assert match("5; 5", "5 only").satisfied == ["value:5"] and match("7", "-7").result == "fail"
-    assert match("a", " ").result == match("a", None).result == "error"
+    ("x" * 61, "other", "not_applicable", []),
+    ("All is well.", "other", "not_applicable", []),
+    ("x" * 60, "other", "fail", ["label:" + "x" * 60]),
+    ("5 apples", "there are 5", "pass", []),
+    ("7", "-7", "fail", ["value:7"]),
+]
+ITSELF = ["28731", "Standard | 6229", "Awareness | 35726; Retention | 34685", "South | 46072 | 22797 | -50.52"]
+
+
+def matched(spark, pairs, policy=ownership.Policy()):
+    """The verdicts on pairs of texts, in their order."""
+    rows = spark.createDataFrame([(i, g, a, "own") for i, (g, a) in enumerate(pairs)], "i int, g string, a string, text string").repartition(2)
+    return [r["match"] for r in ownership.match_owned(rows, "g", "a", policy=policy).orderBy("i").collect()]
+
+
+def test_labels_own_their_values(spark):
+    for (golden, answer, result, unmet), got in zip(OWNED, matched(spark, [c[:2] for c in OWNED]), strict=True):
+        assert (got.result, got.unsatisfied) == (result, unmet), (golden, answer, got)
+
+
+def test_an_answer_matches_itself_and_no_step_beside_it(spark):
+    changed = [g[:-1] + str((int(g[-1]) + 1) % 10) for g in ITSELF]
+    assert {m.result for m in matched(spark, [(g, g) for g in ITSELF])} == {"pass"}
+    assert {m.result for m in matched(spark, list(zip(ITSELF, changed, strict=True)))} == {"fail"}
+
+
+def test_failures_are_told(spark):
+    near, far, many, met = matched(spark, [("South | 35; North | 33", "North 35, South 33"), ("A | 5", f"A {'z' * 150} 5"), ("1 | 2 | 3 | 4 | 5 | 6", "none"), ("5; 5", "5 only")])
+    assert near.detail.count("stands by values that another label owns") == 2
+    assert far.detail == "label 'A' stands 152 characters from its nearest value, more than 120"
+    assert many.detail == "value '1' is missing; value '2' is missing; value '3' is missing; value '4' is missing; and 2 more"
+    assert met.satisfied == met.unsatisfied == ["value:5"]
+
+
+def test_policies(spark):
+    policy = ownership.Policy
+    assert matched(spark, [("Ann Lee — 1,000.50", "Bob closed 1000.5")], policy(labels=False))[0].result == "pass"
+    assert [m.result for m in matched(spark, [("x | 28731", "x: 28,731"), ("x | 28731", "x: 28731")], policy(as_written=True))] == ["fail", "pass"]
+    assert matched(spark, [("2026-04-01", "on April 1st, 2026")], policy(prose_dates=False))[0].result == "fail"
+    assert matched(spark, [("A | 5", f"A {'z' * 150} 5")], policy(near=200))[0].result == "pass"
