@@ -2,12 +2,14 @@
 
 Every rule is a DataFrame (check_name string, violations long) of one row; `gate` unions
 them and adds passed. Rules never raise for bad data. Each is one aggregation or
-one anti join, so that it distributes over the keys that it checks.
+one anti join, so that it distributes over the keys that it checks. Rules about rows, and about groups of
+one key, also say what they count, so that a gate counts all of them on a table in one pass for each key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,22 +23,66 @@ def _result(df: DataFrame, name: str, violations: Column | None = None) -> DataF
     return df.agg(F.coalesce(count, F.lit(0)).cast("long").alias("violations")).select(F.lit(name).alias("check_name"), "violations")
 
 
+@dataclass(frozen=True)
+class Counted:
+    """What a rule counts on one table: for each group of keys (none: for each row) a number of violations, from aggregates that `of` takes by name."""
+
+    name: str
+    df: DataFrame
+    keys: tuple[str, ...]
+    aggregates: Mapping[str, Column]
+    of: Callable[[Callable[[str], Column]], Column]
+
+
 def where_violated(df: DataFrame, name: str, condition: Column) -> DataFrame:
     """Rows that meet the condition; a null condition is no violation."""
-    return _result(df.where(condition), name)
+    out = _result(df.where(condition), name)
+    out._counted = Counted(name, df, (), {}, lambda _: condition.cast("long"))
+    return out
+
+
+def _grouped(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], name: str, of: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+    """The violations of all groups."""
+    groups = df.groupBy(*keys).agg(*(a.alias(f"_0_{n}") for n, a in aggregates.items()))
+    out = _result(groups, name, F.sum(of(lambda n: F.col(f"_0_{n}")).cast("long")))
+    out._counted = Counted(name, df, tuple(keys), aggregates, of)
+    return out
+
+
+def _fused(rules: Sequence[Counted]) -> list[DataFrame]:
+    """All rules on one table: an aggregation for each key, of which the first takes the rules about rows along."""
+    df, rows = rules[0].df, [r for r in rules if not r.keys]
+    by_keys: dict[tuple[str, ...], list[Counted]] = {}
+    for r in rules:
+        if r.keys:
+            by_keys.setdefault(r.keys, []).append(r)
+    out = []
+    for keys, own in (by_keys or {(): []}).items():
+        taken, rows = rows, []
+        own_rows = [F.sum(r.of(F.col)).alias(f"_row{i}") for i, r in enumerate(taken)]
+        if not keys:
+            counts = df.agg(*own_rows)
+        else:
+            parts = [a.alias(f"_{i}_{n}") for i, r in enumerate(own) for n, a in r.aggregates.items()]
+            groups = df.groupBy(*keys).agg(*parts, *own_rows)
+            sums = [F.sum(r.of(lambda n, i=i: F.col(f"_{i}_{n}")).cast("long")).alias(f"_group{i}") for i, r in enumerate(own)]
+            counts = groups.agg(*sums, *(F.sum(f"_row{i}").alias(f"_row{i}") for i in range(len(taken))))
+        named = [(r.name, f"_group{i}") for i, r in enumerate(own)] + [(r.name, f"_row{i}") for i, r in enumerate(taken)]
+        one = F.array(*(F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("violations")) for n, c in named))
+        out.append(counts.select(F.explode(one).alias("r")).select("r.*"))
+    return out
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Keys, nulls left out, that occur more than once."""
-    known = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
-    return _result(known.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1"), name)
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    return _grouped(df, keys, {"n": F.count("*")}, name, lambda c: known & (c("n") > 1))
 
 
 def primary_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows with a null in the key, and keys that occur more than once."""
     null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return _result(counted, name, F.sum(F.when(null, F.col("_n")).when(F.col("_n") > 1, 1).otherwise(0)))
+    return _grouped(df, keys, {"n": F.count("*")}, name, lambda c: F.when(null, c("n")).when(c("n") > 1, 1).otherwise(0))
 
 
 def not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -50,7 +96,7 @@ def foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
 
 
 def in_domain(df: DataFrame, column: str, values: Iterable, name: str) -> DataFrame:
-    return _result(df.where(~F.col(column).isin(*values)), name)
+    return where_violated(df, name, ~F.col(column).isin(*values))
 
 
 def reference_classes(child: DataFrame, key: str, parent: DataFrame, parent_key: str, declared: Column | None = None) -> DataFrame:
@@ -93,8 +139,8 @@ def row_cap(tables: Iterable[DataFrame], most: int, name: str) -> DataFrame:
 
 def sums_to(df: DataFrame, keys: Sequence[str], amount: str, expected: Column, name: str) -> DataFrame:
     """Groups whose sum differs from what is expected; a group with a null amount may have less but not more."""
-    sums = df.groupBy(*keys).agg(F.coalesce(F.sum(amount), F.lit(0)).alias("s"), F.max(F.col(amount).isNull().cast("int")).alias("partial"), F.max(expected).alias("e"))
-    return _result(sums.where((F.col("s") > F.col("e")) | ((F.col("partial") == 0) & (F.col("s") < F.col("e")))), name)
+    sums = {"s": F.coalesce(F.sum(amount), F.lit(0)), "partial": F.max(F.col(amount).isNull().cast("int")), "e": F.max(expected)}
+    return _grouped(df, keys, sums, name, lambda c: (c("s") > c("e")) | ((c("partial") == 0) & (c("s") < c("e"))))
 
 
 def balanced(parents: DataFrame, lines: DataFrame, key: str, total: str, debit: str, credit: str, name: str) -> DataFrame:
@@ -106,11 +152,11 @@ def balanced(parents: DataFrame, lines: DataFrame, key: str, total: str, debit:
 
 def exclusive(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Rows in which not exactly one of two columns is null."""
-    return _result(df.where(F.col(a).isNull() == F.col(b).isNull()), name)
+    return where_violated(df, name, F.col(a).isNull() == F.col(b).isNull())
 
 
 def chronology(df: DataFrame, earlier: str, later: str, name: str) -> DataFrame:
-    return _result(df.where(F.col(later) < F.col(earlier)), name)
+    return where_violated(df, name, F.col(later) < F.col(earlier))
 
 
 def contained(child: DataFrame, parent: DataFrame, key: str, moment: str, start: str, end: str, name: str) -> DataFrame:
@@ -128,8 +174,8 @@ def no_overlap(df: DataFrame, keys: Sequence[str], start: str, end: str, name: s
 
 def sequence(df: DataFrame, keys: Sequence[str], number: str, name: str) -> DataFrame:
     """Groups whose numbers are not 1 .. n, each once."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_distinct(number).alias("_d"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-    return _result(groups.where((F.col("lo") != 1) | (F.col("hi") != F.col("_n")) | (F.col("_d") != F.col("_n"))), name)
+    groups = {"n": F.count("*"), "d": F.count_distinct(number), "lo": F.min(number), "hi": F.max(number)}
+    return _grouped(df, keys, groups, name, lambda c: (c("lo") != 1) | (c("hi") != c("n")) | (c("d") != c("n")))
 
 
 def grid(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
@@ -177,7 +223,7 @@ def member(child: DataFrame, pairs: DataFrame, keys: Sequence[str], name: str) -
 
 def one_each(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Keys with several values."""
-    return _result(df.groupBy(key).agg(F.count_distinct(value).alias("_n")).where("_n > 1"), name)
+    return _grouped(df, [key], {"n": F.count_distinct(value)}, name, lambda c: c("n") > 1)
 
 
 def same_pairs(a: DataFrame, b: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -206,12 +252,12 @@ def evidence(parents: DataFrame, children: DataFrame, key: str, status: str, dem
 
 def at_most(df: DataFrame, key: str, counted: Column, most: int, name: str) -> DataFrame:
     """Keys for which more than `most` rows meet a condition."""
-    return _result(df.groupBy(key).agg(F.sum(counted.cast("int")).alias("_n")).where(F.col("_n") > most), name)
+    return _grouped(df, [key], {"n": F.sum(counted.cast("int"))}, name, lambda c: c("n") > most)
 
 
 def even_groups(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Groups with an odd number of rows."""
-    return _result(df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n % 2 = 1"), name)
+    return _grouped(df, keys, {"n": F.count("*")}, name, lambda c: c("n") % 2 == 1)
 
 
 def covered(df: DataFrame, windows: DataFrame, key: str, moment: str, start: str, end: str, least: int, name: str) -> DataFrame:
@@ -238,7 +284,7 @@ def reproducible(first: Mapping[str, DataFrame], again: Mapping[str, DataFrame])
 
 def fixed_scale(df: DataFrame, column: str, digits: int, scale: int, name: str) -> DataFrame:
     """Texts that are not numbers of exactly `scale` decimals that fit `digits` digits."""
-    return _result(df.where(F.col(column).isNotNull() & ~F.col(column).rlike(rf"^-?\d{{1,{digits - scale}}}\.\d{{{scale}}}$")), name)
+    return where_violated(df, name, F.col(column).isNotNull() & ~F.col(column).rlike(rf"^-?\d{{1,{digits - scale}}}\.\d{{{scale}}}$"))
 
 
 def appears_once(df: DataFrame, column: str, values: Sequence, name: str) -> DataFrame:
@@ -260,12 +306,22 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], stable: Sequence[str],
 
 def status_date(df: DataFrame, status: str, filled: Sequence[str], date: str, name: str) -> DataFrame:
     """Rows whose date is null in a status that has one, or set in one that has none."""
-    return _result(df.where(F.col(status).isin(*filled) != F.col(date).isNotNull()), name)
+    return where_violated(df, name, F.col(status).isin(*filled) != F.col(date).isNotNull())
 
 
 def gate(rules: Iterable[DataFrame]) -> DataFrame:
-    """(check_name, violations, passed) of all rules."""
-    return reduce(DataFrame.unionAll, rules).withColumn("passed", F.col("violations") == 0)
+    """(check_name, violations, passed) of all rules; what rules count on the same table object is counted in one pass for each key."""
+    by_table: dict[int, list[Counted]] = {}
+    parts = []
+    for rule in rules:
+        counted = getattr(rule, "_counted", None)
+        if counted is None:
+            parts.append(rule)
+        else:
+            by_table.setdefault(id(counted.df), []).append(counted)
+    for own in by_table.values():
+        parts += _fused(own)
+    return reduce(DataFrame.unionAll, parts).withColumn("passed", F.col("violations") == 0)
 
 
 def assert_all_passed(checks: DataFrame) -> None:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import answers, money, ownership, scoring, texts, verdicts
-from millrace.operators import joins, quality, runs, scorecard, shared, summary, synth, windows
+from millrace.operators import joins, paths, quality, runs, scorecard, shared, summary, synth, windows
 from millrace.sources import files
 from millrace.sources.schema import parse_ddl
 
@@ -467,6 +468,58 @@ def score_modes(spark, sf):
     return _scored(spark, sf).select("o_orderkey", scoring.scalar_exact(g, a).alias("scalar"), scoring.table_exact(g, a).alias("tabular"), scoring.judge_plus_exact(g, a, F.lit(None).cast("boolean")).alias("ordered"))
 
 
+_PATHS = {
+    "customer>orders": ("non_empty_with_unmatched_parent_rows", "customer LEFT JOIN orders ON o_custkey = c_custkey", "customer", "c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"),
+    "customer>orders>lineitem": ("non_empty", "customer INNER JOIN orders ON o_custkey = c_custkey INNER JOIN lineitem ON l_orderkey = o_orderkey", "customer", "c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"),
+    "nation>supplier>lineitem>part": ("non_empty", "nation INNER JOIN supplier ON s_nationkey = n_nationkey INNER JOIN lineitem ON l_suppkey = s_suppkey INNER JOIN part ON p_partkey = l_partkey", "nation", "n_nationkey NOT IN (SELECT s_nationkey FROM supplier)"),
+    "region>nation>customer>orders>lineitem": ("non_empty", "region INNER JOIN nation ON n_regionkey = r_regionkey INNER JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey", "region", "r_regionkey NOT IN (SELECT n_regionkey FROM nation)"),
+}
+_PATH_COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS path, CAST((SELECT COUNT(*) FROM {joins}) AS BIGINT) AS joined_rows, CAST((SELECT COUNT(*) FROM {first} WHERE {free}) AS BIGINT) AS unmatched_rows" for n, (_, joins, first, free) in _PATHS.items())
+
+
+def _path_counts(spark, sf):
+    t = lambda name: table(spark, sf, name)
+    hop = lambda name, left, right, keep=False: paths.Hop(t(name), (left,), (right,), keep)
+    lines = hop("lineitem", "o_orderkey", "l_orderkey")
+    found = {
+        "customer>orders": (t("customer"), [hop("orders", "c_custkey", "o_custkey", True)]),
+        "customer>orders>lineitem": (t("customer"), [hop("orders", "c_custkey", "o_custkey"), lines]),
+        "nation>supplier>lineitem>part": (t("nation"), [hop("supplier", "n_nationkey", "s_nationkey"), hop("lineitem", "s_suppkey", "l_suppkey"), hop("part", "l_partkey", "p_partkey")]),
+        "region>nation>customer>orders>lineitem": (t("region"), [hop("nation", "r_regionkey", "n_regionkey"), hop("customer", "n_nationkey", "c_nationkey"), hop("orders", "c_custkey", "o_custkey", True), paths.Hop(lines.df, lines.left, lines.right, True)]),
+    }
+    return {name: paths.path_counts(first, hops, name) for name, (first, hops) in found.items()}
+
+
+@query("join_path_counts", _PATH_COUNTS)
+def join_path_counts(spark, sf):
+    return reduce(DataFrame.unionAll, _path_counts(spark, sf).values())
+
+
+@query(
+    "join_path_rules",
+    f"SELECT path || '.joined_rows' AS check_name, CASE WHEN joined_rows = 0 THEN CAST(1 AS BIGINT) ELSE 0 END AS violations, joined_rows > 0 AS passed FROM ({_PATH_COUNTS}) AS p UNION ALL SELECT path || '.unmatched_parent_rows', CASE WHEN unmatched_rows = 0 THEN CAST(1 AS BIGINT) ELSE 0 END, unmatched_rows > 0 FROM ({_PATH_COUNTS}) AS q WHERE path = 'customer>orders'",
+)
+def join_path_rules(spark, sf):
+    return quality.gate(paths.path_rules(counts, _PATHS[name][0]) for name, counts in _path_counts(spark, sf).items())
+
+
+_AUDITED = ("o_custkey", "o_orderstatus", "o_orderpriority", "day")
+_COPIES = f"SELECT o_custkey, o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders UNION ALL SELECT o_custkey + 1, o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders INNER JOIN ({_DRAWN.format(stream='duplicate')}) AS d USING (o_orderkey) WHERE rank <= 20"
+
+
+def _audit_sql(column: str) -> str:
+    others = ", ".join(c for c in _AUDITED if c != column)
+    return f"SELECT '{column}' AS \"column\", CAST(COUNT(*) AS BIGINT) AS groups, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS rows, {str(column == 'o_custkey').lower()} AS permitted FROM (SELECT COUNT(*) AS n FROM c GROUP BY {others} HAVING COUNT(DISTINCT {column}) + MAX(CASE WHEN {column} IS NULL THEN 1 ELSE 0 END) > 1) AS g"
+
+
+@query("near_duplicate_audit", f"WITH c AS ({_COPIES}) {' UNION ALL '.join(map(_audit_sql, _AUDITED))}")
+def near_duplicate_audit(spark, sf):
+    """Orders and twenty copies with another customer: which columns differ alone."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    copied = synth.near_duplicates(rows, "o_orderkey", 20, {"o_custkey": F.col("o_custkey") + 1})
+    return paths.near_duplicate_audit(copied, _AUDITED, ["o_custkey"])
+
+
 #: A status and a number; a label that is there stands near enough in these answers, whatever number is beside it.
 _HELD = f"SELECT o_orderkey, {_NUM.format('answer')} AS found, {_NUM.format('golden')}[1] AS wanted, contains(lower(answer), lower(string_split(golden, ' | ')[1])) AS named FROM ({_TEXTS}) AS t"
 
