@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,20 +20,29 @@ SETTINGS = {
 
 
 def session(master: str | None = None, **more: str) -> SparkSession:
-    """A session with SETTINGS and what else is given."""
+    """A session with SETTINGS and what else is given, and the package on its executors."""
     builder = SparkSession.builder.appName("millrace").config(map=SETTINGS | more)
-    return (builder.master(master) if master else builder).getOrCreate()
+    spark = (builder.master(master) if master else builder).getOrCreate()
+    ship(spark)
+    return spark
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors where they don't find it by themselves."""
+    """Send the package to the executors, once for a session.
+
+    Only local workers that start in the package's folder, or have it on their path, find it by themselves.
+    """
     root = Path(__file__).resolve().parent.parent
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
     paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root in paths or Path.cwd() == root or getattr(spark.sparkContext, "_millrace_shipped", False):
+    if re.fullmatch(r"local(\[[^\]]*\])?", context.master) and (root in paths or Path.cwd() == root):
         return
-    archive = Path(tempfile.mkdtemp()) / "millrace.zip"
+    # by its real name, which the JVM and the Python process share
+    archive = Path(os.path.realpath(tempfile.mkdtemp())) / "millrace.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for file in sorted((root / "millrace").rglob("*.py")):
             z.write(file, file.relative_to(root))
-    spark.sparkContext.addPyFile(str(archive))
-    spark.sparkContext._millrace_shipped = True
+    context.addPyFile(str(archive))
+    context._millrace_shipped = True
