@@ -83,11 +83,12 @@ def chosen(df: DataFrame, key: str, n: int, seed: int, stream: str, protected: C
     rows = df if protected is None else df.where(~F.coalesce(protected, F.lit(False)))
     drawn = rows.select(key, draw(seed, stream, F.col(key)).alias("_draw"))
     total, digits = drawn.count(), 1
-    while 16**digits * 1_000 < total:
+    # four digits at most: the buckets that are added up in one task are 65,536, however many rows there are
+    while digits < 4 and 16**digits * 1_000 < total:
         digits += 1
     drawn = drawn.withColumn("_bucket", F.substring("_draw", 1, digits))
     counts = drawn.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # a row for each bucket of about a thousand rows
+    # a row for each bucket; those behind the n-th row go no further
     before = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before")).where(F.col("_before") < n)
     placed = drawn.join(before, "_bucket").withColumn("rank", F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy("_draw", key)))
     return placed.where(F.col("rank") <= n).select(key, F.col("rank").cast("int").alias("rank"))
@@ -266,8 +267,14 @@ def rebalance(lines: DataFrame, keys: Sequence[str], order: Sequence[str], amoun
     return joined.withColumn(amount, F.when(F.col("_total").isNull(), F.col(amount)).otherwise(new)).select(*lines.columns)
 
 
-def windowed_moment(key: Column, start: Column, end: Column, seed: int = 42, stream: str = "moment") -> Column:
-    """A day in a campaign's window [start, end], drawn by the key; an end before the start is no window."""
+def windowed_moment(key: Column, start: Column, end: Column, seed: int = 42, stream: str = "moment", today: Column | None = None, open_days: int = 90) -> Column:
+    """A day in a campaign's window [start, end], drawn by the key; an end before the start is no window.
+
+    With today, a missing end is today's date for a campaign that has begun, and open_days after the start for one
+    that is to come; without, a missing end is no window.
+    """
+    if today is not None:
+        end = F.coalesce(end, F.when(start > today, F.date_add(start, open_days)).when(start.isNotNull(), today))
     days = F.datediff(end, start) + 1
     return F.when(days > 0, F.date_add(start, F.floor(uniform(seed, stream, key) * days).cast("int")))
 

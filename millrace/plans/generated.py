@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.generate import Level, fan_out, redrawn_dates
+from millrace.operators.shared import cut
 
 from . import crm_tables as crm
-from .gates import GATES, domain_gate
+from . import finance_tables as finance
+from .gates import BOUNDARY_DATES, GATES, POSTING_LAG, domain_gate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +31,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _made(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables, made once for all that reads them."""
+    return {name: cut(df) for name, df in tables.items()}
+
+
 def _targets(spark: SparkSession, sf: str) -> dict[str, int]:
     customers, suppliers, orders = (_table(spark, sf, t).count() for t in ("customer", "supplier", "orders"))
     return {"accounts": customers, "contacts": 2 * customers, "campaigns": suppliers, "contact_campaigns": 4 * customers + suppliers, "interactions": orders, "support_cases": orders}
@@ -66,6 +74,16 @@ def _seconds(day: str) -> str:
     return f"CAST(epoch(TIMESTAMP '{day} 00:00:00') AS BIGINT)"
 
 
+def _poisson_bounds(rate: float, most: int = 60) -> list[float]:
+    """The distribution function, term by term."""
+    term, total, out = math.exp(-rate), 0.0, []
+    for k in range(most):
+        total += term
+        out.append(total)
+        term *= rate / (k + 1)
+    return out
+
+
 _ACCOUNT = f"CASE WHEN NOT {_u('crm.contacts.unassigned', '{k}')} < 0.05 AND {{k}} <> contacts THEN {_whole('crm.contacts.account_id', 1, 'greatest(1, accounts * 9 // 10)', '{k}')} END"
 
 
@@ -120,7 +138,7 @@ def generated_crm_cases(spark, sf):
 @query("generated_crm_gate", " UNION ALL ".join(f"SELECT '{name}' AS check_name, CAST(0 AS BIGINT) AS violations, true AS passed" for name, _, _ in GATES["crm"]))
 def generated_crm_gate(spark, sf):
     """That all rules of the domain hold on the generated tables."""
-    return domain_gate(crm.generate(spark, _targets(spark, sf)), "crm")
+    return domain_gate(_made(crm.generate(spark, _targets(spark, sf))), "crm")
 
 
 @query(
@@ -148,3 +166,57 @@ def redrawn(spark, sf):
     top, low = redrawn_dates([Level(orders, "o_orderkey", None, "d", F.col("o_orderkey") % 3 == 0), Level(lines, "line", "o_orderkey", "d", F.col("l_linenumber") % 2 == 0)], "1990-01-01", "2000-01-01")
     top = top.withColumnRenamed("d", "order_date")
     return low.join(top, "o_orderkey", "left").select("line", "o_orderkey", F.col("d").cast("string").alias("line_date"), F.col("order_date").cast("string").alias("order_date"))
+
+
+def _finance(spark: SparkSession, sf: str) -> finance.Finance:
+    """As many accounts as suppliers, a transaction for every order and two lines for each, more or less."""
+    suppliers, orders = (_table(spark, sf, t).count() for t in ("supplier", "orders"))
+    targets = {"accounts": suppliers, "transactions": orders, "ledger_entries": 3 * orders // 2 * 2, "budgets": 4 * suppliers, "fx_rates": 3650}
+    return finance.Finance(targets, boundaries=BOUNDARY_DATES, lag=POSTING_LAG)
+
+
+_UNPOSTED = "CAST(ceil((SELECT COUNT(*) FROM orders) * 5 / 100.0) AS BIGINT)"
+
+
+@query("generated_finance_gate", " UNION ALL ".join(f"SELECT '{name}' AS check_name, {_UNPOSTED if name == 'transactions.without_ledger' else 'CAST(0 AS BIGINT)'} AS violations, {str(name != 'transactions.without_ledger').lower()} AS passed" for name, _, _ in GATES["finance"]))
+def generated_finance_gate(spark, sf):
+    """That all rules of the domain hold on the generated tables, but that exactly the unposted transactions have no lines."""
+    return domain_gate(_made(_finance(spark, sf).tables(spark)), "finance")
+
+
+def _type(key: str) -> str:
+    first = " ".join(f"WHEN {key} = {i} THEN '{t}'" for i, t in enumerate(finance.TYPES, 1))
+    return f"CASE {first} ELSE {_weighted('finance.accounts.type', finance.TYPES, key)} END"
+
+
+_PARENT = f"CASE WHEN {{k}} > roots AND {{k}} <= middle THEN {_whole('finance.accounts.parent', 1, 'roots', '{k}')} WHEN {{k}} > middle THEN least(CAST(floor({_u('finance.accounts.parent', '{k}')} * (middle - (roots + 1) + 1)) AS BIGINT) + roots + 1, middle) END"
+
+
+@query(
+    "generated_finance_accounts",
+    f"""WITH c AS (SELECT CAST(COUNT(*) AS BIGINT) AS n, greatest(5, CAST(COUNT(*) AS BIGINT) * 15 // 100) AS roots FROM supplier), m AS (SELECT n, roots, roots + greatest(1, (n - roots) // 2) AS middle FROM c),
+k AS (SELECT unnest(range(1, n + 1)) AS account_id, roots, middle FROM m), p AS (SELECT *, {_PARENT.format(k='account_id')} AS parent FROM k),
+t AS (SELECT *, coalesce(parent, account_id) AS above FROM p), r AS (SELECT *, coalesce({_PARENT.format(k='above')}, above) AS root FROM t)
+SELECT account_id, parent AS parent_account_id, {_type('root')} AS account_type FROM r""",
+)
+def generated_finance_accounts(spark, sf):
+    return _finance(spark, sf).accounts(spark).select("account_id", "parent_account_id", "account_type")
+
+
+_POISSON = "CASE " + " ".join(f"WHEN {_u('finance.ledger_entries.frequency', 'transaction_id')} < {b!r} THEN {k}" for k, b in enumerate(_poisson_bounds(3.2))) + " ELSE 60 END"
+
+
+@query(
+    "generated_finance_lines",
+    f"""WITH c AS (SELECT CAST(COUNT(*) AS BIGINT) AS n, 3 * COUNT(*) // 2 AS pairs, {_UNPOSTED} AS unposted FROM orders), k AS (SELECT unnest(range(1, n + 1)) AS transaction_id, pairs, unposted, n FROM c),
+d AS (SELECT *, row_number() OVER (ORDER BY md5('42:unposted:' || CAST(transaction_id AS VARCHAR)), transaction_id) AS drawn FROM k),
+w AS (SELECT transaction_id, pairs - (n - unposted) AS rest, {_POISSON} AS w FROM d WHERE drawn > unposted),
+p AS (SELECT transaction_id, rest, w, CAST(SUM(w) OVER (ORDER BY transaction_id) AS HUGEINT) AS upto, CAST(SUM(w) OVER () AS HUGEINT) AS every, row_number() OVER (ORDER BY transaction_id) - 1 AS place FROM w),
+f AS (SELECT transaction_id, CAST(rest * upto // every - rest * (upto - w) // every + 1 AS BIGINT) AS units, CAST(rest * (upto - w) // every + place AS BIGINT) AS first, (SELECT COUNT(*) FROM supplier) AS n FROM p),
+l AS (SELECT transaction_id, n, unnest(range(0, units)) AS position, first FROM f),
+a AS (SELECT transaction_id, n, position, first + position + 1 AS pair, {_whole('finance.ledger_entries.debit', 1, 'n', 'first + position + 1')} AS debit, {_whole('finance.ledger_entries.credit', 1, 'n - 1', 'first + position + 1')} AS step FROM l)
+SELECT 2 * pair - 1 + side AS entry_id, transaction_id, CAST(2 * position + 1 + side AS INTEGER) AS line_number, CASE side WHEN 0 THEN debit ELSE (debit - 1 + step) % n + 1 END AS account_id FROM a, (SELECT 0 AS side UNION ALL SELECT 1) AS s""",
+)
+def generated_finance_lines(spark, sf):
+    tables = _finance(spark, sf)
+    return tables.ledger_entries(tables.transactions(spark)).select("entry_id", "transaction_id", "line_number", "account_id")

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import generate, synth
-from millrace.plans import crm_tables
-from millrace.plans.gates import domain_gate
+from millrace.plans import crm_tables, finance_tables
+from millrace.plans.gates import BOUNDARY_DATES, POSTING_LAG, domain_gate
 
 
 @pytest.fixture(scope="module")
@@ -139,3 +139,51 @@ def test_draws_are_within_bounds(spark):
     assert {r.a for r in rows} == {3, 4, 5} and all(datetime.datetime(2024, 1, 1) <= r.m <= datetime.datetime(2024, 1, 2) for r in rows)
     assert {r.n for r in rows} == {datetime.datetime(2024, 1, 2)}
     assert synth.count_of(10, 1) == 1
+
+
+@pytest.fixture(scope="module")
+def finance(spark):
+    return {name: df.cache() for name, df in finance_tables.generate(spark, "dev", boundaries=BOUNDARY_DATES, lag=POSTING_LAG).items()}
+
+
+def test_finance_tables_pass_their_gate(finance):
+    for name, rows in finance_tables.TARGETS["dev"].items():
+        assert finance[name].count() == rows
+    # five percent of the transactions have no lines, and nothing else is amiss
+    assert {r.check_name: r.violations for r in domain_gate(finance, "finance").collect() if not r.passed} == {"transactions.without_ledger": 50}
+
+
+def test_finance_contracts(finance):
+    accounts = {r.account_id: r for r in finance["accounts"].collect()}
+    transactions = {r.transaction_id: r for r in finance["transactions"].collect()}
+    lines, budgets, rates = (finance[t].collect() for t in ("ledger_entries", "budgets", "fx_rates"))
+    assert sorted(accounts) == list(range(1, 51)) and {a.account_type for a in accounts.values()} == set(finance_tables.TYPES)
+    assert {a.parent_account_id is None for a in accounts.values()} == {True, False}
+    assert sorted(e.entry_id for e in lines) == list(range(1, 2001))
+    by = {}
+    for e in lines:
+        by.setdefault(e.transaction_id, []).append(e)
+    for t, own in by.items():
+        assert sorted(e.line_number for e in own) == list(range(1, len(own) + 1))
+        for side in ("debit_amount", "credit_amount"):
+            assert sum(e[side] or 0 for e in own) == transactions[t].total_amount
+        odd = {e.line_number: e.account_id for e in own}
+        assert all(odd[n] != odd[n + 1] for n in range(1, len(own), 2))
+        assert all((e.posting_type == "Reversal") == transactions[t].reversed and e.currency_code == transactions[t].source_currency for e in own)
+    assert any(t.reversed for t in transactions.values()) and len({len(v) for v in by.values()}) > 1
+    assert all(b.period_start < b.period_end and b.fiscal_year == b.period_start.year for b in budgets)
+    assert sum(r.rate is None for r in rates) == 10 and len({(r.from_currency, r.rate_date) for r in rates}) == 370
+    series = {}
+    for r in sorted(rates, key=lambda r: r.rate_date):
+        series.setdefault(r.from_currency, []).append(r.rate)
+    assert set(series["USD"]) == {1}
+    for name, own in series.items():
+        anchor = float(finance_tables.ANCHORS[name])
+        assert all(x is None or y is None or abs(x - y) <= anchor * 0.0076 + 2e-6 for x, y in zip(map(lambda v: None if v is None else float(v), own), map(lambda v: None if v is None else float(v), own[1:]), strict=False))
+
+
+def test_finance_targets_that_cannot_be_met():
+    good = finance_tables.TARGETS["dev"]
+    for bad in ({"accounts": 3}, {"ledger_entries": 2001}, {"ledger_entries": 1000}, {"budgets": 101}, {"fx_rates": 371}, {"fx_rates": 40}):
+        with pytest.raises(ValueError):
+            finance_tables.Finance(good | bad)
