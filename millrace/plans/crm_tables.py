@@ -151,7 +151,8 @@ class Crm:
         pool, limit = max(1, self.targets["contacts"] * 85 // 100), max(1, self.targets["campaigns"] * 8 // 10)
         shares = self.shares(spark).where(F.col("contact_id") <= pool)
         # how many a contact has is a Poisson draw; a draw of 0 leaves it without
-        weighed = shares.select("contact_id", F.col("units").alias("members"), F.col("first").alias("first_member"), synth.poisson(d.u("frequency", F.col("contact_id")), 3.2).cast("long").alias("w"))
+        weighed = shares.select("contact_id", F.col("units").alias("members"), F.col("first").alias("first_member"), d.u("frequency", F.col("contact_id")).alias("u"))
+        weighed = weighed.withColumn("w", synth.poisson(F.col("u"), 3.2).cast("long")).drop("u")
         rows = children(fan_out(weighed, "contact_id", "w", self.targets["interactions"]), "interaction_id").drop("units", "position").join(weighed.drop("w"), "contact_id")
         member = F.col("first_member") + 1 + F.least(F.floor(d.u("membership", k) * F.col("members")).cast("long"), F.col("members") - 1)
         rows = rows.withColumn("asked", self.campaign_of(member))

@@ -127,7 +127,7 @@ class Finance:
         if self.unposted:
             posted = posted.join(synth.chosen(transactions, "transaction_id", self.unposted, self.seed, "unposted").select("transaction_id"), "transaction_id", "left_anti")
         # an amount has a unit for each pair: the least amount is far above the most pairs that a draw of up to 60 gives
-        weighed = posted.select(k, synth.poisson(d.u("frequency", k), 3.2).cast("long").alias("w"))
+        weighed = posted.select(k, d.u("frequency", k).alias("u")).withColumn("w", synth.poisson(F.col("u"), 3.2).cast("long"))
         pairs = children(fan_out(weighed, "transaction_id", "w", self.targets["ledger_entries"] // 2, least=1), "pair").join(posted, "transaction_id")
         units = (F.col("total_amount") * UNITS).cast("long")
         share = F.floor(units / F.col("units")) + (F.col("position") < units % F.col("units")).cast("long")
