@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,16 +92,30 @@ def answer_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(" | ", *(cell_column(df, c) for c in df.columns)).alias("line"))
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """The MD5 of a row: its columns by name as text, with nulls as \\N."""
+    return F.md5(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(r"\N")) for c in sorted(columns))))
+
+
+def hash_sums(hashed: str) -> list[Column]:
+    """Two aggregates, s1 and s16: sums of 60 bits of each hash, which add up from the sums of parts."""
+    part = lambda at: F.conv(F.substring(hashed, at, 15), 16, 10).cast("decimal(38,0)")
+    return [F.coalesce(F.sum(part(at)), F.lit(0)).cast("decimal(38,0)").alias(f"s{at}") for at in (1, 16)]
+
+
+def digest_of(*sums: str) -> Column:
+    """The SHA-256 of a number of rows and their sums."""
+    return F.sha2(F.concat_ws(":", *(F.col(s).cast("string") for s in sums)), 256)
+
+
 def table_digest(df: DataFrame) -> DataFrame:
     """(rows, digest) of a table, whatever the order and partitioning of its rows; combined before any shuffle.
 
     The digest is the SHA-256 of the number of rows and two sums of 60 bits of each row's MD5, over its
     columns by name as text, with nulls as \\N. Repeated rows count as often as they occur.
     """
-    text = F.md5(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(r"\N")) for c in sorted(df.columns))))
-    part = lambda at: F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")
-    sums = df.select(text.alias("h")).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(part(at)), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"s{at}") for at in (1, 16)))
-    return sums.select("rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), "s1", "s16"), 256).alias("digest"))
+    sums = df.select(row_hash(df.columns).alias("h")).agg(F.count("*").alias("rows"), *hash_sums("h"))
+    return sums.select("rows", digest_of("rows", "s1", "s16").alias("digest"))
 
 
 def fingerprint(parts: Mapping[str, object]) -> str:

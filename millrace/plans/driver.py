@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from millrace.functions.answers import Answer, answer, even_sample
+from millrace.operators.freshness import Stamp, require_fresh_tables
 from millrace.sources.files import distinct_values
 
 from .families import Family
@@ -52,13 +53,16 @@ def tier_of(family: Family) -> str:
     return family.id.partition(":")[2].partition("-")[0]
 
 
-def build(tables: Mapping[str, DataFrame], families: Sequence[Family], quotas: Mapping[str, int], tier_quotas: Mapping[str, int], values: Mapping[str, Sequence], *, prefix: str = "QA", phrases: Mapping[str, str] | None = None, threads: int = 8) -> list[Question]:
+def build(tables: Mapping[str, DataFrame], families: Sequence[Family], quotas: Mapping[str, int], tier_quotas: Mapping[str, int], values: Mapping[str, Sequence], *, prefix: str = "QA", phrases: Mapping[str, str] | None = None, threads: int = 8, stamp: Stamp | None = None) -> list[Question]:
     """Questions of all families, numbered within their tier; quotas are by family and by tier.
 
     Of each family's combinations as many as its quota, at even ranks, are asked; combinations without an answer
     are left out before the others are numbered. Tiers are checked before and after; if one is not met,
-    nothing is returned. Plans of different combinations run side by side.
+    nothing is returned. Plans of different combinations run side by side. With a stamp, tables or parts that
+    changed since it was written are an error before anything is asked.
     """
+    if stamp is not None:
+        require_fresh_tables(tables, stamp)
     for tier, n in tier_quotas.items():
         planned = sum(quotas.get(f.id, 0) for f in families if tier_of(f) == tier)
         if planned != n:

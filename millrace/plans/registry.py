@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import answers, money, ownership, scoring, texts, verdicts
-from millrace.operators import joins, paths, quality, runs, scorecard, shared, summary, synth, windows
+from millrace.operators import batching, freshness, joins, paths, quality, runs, scorecard, shared, summary, synth, windows
 from millrace.sources import files
 from millrace.sources.schema import parse_ddl
 
@@ -439,6 +439,39 @@ def table_digest(spark, sf):
     return answers.table_digest(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority", "o_orderstatus"))
 
 
+def _hash_sum(at: int) -> str:
+    return f"SUM(CAST(CAST('0x' || substr(h, {at}, 15) AS BIGINT) AS DECIMAL(38,0)))"
+
+
+def _nodes(level: int) -> str:
+    node = f"CAST(floor(o_orderkey / {64 * 8**level}) AS BIGINT)" if level < 4 else "CAST(NULL AS BIGINT)"
+    return f"SELECT {level} AS level, {node} AS node, CAST(COUNT(*) AS BIGINT) AS rows, sha256(COUNT(*) || ':' || {_hash_sum(1)} || ':' || {_hash_sum(16)}) AS digest FROM (SELECT o_orderkey, {_DIGEST} AS h FROM orders) AS d GROUP BY 2"
+
+
+def _digested(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority", "o_orderstatus", "o_totalprice")
+
+
+@query("digest_tree", " UNION ALL ".join(map(_nodes, range(5))))
+def digest_tree(spark, sf):
+    """Digests of orders by ranges of 64 keys and all levels above."""
+    return freshness.digest_tree(_digested(spark, sf).drop("o_totalprice"), "o_orderkey", 64, 8, 4)
+
+
+_CHANGED = "SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_totalprice = (SELECT MAX(o_totalprice) FROM {orders}) THEN 'changed' ELSE o_orderpriority END AS o_orderpriority, o_orderstatus FROM {orders} WHERE o_totalprice > (SELECT MIN(o_totalprice) FROM {orders})"
+
+
+@query(
+    "changed_ranges",
+    "SELECT CAST(floor(o_orderkey / 64) AS BIGINT) AS node, CAST(COUNT(*) AS BIGINT) AS built_rows, CAST(COUNT(*) FILTER (WHERE o_totalprice > lo) AS BIGINT) AS rows FROM orders, (SELECT MIN(o_totalprice) AS lo, MAX(o_totalprice) AS hi FROM orders) AS b GROUP BY 1 HAVING bool_or(o_totalprice IN (lo, hi))",
+)
+def changed_ranges(spark, sf):
+    """Which ranges differ where the dearest order got another priority and the cheapest is gone."""
+    orders = _digested(spark, sf)
+    now = spark.sql(_CHANGED, orders=orders)
+    return freshness.changed_ranges(*(shared.cut(freshness.digest_tree(t, "o_orderkey", 64, 8, 4)) for t in (orders.drop("o_totalprice"), now)), 8, 4)
+
+
 _GOLDEN = "concat(o_orderstatus, ' | ', CAST(o_custkey AS STRING))"
 _ANSWER = "CASE o_orderkey % 4 WHEN 0 THEN concat(o_orderstatus, ' | ', CAST(o_custkey + 1 AS STRING)) WHEN 1 THEN concat(lower(o_orderstatus), ' |  ', CAST(o_custkey AS STRING), ' units') WHEN 2 THEN CAST(o_custkey AS STRING) ELSE concat(o_orderstatus, ' | $', CAST(o_custkey AS STRING), '.00') END"
 
@@ -786,6 +819,26 @@ def bounded_batches(spark, sf):
     return made.agg(F.sum("n").alias("rows"), F.sum((F.col("n") > 50).cast("int")).cast("int").alias("over_rows"), F.sum(((F.col("bytes") > 1_500) & (F.col("n") > 1)).cast("int")).cast("int").alias("over_bytes"), F.sum(F.size(F.split("lines", "\n"))).alias("lines"))
 
 
+_ORDER_LINE = """'{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '"}'"""
+
+
+@query(
+    "ordered_batches",
+    f"""WITH RECURSIVE w AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS r, CAST(strlen({_ORDER_LINE}) + 2 AS BIGINT) AS c FROM orders),
+    p AS (SELECT r, c, CAST(SUM(c) OVER (ORDER BY r) AS BIGINT) AS p FROM w),
+    fits AS (SELECT a.r, GREATEST(COUNT(*), 1) AS n FROM p AS a LEFT JOIN p AS b ON b.r BETWEEN a.r AND a.r + 59 AND b.p - a.p + a.c <= 5200 GROUP BY a.r),
+    first_rows AS (SELECT CAST(1 AS BIGINT) AS r, CAST(0 AS BIGINT) AS batch UNION ALL SELECT s.r + f.n, s.batch + 1 FROM first_rows AS s INNER JOIN fits AS f ON f.r = s.r WHERE s.r + f.n <= (SELECT COUNT(*) FROM w))
+    SELECT batch, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(c) AS BIGINT) AS bytes, arg_min(o_orderkey, r) AS first_key, arg_max(o_orderkey, r) AS last_key
+    FROM (SELECT w.*, s.batch FROM w ASOF JOIN first_rows AS s ON w.r >= s.r) AS b GROUP BY batch""",
+)
+def ordered_batches(spark, sf):
+    """Orders by date in batches of at most 60 rows and 5,200 bytes over the whole table."""
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"]
+    named = batching.batch_rows(table(spark, sf, "orders").select(*columns, "o_orderdate"), ["o_orderdate", "o_orderkey"], 60, 5_200, columns=columns)
+    at = F.struct("row.o_orderdate", "row.o_orderkey")
+    return named.groupBy("batch").agg(F.count("*").alias("n"), F.sum(F.col("bytes") + batching.AROUND).alias("bytes"), F.min(at)["o_orderkey"].alias("first_key"), F.max(at)["o_orderkey"].alias("last_key"))
+
+
 # ---- functions over columns
 
 
