@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import synth
 from millrace.operators.generate import Draws, at_boundaries, children, fan_out, keys, turned
+from millrace.sources.feasibility import Bridge, Plan, Relation, Window, require_feasible
 
 #: The rows of each table by profile, and the rules of the CRM contract.
 TARGETS = {
@@ -61,10 +62,14 @@ class Crm:
         t = self.targets
         if min(t.values()) < 1:
             raise ValueError("every table needs a row")
-        if t["contact_campaigns"] < max(t["contacts"], t["campaigns"]):
-            raise ValueError("memberships have to cover every contact and campaign")
-        if t["contact_campaigns"] > t["contacts"] * t["campaigns"]:
-            raise ValueError(f"{t['contact_campaigns']} memberships of {t['contacts']} contacts in {t['campaigns']} campaigns")
+        require_feasible(self.plan)
+
+    @property
+    def plan(self) -> Plan:
+        """What the targets have to leave room for."""
+        relations = [Relation("contacts", "accounts"), Relation("contact_campaigns", "contacts", 1), Relation("contact_campaigns", "campaigns", 1), Relation("interactions", "contacts"), Relation("support_cases", "accounts")]
+        windows = {"accounts": Window(EARLIEST, self.today), "activity": Window(ACTIVITY, self.today, after="accounts")}
+        return Plan(self.targets, relations, [Bridge("contact_campaigns", "contacts", "campaigns")], windows=windows)
 
     def _of(self, table: str) -> Draws:
         return Draws(self.seed, f"crm.{table}")

@@ -99,8 +99,8 @@ TABLES: dict[str, dict[str, str]] = {
     "finance": {
         "accounts": f"SELECT c_custkey AS account_id, {pick('c_custkey', ACCOUNT_TYPES)} AS account_type, CASE WHEN c_custkey % 10 < 5 THEN NULL ELSE c_custkey - 5 END AS parent_account_id, CASE WHEN c_custkey % 5 IN (0, 4) THEN 'Debit' ELSE 'Credit' END AS normal_balance FROM customer",
         "transactions": f"SELECT o_orderkey AS transaction_id, {_opened} AS transaction_date, {pick('o_orderkey', SYSTEMS)} AS source_system, {pick('o_custkey + o_orderkey', CURRENCIES)} AS source_currency, 'USD' AS target_currency, {money('o_totalprice', '19,4')} AS total_amount, o_orderkey % 50 = 0 AS reversed, {stamp(f'{_opened} + CAST(o_orderkey % 3 AS INT)')} AS posted_at FROM orders",
-        "ledger_entries": f"SELECT l_orderkey * 8 + l_linenumber AS entry_id, l_orderkey AS transaction_id, l_partkey % 200 AS account_id, l_linenumber AS line_number, CASE WHEN l_linenumber % 2 = 0 THEN {money('l_extendedprice', '19,4')} END AS debit_amount, CASE WHEN l_linenumber % 2 = 1 THEN {money('l_extendedprice', '19,4')} END AS credit_amount, {pick('l_orderkey + l_partkey', POSTINGS)} AS posting_type FROM lineitem",
-        "budgets": f"SELECT p_partkey AS budget_id, p_partkey % 200 AS account_id, {day('(p_partkey % 12) * 30', 360)} AS period_start, {day('(p_partkey % 12) * 30', 360, '2025-10-31')} AS period_end, {money('p_retailprice * 10', '19,4')} AS budget_amount, {pick('p_partkey + p_size', SCENARIOS)} AS scenario FROM part",
+        "ledger_entries": f"SELECT l_orderkey * 8 + l_linenumber AS entry_id, l_orderkey AS transaction_id, l_partkey % 200 AS account_id, l_linenumber AS line_number, CASE WHEN l_linenumber % 2 = 0 THEN {money('l_extendedprice', '19,4')} END AS debit_amount, CASE WHEN l_linenumber % 2 = 1 THEN {money('l_extendedprice', '19,4')} END AS credit_amount, {pick('l_orderkey + l_partkey', POSTINGS)} AS posting_type, {pick('l_orderkey + l_suppkey', CURRENCIES)} AS currency_code FROM lineitem",
+        "budgets": f"SELECT p_partkey AS budget_id, p_partkey % 200 AS account_id, CAST(2024 + p_partkey % 3 AS INT) AS fiscal_year, {day('(p_partkey % 12) * 30', 360)} AS period_start, {day('(p_partkey % 12) * 30', 360, '2025-10-31')} AS period_end, {money('p_retailprice * 10', '19,4')} AS budget_amount, {pick('p_partkey + p_size', SCENARIOS)} AS scenario FROM part",
         "fx_rates": f"SELECT k AS rate_id, currency AS from_currency, 'USD' AS to_currency, rate_date, CASE WHEN currency = 'USD' THEN {money('1', '19,6')} WHEN k % 41 = 0 THEN NULL ELSE {money('0.5 + (k % 997) * 0.000901', '19,6')} END AS rate, CASE WHEN k % 9 = 0 THEN 'SyntheticEstimated' ELSE 'SyntheticDaily' END AS rate_source FROM (SELECT s.n * 10 + d.n AS k, {pick('d.n', CURRENCIES)} AS currency, DATE '2025-10-01' + CAST(s.n AS INT) AS rate_date FROM (SELECT DISTINCT o_orderkey % 300 AS n FROM orders) AS s CROSS JOIN (SELECT DISTINCT o_orderkey % 10 AS n FROM orders) AS d WHERE (s.n + d.n) % 13 <> 0) AS g",
     },
     "project_management": {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import synth, windows
 from millrace.operators.generate import Draws, at_boundaries, children, fan_out, keys
+from millrace.sources.feasibility import Defect, Grid, Plan, Relation, Window, require_feasible
 
 #: The rows of each table by profile, and the rules of the finance contract.
 TARGETS = {
@@ -54,12 +55,23 @@ class Finance:
         t = self.targets
         if t["accounts"] < len(TYPES) + 2:
             raise ValueError("every account type needs an account, and two have to be below others")
-        if t["ledger_entries"] % 2 or t["ledger_entries"] < 2 * (t["transactions"] - self.unposted):
+        if t["ledger_entries"] % 2:
             raise ValueError("every posted transaction needs an even number of lines")
         if t["budgets"] % t["accounts"]:
             raise ValueError("every account needs as many budgets as any other")
         if t["fx_rates"] % len(CURRENCIES) or t["fx_rates"] // len(CURRENCIES) <= len(self.boundaries):
             raise ValueError("every currency needs a rate for every day, boundaries included")
+        require_feasible(self.plan)
+
+    @property
+    def plan(self) -> Plan:
+        """What the targets have to leave room for."""
+        t, days = self.targets, self.targets["fx_rates"] // len(CURRENCIES)
+        lines = Relation("ledger_entries", "transactions", 2, parents=100 - 100 * self.unposted / t["transactions"])
+        grid = Grid("fx_rates", {"currencies": len(CURRENCIES), "days": days})
+        windows = {"accounts": Window(CREATED, TODAY), "rates": Window(ACTIVITY, TODAY, days - len(self.boundaries), after="accounts")}
+        defects = {"unposted": Defect("transactions", self.unposted_pct), "missing rates": Defect("fx_rates", MISSING_PCT, 100 - 100 / len(CURRENCIES))}
+        return Plan(t, [lines, Relation("ledger_entries", "accounts"), Relation("budgets", "accounts", 1)], grids=[grid], windows=windows, defects=defects)
 
     def _of(self, table: str) -> Draws:
         return Draws(self.seed, f"finance.{table}")

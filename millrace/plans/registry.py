@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import answers, money, ownership, scoring, texts, verdicts
-from millrace.operators import batching, freshness, joins, paths, quality, runs, scorecard, shared, summary, synth, windows
+from millrace.operators import batching, capacity, freshness, joins, paths, quality, runs, scorecard, shared, summary, synth, windows
 from millrace.sources import files
+from millrace.sources.feasibility import subsets
 from millrace.sources.schema import parse_ddl
 
 from . import driver, generated
@@ -270,6 +271,17 @@ def dq_duplicate_groups(spark, sf):
 _DRAWN = "SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY md5('42:{stream}:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rank FROM orders"
 
 
+_ROOM = {"missing priority": capacity.Wanted(12.5, "o_orderstatus = 'F'"), "outlier": capacity.Wanted(45, "o_totalprice > 300000"), "late date": capacity.Wanted(30, "o_orderstatus = 'F' AND o_totalprice > 200000")}
+_WANTS = {n: f"GREATEST(1, CAST(ceil(COUNT(*) * CAST({d.percent} AS DOUBLE) / 100) AS BIGINT))" for n, d in _ROOM.items()}
+_SHORT = {s: " + ".join(_WANTS[n] for n in s) + f" - COUNT(*) FILTER (WHERE {' OR '.join(f'({_ROOM[n].eligible})' for n in s)})" for s in subsets(list(_ROOM))}
+
+
+@query("defect_capacity", "SELECT defect, eligible, wanted, lacking, lacking = 0 AS feasible FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS defect, CAST(COUNT(*) FILTER (WHERE {d.eligible}) AS BIGINT) AS eligible, CAST({_WANTS[n]} AS BIGINT) AS wanted, CAST(GREATEST(0, {', '.join(v for s, v in _SHORT.items() if n in s)}) AS BIGINT) AS lacking FROM orders" for n, d in _ROOM.items()) + ") AS r")
+def defect_capacity(spark, sf):
+    """Whether three defects find rows of their own among the orders."""
+    return capacity.defect_capacity(table(spark, sf, "orders"), _ROOM)
+
+
 @query("inject_nulls", f"SELECT o_orderkey, CASE WHEN rank > 25 THEN o_custkey END AS o_custkey FROM orders INNER JOIN ({_DRAWN.format(stream='null:o_custkey')}) AS d USING (o_orderkey)")
 def inject_nulls(spark, sf):
     return synth.inject_nulls(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", "o_custkey", 25)
