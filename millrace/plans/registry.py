@@ -837,9 +837,9 @@ _ORDER_LINE = """'{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey
 @query(
     "ordered_batches",
     f"""WITH RECURSIVE w AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS r, CAST(strlen({_ORDER_LINE}) + 2 AS BIGINT) AS c FROM orders),
-    p AS (SELECT r, c, CAST(SUM(c) OVER (ORDER BY r) AS BIGINT) AS p FROM w),
-    fits AS (SELECT a.r, GREATEST(COUNT(*), 1) AS n FROM p AS a LEFT JOIN p AS b ON b.r BETWEEN a.r AND a.r + 59 AND b.p - a.p + a.c <= 5200 GROUP BY a.r),
-    first_rows AS (SELECT CAST(1 AS BIGINT) AS r, CAST(0 AS BIGINT) AS batch UNION ALL SELECT s.r + f.n, s.batch + 1 FROM first_rows AS s INNER JOIN fits AS f ON f.r = s.r WHERE s.r + f.n <= (SELECT COUNT(*) FROM w))
+    p AS MATERIALIZED (SELECT r, c, CAST(SUM(c) OVER (ORDER BY r) AS BIGINT) AS p, COUNT(*) OVER () AS every FROM w),
+    fits AS MATERIALIZED (SELECT a.r, a.every, GREATEST(LEAST(COALESCE(b.r, 0) - a.r + 1, 60), 1) AS n FROM p AS a ASOF LEFT JOIN (SELECT r, p FROM p) AS b ON a.p - a.c + 5200 >= b.p),
+    first_rows AS (SELECT CAST(1 AS BIGINT) AS r, CAST(0 AS BIGINT) AS batch UNION ALL SELECT s.r + f.n, s.batch + 1 FROM first_rows AS s INNER JOIN fits AS f ON f.r = s.r WHERE s.r + f.n <= f.every)
     SELECT batch, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(c) AS BIGINT) AS bytes, arg_min(o_orderkey, r) AS first_key, arg_max(o_orderkey, r) AS last_key
     FROM (SELECT w.*, s.batch FROM w ASOF JOIN first_rows AS s ON w.r >= s.r) AS b GROUP BY batch""",
 )
