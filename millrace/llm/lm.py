@@ -129,13 +129,42 @@ def _by_file(files: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Which entries belong to each file."""
     if not len(files):
         return
-    step = np.diff(files)
-    order = np.arange(len(files)) if (step >= 0).all() else np.argsort(files, kind="stable")
+    if (files[1:] >= files[:-1]).all():
+        order = np.arange(len(files))
+    else:
+        # numbers of 16 bits are sorted by their digits
+        order = np.argsort(files.astype(np.uint16) if 0 <= files.min() and files.max() < 1 << 16 else files, kind="stable")
     cuts = np.flatnonzero(np.diff(files[order])) + 1
     for rows in np.split(order, cuts):
         yield int(files[rows[0]]), rows
 
 
+def _contexts(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and of each entry which one it is; entries in order, as those of a slice are, are not sorted."""
+    new = np.diff(own, prepend=-1)
+    if (new < 0).any():
+        return np.unique(own, return_inverse=True)
+    return own[new > 0], np.cumsum(new > 0) - 1
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and of each entry which one it is: a sort of one number that holds a key's leading bits and its place."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    bits = np.uint64(len(keys).bit_length())
+    over = np.uint64(max(0, int(keys.max()).bit_length() + int(bits) - 64))
+    both = (keys.astype(np.uint64) >> over << bits) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    place = (both & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    ordered = keys[place]
+    if over and (ordered[1:] < ordered[:-1]).any():
+        return np.unique(keys, return_inverse=True)
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    which = np.empty(len(keys), np.int64)
+    which[place] = np.cumsum(new) - 1
+    return ordered[new], which
+
+
 @dataclass
 class Model:
     """What tasks need to know of the files. Words are numbered in the order of their hashes; the start of a text is the number after the last."""
@@ -163,12 +192,10 @@ class Model:
             if f not in self.words.paths:
                 continue
             keys, counts = map(Monotone, _sections(self.words.paths[f]))
-            at = keys.first_of(hashes[rows])
-            rows, at = rows[at < len(keys)], at[at < len(keys)]
-            same = keys.get(at) == hashes[rows]
-            rows, at = rows[same], at[same]
+            at = keys.index(hashes[rows])
+            rows, at = rows[at >= 0], at[at >= 0]
             k = int(np.searchsorted(self.words.files, f))
-            begin, end = counts.get(at).astype(np.int64), counts.get(at + 1).astype(np.int64)
+            begin, end = counts.spans(at)
             number[rows], count[rows], before[rows] = at + self.words.nodes[k], end - begin, begin + self.words.totals[k]
         return number, count, before
 
@@ -181,7 +208,7 @@ class Model:
                 continue
             counts = Monotone(_sections(self.words.paths[int(self.words.files[k])])[1])
             at = numbers[rows] - self.words.nodes[k]
-            begin, end = counts.get(at).astype(np.int64), counts.get(at + 1).astype(np.int64)
+            begin, end = counts.spans(at)
             count[rows], before[rows] = end - begin, begin + self.words.totals[k]
         return count, before
 
@@ -189,7 +216,9 @@ class Model:
         """Of pairs of numbers: node (-1 if not known), occurrences before it, rank among the first's successors, log10 of the probability, and of what the first's unknown successors share."""
         n = len(first)
         node, total, rank, p, rest = np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        for f, rows in _by_file(np.where(first >= 0, before // FILE_TOKENS, -1)):
+        known = np.flatnonzero(first >= 0)
+        for f, rows in _by_file(before[known] // FILE_TOKENS):
+            rows = known[rows]
             if f not in self.pairs.paths:
                 continue
             k = int(np.searchsorted(self.pairs.files, f))
@@ -197,10 +226,11 @@ class Model:
             pointers, words, counts, codes, shares = Monotone(pointers), Ranges(Monotone(words)), Monotone(counts), codes.view("<u2"), shares.view("<u2")
             own = first[rows] - self.pairs.least[f]
             rows, own = rows[(own >= 0) & (own < len(shares))], own[(own >= 0) & (own < len(shares))]
-            contexts, at = np.unique(own, return_inverse=True)
-            begin, end = pointers.get(contexts).astype(np.int64)[at], pointers.get(contexts + 1).astype(np.int64)[at]
-            rest[rows] = np.where(begin < end, _log(shares[own]), 0.0)
-            place = words.find(begin, np.where(second[rows] >= 0, end, begin), np.maximum(second[rows], 0))
+            contexts, at = _contexts(own)
+            begin, end = pointers.spans(contexts)
+            rest[rows] = np.where(begin < end, _log(shares[contexts]), 0.0)[at]
+            base, begin, end = words.base(begin)[at], begin[at], end[at]
+            place = words.find(begin, np.where(second[rows] >= 0, end, begin), np.maximum(second[rows], 0), base)
             hit = np.flatnonzero(place >= 0)
             at = place[hit]
             node[rows[hit]], rank[rows[hit]], p[rows[hit]] = at + self.pairs.nodes[k], at - begin[hit], _log(codes[at])
@@ -211,35 +241,41 @@ class Model:
         """Of nodes of pairs and ranks among the second word's successors (-1: none): whether it is known, log10 of its probability, and of what others share."""
         n = len(node)
         known, p, rest = np.zeros(n, bool), np.zeros(n), np.zeros(n)
-        for f, rows in _by_file(np.where(node >= 0, total // FILE_TOKENS, -1)):
+        some = np.flatnonzero(node >= 0)
+        for f, rows in _by_file(total[some] // FILE_TOKENS):
+            rows = some[rows]
             if f not in self.triples.paths:
                 continue
             pointers, ranks, codes, shares = _sections(self.triples.paths[f])
             pointers, ranks, codes, shares = Monotone(pointers), Ranges(Monotone(ranks)), codes.view("<u2"), shares.view("<u2")
             own = node[rows] - self.triples.least[f]
             rows, own = rows[(own >= 0) & (own < len(shares))], own[(own >= 0) & (own < len(shares))]
-            contexts, at = np.unique(own, return_inverse=True)
-            begin, end = pointers.get(contexts).astype(np.int64)[at], pointers.get(contexts + 1).astype(np.int64)[at]
-            rest[rows] = np.where(begin < end, _log(shares[own]), 0.0)
-            place = ranks.find(begin, np.where(rank[rows] >= 0, end, begin), np.maximum(rank[rows], 0))
+            contexts, at = _contexts(own)
+            begin, end = pointers.spans(contexts)
+            rest[rows] = np.where(begin < end, _log(shares[contexts]), 0.0)[at]
+            base, begin, end = ranks.base(begin)[at], begin[at], end[at]
+            place = ranks.find(begin, np.where(rank[rows] >= 0, end, begin), np.maximum(rank[rows], 0), base)
             hit = np.flatnonzero(place >= 0)
             known[rows[hit]], p[rows[hit]] = True, _log(codes[place[hit]])
         return known, p, rest
 
-    def successor(self, node: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """log10 of the probability of the successor of a node's second word that has the rank."""
-        second, out = np.zeros(len(node), np.int64), np.zeros(len(node))
+    def successor(self, node: np.ndarray, parent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """log10 of the probability of the successor of a node's second word that has the rank; parent: of each rank which node it belongs to."""
+        second = np.zeros(len(node), np.int64)
         for k, rows in _by_file(np.searchsorted(self.pairs.nodes, node, "right") - 1):
             pointers, words, *_ = _sections(self.pairs.paths[int(self.pairs.files[k])])
             pointers, words = Monotone(pointers), Ranges(Monotone(words))
             at = node[rows] - self.pairs.nodes[k]
             begin = pointers.get(pointers.first_of(at + 1) - 1).astype(np.int64)
             second[rows] = words.get(begin, at)
-        _, before = self.counted(second)
-        for f, rows in _by_file(before // FILE_TOKENS):
-            pointers, _, _, codes, _ = _sections(self.pairs.paths[f])
-            begin = Monotone(pointers).get(second[rows] - self.pairs.least[f]).astype(np.int64)
-            out[rows] = _log(codes.view("<u2")[begin + rank[rows]])
+        seconds, which = _distinct(second)
+        _, before = self.counted(seconds)
+        file, begin, out = before // FILE_TOKENS, np.zeros(len(seconds), np.int64), np.zeros(len(rank))
+        for f, rows in _by_file(file):
+            begin[rows] = Monotone(_sections(self.pairs.paths[f])[0]).get(seconds[rows] - self.pairs.least[f]).astype(np.int64)
+        place = begin[which][parent] + rank
+        for f, rows in _by_file(file[which][parent]):
+            out[rows] = _log(_sections(self.pairs.paths[f])[3].view("<u2")[place[rows]])
         return out
 
 
@@ -259,14 +295,14 @@ class _Slice:
         inside = np.ones(len(hashes), bool)
         inside[self.ends] = False
         hashes[inside] = words.hashes()
-        self.hashes, self.word = np.unique(hashes, return_inverse=True)
+        self.hashes, self.word = _distinct(hashes)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (first, second) by places in self.hashes, len(self.hashes) for the start, and of each token the pair that ends with it."""
         first = np.empty_like(self.word)
         first[1:] = self.word[:-1]
         first[self.ends - self.lengths + 1] = len(self.hashes)
-        keys, of_token = np.unique(first * len(self.hashes) + self.word, return_inverse=True)
+        keys, of_token = _distinct(first * len(self.hashes) + self.word)
         return keys // max(1, len(self.hashes)), keys % max(1, len(self.hashes)), of_token
 
     def inner(self) -> np.ndarray:
@@ -331,7 +367,9 @@ _MERGED = "file long, total long, ones long, twos long, piece binary"
 def _merged(key: tuple, table: pa.Table) -> pa.Table:
     """All pieces of a file as one, with its counts of counts."""
     major, minor, counts = (np.concatenate(x) for x in zip(*(unpacked(p.as_buffer().to_pybytes()) for p in table.column("piece")), strict=True))
-    order = np.lexsort((minor, major))
+    # one key of both is sorted several times faster, where 63 bits hold it
+    wide, least = int(minor.max()) + 1, int(major.min())
+    order = np.argsort((major - least) * wide + minor) if (int(major.max()) - least + 1) * wide < 1 << 63 else np.lexsort((minor, major))
     major, minor, counts = major[order], minor[order], counts[order]
     new = np.flatnonzero((np.diff(major, prepend=-1) != 0) | (np.diff(minor, prepend=-1) != 0))
     counts = np.add.reduceat(counts, new)
@@ -407,7 +445,7 @@ def _build_triples(model: Model, discount: float, folder: str):
                 begins, parent = _children(node)
                 total, kinds = np.add.reduceat(counts, begins), np.bincount(parent)
                 shares = discount * kinds / total
-                p = (counts - discount) / total[parent] + shares[parent] * 10 ** model.successor(node, rank)
+                p = (counts - discount) / total[parent] + shares[parent] * 10 ** model.successor(node[begins], parent, rank)
                 path = _new_file(folder, file)
                 _write(path, [_pointers(node), Ranges.pack(rank, begins), _quantised(p), _share(node, begins, shares)])
                 yield _rows([(file, path, len(node), int(counts.sum()), int(node[0]))])
@@ -462,7 +500,7 @@ def scored(model: Model, own: _Slice) -> tuple[np.ndarray, ...]:
     score = p[of_token]
     inner = own.inner()
     if len(inner):
-        keys, at = np.unique(of_token[inner - 1] * len(first) + of_token[inner], return_inverse=True)
+        keys, at = _distinct(of_token[inner - 1] * len(first) + of_token[inner])
         x, y = keys // len(first), keys % len(first)
         known, longer, rest = model.extend(node[x], total[x], np.where(node[y] >= 0, rank[y], -1))
         score[inner] = np.where(known, longer, rest + p[y])[at]

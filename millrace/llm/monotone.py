@@ -87,8 +87,8 @@ class Monotone:
             return np.zeros(len(i), np.uint64)
         at = i.astype(np.uint64) * _U(self.bits)
         word, off = (at >> _U(6)).astype(np.int64), at & _U(63)
-        value = self.low[word] >> off
-        value |= np.where(off > 0, self.low[word + 1] << ((_U(64) - off) & _U(63)), _U(0))
+        # in two shifts, since one of 64 places is none
+        value = (self.low[word] >> off) | (self.low[word + 1] << _U(1) << (_U(63) - off))
         return value & _U((1 << self.bits) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
@@ -96,6 +96,46 @@ class Monotone:
         i = np.asarray(i, np.int64)
         return ((self._one(i) - i).astype(np.uint64) << _U(self.bits)) | self._low(i)
 
+    def spans(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at places i and at the places after them, as int64."""
+        i = np.asarray(i, np.int64)
+        at = self._one(i)
+        # the next one is in the same word of the unary part, but for a few
+        rest = self.high[at >> 6] >> (at & 63).astype(np.uint64) >> _U(1)
+        after = at + 1 + np.bitwise_count(~rest & (rest - _U(1)))
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._one(i[far] + 1)
+        return ((at - i) << self.bits) | self._low(i).astype(np.int64), ((after - i - 1) << self.bits) | self._low(i + 1).astype(np.int64)
+
+    def index(self, values: np.ndarray) -> np.ndarray:
+        """A place of each of values, -1 if it is not there."""
+        values = np.asarray(values, np.uint64)
+        out = np.full(len(values), -1, np.int64)
+        if not self.n or not len(values):
+            return out
+        last = self.get(np.array([self.n - 1]))[0]
+        high = (np.minimum(values, last) >> _U(self.bits)).astype(np.int64)
+        # values with these high bits are the ones that follow a zero of the unary part
+        at = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        off = at & 63
+        ones = self.high[at >> 6] >> off.astype(np.uint64)
+        run = np.bitwise_count(ones & ~(ones + _U(1))).astype(np.int64)
+        begin = at - high
+        end = begin + run
+        far = np.flatnonzero(run == 64 - off)
+        end[far] = self._zero(high[far]) - high[far]
+        open_ = np.flatnonzero((begin < end) & (values <= last))
+        begin, end, low = begin[open_], end[open_], values[open_] & _U((1 << self.bits) - 1)
+        while len(open_):
+            middle = (begin + end) >> 1
+            found = self._low(middle)
+            same, below = found == low, found < low
+            out[open_[same]] = middle[same]
+            begin, end = np.where(below, middle + 1, begin), np.where(below, end, middle)
+            left = np.flatnonzero(~same & (begin < end))
+            open_, begin, end, low = open_[left], begin[left], end[left], low[left]
+        return out
+
     def first_of(self, values: np.ndarray) -> np.ndarray:
         """The first place whose value is not below each of values, n if there is none."""
         values = np.asarray(values, np.uint64)
@@ -138,7 +178,8 @@ class Ranges:
         base = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers[ends - 1] + _U(1), dtype=np.uint64)[:-1]])
         return Monotone.pack(numbers + np.repeat(base, ends - begins))
 
-    def _base(self, begin: np.ndarray) -> np.ndarray:
+    def base(self, begin: np.ndarray) -> np.ndarray:
+        """What is added to the numbers of ranges that start at begin."""
         out = np.zeros(len(begin), np.uint64)
         some = np.flatnonzero(begin > 0)
         out[some] = self.values.get(begin[some] - 1) + _U(1)
@@ -146,18 +187,15 @@ class Ranges:
 
     def get(self, begin: np.ndarray, i: np.ndarray) -> np.ndarray:
         """The numbers at places i, in ranges that start at begin."""
-        return (self.values.get(i) - self._base(begin)).astype(np.int64)
+        return (self.values.get(i) - self.base(begin)).astype(np.int64)
 
-    def find(self, begin: np.ndarray, end: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """The place of each number in its range, -1 if it is not there."""
+    def find(self, begin: np.ndarray, end: np.ndarray, number: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
+        """The place of each number in its range, -1 if it is not there; base: that of begin, if it is known."""
         out = np.full(len(begin), -1, np.int64)
         some = np.flatnonzero(begin < end)
         if not len(some):
             return out
-        wanted = number[some].astype(np.uint64) + self._base(begin[some])
-        at = self.values.first_of(wanted)
-        inside = (at >= begin[some]) & (at < end[some])
-        some, at, wanted = some[inside], at[inside], wanted[inside]
-        same = self.values.get(at) == wanted
-        out[some[same]] = at[same]
+        at = self.values.index(number[some].astype(np.uint64) + (self.base(begin[some]) if base is None else base[some]))
+        # a number above all of its range may be one of the next
+        out[some] = np.where(at < end[some], at, -1)
         return out

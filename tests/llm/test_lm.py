@@ -25,6 +25,38 @@ def test_monotone(values, wanted):
     assert (m.first_of(wanted) == np.searchsorted(values, wanted)).all()
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 400), min_size=1, max_size=300, unique=True), st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 401), max_size=40))
+def test_places_and_spans_of_a_sequence(values, wanted):
+    values = np.sort(np.array(values, np.uint64))
+    m, wanted = Monotone(np.frombuffer(Monotone.pack(values), np.uint8)), np.concatenate([values, np.array(wanted, np.uint64)])
+    at = np.searchsorted(values, wanted)
+    assert m.index(wanted).tolist() == [a if a < len(values) and values[a] == w else -1 for a, w in zip(at.tolist(), wanted, strict=True)]
+    counts = np.cumsum(values >> np.uint64(14))
+    counts = Monotone(np.frombuffer(Monotone.pack(np.sort(counts) >> np.uint64(2)), np.uint8))
+    i = np.arange(len(counts) - 1)
+    assert [x.tolist() for x in counts.spans(i)] == [counts.get(i).astype(np.int64).tolist(), counts.get(i + 1).astype(np.int64).tolist()]
+
+
+def test_places_in_long_runs():
+    values = np.concatenate([np.arange(5000), 10**9 + np.arange(5000), [2**50]]).astype(np.uint64)
+    m = Monotone(np.frombuffer(Monotone.pack(values), np.uint8))
+    assert (m.index(values) == np.arange(len(values))).all()
+    assert (m.index(np.array([5000, 10**9 - 1, 10**9 + 5000, 2**50 - 1, 2**60], np.uint64)) == -1).all()
+
+
+@pytest.mark.parametrize("keys", [[], [7], [5, 3, 5, 3, 9], [2**64 - 1, 0, 2**64 - 1], [2**63 + 1, 2**63, 2**63 + 1, 2**63 + 2, 2**63]])
+def test_distinct_keys(keys):
+    keys = np.array(keys, np.uint64)
+    got, want = lm._distinct(keys), np.unique(keys, return_inverse=True)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+
+
+def test_contexts_in_and_out_of_order():
+    for own in ([0, 0, 2, 5, 5], [4, 1, 4], []):
+        assert [x.tolist() for x in lm._contexts(np.array(own, np.int64))] == [x.tolist() for x in np.unique(np.array(own, np.int64), return_inverse=True)]
+
+
 def test_monotone_with_wide_gaps():
     values = np.concatenate([np.arange(5000), 10**9 + np.arange(5000) // 70, [2**50] * 300]).astype(np.uint64)
     m = Monotone(np.frombuffer(Monotone.pack(values), np.uint8))
