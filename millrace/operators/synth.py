@@ -286,11 +286,9 @@ def date_grid(pairs: DataFrame, first: str, last: str) -> DataFrame:
 
 def transpose_typo(text: Column) -> Column:
     """The last two adjacent characters that differ change places; if all are equal the last one is doubled."""
-    n = F.length(text)
-    places = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(1)) != F.substring(text, i + 1, F.lit(1)))
-    at = F.array_max(F.when(n > 1, places))
-    swapped = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.lit(1)), F.substring(text, at, F.lit(1)), F.substring(text, at + 2, n))
-    return F.when(n == 0, text).otherwise(F.coalesce(swapped, F.concat(text, F.right(text, F.lit(1)))))
+    # one pass each, whatever an address is made of: a lambda over places would compute the text anew at every place
+    doubled = F.regexp_replace(text, r"(?s)\A((.)\2*)\z", "$1$2")
+    return F.regexp_replace(doubled, r"(?s)\A(.*)(.)(?!\2)(.)", "$1$3$2")
 
 
 def email_typo(email: Column) -> Column:

@@ -119,6 +119,16 @@ def test_typos(spark):
     assert [r[0] for r in words.select(synth.transpose_typo(F.col("w"))).collect()] == ["acb", "aba", "aaaa", "xx", ""]
 
 
+def test_typos_of_long_and_odd_texts_without_a_pass_for_every_place(spark):
+    long = "ab" * 20_000
+    texts = spark.createDataFrame([(1, long), (2, "a" * 40_000), (3, "ab\n\n"), (4, "é😀😀"), (5, "$\\"), (6, None)], "k int, w string")
+    out = texts.select("k", synth.transpose_typo(F.col("w")).alias("w"))
+    assert dict(map(tuple, out.collect())) == {1: long[:-2] + "ba", 2: "a" * 40_001, 3: "a\nb\n", 4: "😀é😀", 5: "\\$", 6: None}
+    mail = texts.select(synth.email_typo(F.concat(F.lower("w"), F.lit("@x.org"))).alias("m"))
+    assert "lambda" not in mail._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.m for r in mail.where("length(m) < 100").collect()} == {"a\nb\n@x.org", "😀é😀@x.org", "\\$@x.org"}
+
+
 def test_weights_must_add_up():
     with pytest.raises(ValueError):
         synth.choose(F.lit(0.1), {"a": 0.5})
