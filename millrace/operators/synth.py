@@ -250,6 +250,10 @@ def preferred_then_rest(df: DataFrame, key: str, n: int, preferred: Column, seed
     return first if not missing else first.unionAll(chosen(rest, key, missing, seed, stream).select(key))
 
 
+#: Lines, about, that a task of rebalance sorts; single groups stay whole.
+TASK_LINES = 1_000_000
+
+
 def rebalance(lines: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, totals: DataFrame, total: str) -> DataFrame:
     """lines with a group's amounts changed in proportion, so that they add up to its new total exactly; groups without one stay.
 
@@ -257,7 +261,9 @@ def rebalance(lines: DataFrame, keys: Sequence[str], order: Sequence[str], amoun
     """
     kind = lines.schema[amount].dataType
     unit = 10**kind.scale
-    joined = lines.join(totals.select(*keys, F.col(total).alias("_total")), list(keys), "left").withColumn("_weight", (F.col(amount) * unit).cast("long"))
+    # partitions by rows: those that adaptive execution makes by compressed bytes, or a fixed number of them, hold ever more lines
+    dealt = lines.repartition(max(1, -(-lines.count() // TASK_LINES)), *keys)
+    joined = dealt.join(totals.select(*keys, F.col(total).alias("_total")), list(keys), "left").withColumn("_weight", (F.col(amount) * unit).cast("long"))
     group, line = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
     wanted, all_ = (F.col("_total") * unit).cast("decimal(19,0)"), F.sum("_weight").over(group)
     joined = joined.withColumn("_share", F.expr("cast(_weight as decimal(19,0))") * wanted).withColumn("_all", all_)

@@ -129,6 +129,23 @@ def test_typos_of_long_and_odd_texts_without_a_pass_for_every_place(spark):
     assert {r.m for r in mail.where("length(m) < 100").collect()} == {"a\nb\n@x.org", "😀é😀@x.org", "\\$@x.org"}
 
 
+def test_rebalanced_lines_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(synth, "TASK_LINES", 50)
+    lines = spark.range(400).selectExpr("id div 4 as k", "id as n", "cast(1 + id % 7 as decimal(18,2)) as a")
+    totals = spark.range(0, 100, 3).selectExpr("id as k", "cast(10 as decimal(18,2)) as total")
+    out = synth.rebalance(lines, ["k"], ["n"], "a", totals, "total")
+    assert out.rdd.getNumPartitions() == 8
+    wanted = {}
+    for k in range(100):
+        cents = [100 * (1 + i % 7) for i in range(4 * k, 4 * k + 4)]
+        if k % 3 == 0:
+            floors = [1000 * c // sum(cents) for c in cents]
+            cents = [f + (i < 1000 - sum(floors)) for i, f in enumerate(floors)]
+        wanted |= {4 * k + i: c for i, c in enumerate(cents)}
+    assert {r.n: int(r.a * 100) for r in out.collect()} == wanted
+    assert synth.rebalance(lines.limit(0), ["k"], ["n"], "a", totals, "total").count() == 0
+
+
 def test_weights_must_add_up():
     with pytest.raises(ValueError):
         synth.choose(F.lit(0.1), {"a": 0.5})
