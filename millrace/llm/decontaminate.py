@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of hashed words over all documents.
-2. A randomised SVD of TF-IDF passages: each task multiplies its passages with a
-   random matrix and the outcome with the passages' transpose; the sums of all tasks are added by blocks of
-   buckets, and the driver adds the benchmark's own and factors the small result. The passages are those of a
-   bounded sample, and the benchmark as a whole.
+1. One pass over all documents counts in how many of them each hashed word is, and adds every
+   passage, with a random sign, to one of a few rows: a sketch of the matrix of all passages. The tasks' sums are added by
+   blocks of buckets, in whole numbers, so that they are the same however the documents are dealt out.
+2. The driver weighs the sketch's columns by inverse frequencies, takes a power step in it, adds the benchmark's own randomised
+   factorisation, and factors the small result: a latent space of all passages and all items.
 3. Every passage of every document is projected and compared with every benchmark
    item by cosine; those above a floor are candidates. So is, at any cosine, a passage with
    as many of the item's rarest words as no leak can be without (a pigeonhole filter), so
@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Words, column_bytes, lower_ascii, slices
+from .text import Words, column_bytes, lower_ascii, mix, slices
 
 #: Hashed vocabulary; rank of the latent space, and columns of the random matrix beyond it.
 BUCKETS, RANK, SPARE = 1 << 16, 64, 16
 #: Words of a step; passages are whole numbers of steps.
 STEP = 12
-#: Documents, about, from whose passages the latent space is made, the tasks that they are dealt to, and the parts of their sum.
-FIT_TEXTS, FIT_TASKS, BLOCKS = 2_000, 8, 16
+#: Parts of the sums of all passages, and units of a summed value.
+BLOCKS, UNITS = 64, 1 << 10
 #: Benchmark items that one pass over the documents compares with.
 BLOCK_ITEMS = 4_000
 #: Least cosine of a candidate, as a part of what the item itself would score; leaks below it are found by their rarest words.
@@ -98,36 +98,65 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(48)).astype(np.int64)
 
 
-def _distinct(w: Words) -> np.ndarray:
-    """The buckets of each row, each once."""
-    small = len(w.off) <= BUCKETS
-    key = (w.rows().astype(np.uint32 if small else np.uint64) << 16) | _bucket(w.hashes()).astype(np.uint32 if small else np.uint64)
+def _cells(rows: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (below most), buckets and counts of the distinct pairs, in order."""
+    kind = np.uint32 if most <= BUCKETS else np.uint64
+    key = (rows.astype(kind) << 16) | bucket.astype(kind)
     key.sort()
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    return (key[new] & (BUCKETS - 1)).astype(np.int64)
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return (key[heads] >> 16).astype(np.int64), (key[heads] & (BUCKETS - 1)).astype(np.int64), np.diff(np.append(heads, len(key)))
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen, n = np.zeros(BUCKETS, np.int64), 0
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By blocks of buckets: the sums of all passages in the sketch's rows, and last the number of texts with the bucket; and the number of texts, with the first block."""
+    sums, n = np.zeros((BUCKETS, RANK + SPARE + 1), np.int32), 0
     for batch in batches:
         for part in slices(batch, "text"):
             w = _folded(part.column("text"))
-            seen += np.bincount(_distinct(w), minlength=BUCKETS)
+            h, rows, many = w.hashes(), w.rows(), w.counts()
+            bucket = _bucket(h)
             n += part.num_rows
-    at = np.flatnonzero(seen)
+            if not len(bucket):
+                continue
+            sums[:, -1] += np.bincount(_cells(rows, bucket, part.num_rows)[1], minlength=BUCKETS).astype(np.int32)
+            lead = np.concatenate([[0], np.cumsum(-(-many // (4 * STEP)))])
+            within = np.arange(int(lead[-1])) - np.repeat(lead[:-1], np.diff(lead))
+            passage = lead[rows] + (np.arange(len(bucket)) - w.first[rows]) // (4 * STEP)
+            # a passage's row and sign come from its text's mark, place and first word: copies have rows of their own
+            mark = part.column("mark").to_numpy(zero_copy_only=False).view(np.uint64)
+            first = h[np.repeat(w.first[:-1], np.diff(lead)) + within * 4 * STEP]
+            mark = mix(mix(np.repeat(mark, np.diff(lead)) + within.astype(np.uint64)) ^ first)
+            line, sign = ((mark >> np.uint64(8)) % np.uint64(RANK + SPARE)).astype(np.int64), (mark & np.uint64(1)).astype(np.float64) * 2 - 1
+            row, col, count = _cells(passage, bucket, int(lead[-1]))
+            scale = sign * UNITS / np.sqrt(np.bincount(row, count * count, int(lead[-1])))
+            np.add.at(sums.reshape(-1), col * sums.shape[1] + line[row], np.rint(count * scale[row]).astype(np.int32))
     if n:
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], n))], names=["bucket", "n"])
-
-
-def inverse_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Weights of all buckets, from every text, and the number of texts; a table of BUCKETS + 1 rows at most goes to the driver."""
-    counts = texts.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    bucket, count = (counts.column(c).to_numpy() for c in ("bucket", "n"))
-    n = int(count[bucket == -1].sum())
-    df = np.zeros(BUCKETS)
-    df[bucket[bucket >= 0]] = count[bucket >= 0]
-    return (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32), n
+        for block, x in enumerate(np.split(sums, BLOCKS)):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([n if block == 0 else 0]), pa.array([pa.compress(x.tobytes(), codec="zstd", asbytes=True)], pa.binary())], names=["block", "n", "sums"])
+
+
+def _total(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block: the number of texts, sums, and numbers of texts with each bucket."""
+    total, n = np.zeros((BUCKETS // BLOCKS, RANK + SPARE + 1), np.int64), 0
+    for table in tables:
+        n += sum(table.column("n").to_pylist())
+        for x in table.column("sums"):
+            total += np.frombuffer(pa.decompress(x.as_buffer(), total.size * 4, "zstd"), np.int32).reshape(total.shape)
+    columns = [pa.array([key[0].as_py()], pa.int64()), pa.array([n], pa.int64()), pa.array([(total[:, :-1] / UNITS).astype(np.float32).tobytes()], pa.binary()), pa.array([total[:, -1].tobytes()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "sums", "texts"])
+
+
+def survey(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse frequencies of all buckets, and the sketch (BUCKETS, RANK + SPARE) of all passages, both from every text; BLOCKS rows, 21 MB, go to the driver."""
+    parts = texts.select(F.xxhash64("_id").alias("mark"), "text").mapInArrow(_added, "block long, n long, sums binary")
+    found = parts.groupBy("block").applyInArrow(_total, "block long, n long, sums binary, texts binary").toArrow()
+    df, sums = np.zeros(BUCKETS), np.zeros((BUCKETS, RANK + SPARE), np.float32)
+    for block, x, seen in zip(found.column("block").to_pylist(), found.column("sums"), found.column("texts"), strict=True):
+        own = slice(block * BUCKETS // BLOCKS, (block + 1) * BUCKETS // BLOCKS)
+        sums[own] = np.frombuffer(x.as_buffer(), np.float32).reshape(-1, RANK + SPARE)
+        df[own] = np.frombuffer(seen.as_buffer(), np.int64)
+    n = sum(found.column("n").to_pylist())
+    return (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32), sums
 
 
 def _random(rows: int, columns: int) -> np.ndarray:
@@ -154,51 +183,21 @@ def _sketch(passage: np.ndarray, bucket: np.ndarray, idf: np.ndarray) -> np.ndar
     return out
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, sums), sorted by block, to one row for each block."""
-    now, total = None, None
-    row = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["block", "sums"])
-    for batch in batches:
-        for block, sums in zip(batch.column("block").to_pylist(), batch.column("sums"), strict=True):
-            part = np.frombuffer(sums.as_buffer(), np.float32)
-            if block == now:
-                total += part
-                continue
-            if now is not None:
-                yield row()
-            now, total = block, part.copy()
-    if now is not None:
-        yield row()
-
-
-def latent_space(texts: DataFrame, n: int, items: pa.Array, idf: np.ndarray) -> np.ndarray:
-    """(BUCKETS, RANK): the leading right singular vectors of the passages' TF-IDF matrix, by one randomised power step."""
-    weights = texts.sparkSession.sparkContext.broadcast(idf)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS, RANK + SPARE), np.float32)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                w = _folded(part.column("text"))
-                within = np.arange(len(w.starts)) - np.repeat(w.first[:-1], w.counts())
-                passage = w.rows() * (1 << 24) + within // (4 * STEP)
-                total += _sketch(passage, _bucket(w.hashes()), weights.value)
-        for block, sums in enumerate(np.split(total, BLOCKS)):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["block", "sums"])
-
-    # by hashes of the rows, so that the sample does not depend on how they are dealt out
-    sample = texts.where(F.pmod(F.xxhash64("_id", "text"), F.lit(max(1, n // FIT_TEXTS))) == 0).select("text")
-    sums = sample.repartition(FIT_TASKS).mapInArrow(run, "block long, sums binary").repartition(BLOCKS, "block").sortWithinPartitions("block").mapInArrow(_summed, "block long, sums binary").toArrow()
+def latent_space(sums: np.ndarray, items: pa.Array, idf: np.ndarray) -> np.ndarray:
+    """(BUCKETS, RANK): the leading right singular vectors of the TF-IDF matrix of all passages, from their sketch, and of the items."""
+    gram = lambda x: sum((part.T @ part).astype(np.float64) for part in np.split(x, BLOCKS))
+    own = sums * idf[:, None]
+    # a power step in the sketch: directions weigh by the cube of their part
+    square = gram(own)
+    own = own @ (square / max(float(np.trace(square)), 1e-9)).astype(np.float32)
     w = _folded(items)
     total = _sketch(w.rows(), _bucket(w.hashes()), idf)
-    blocks = [(total[k * BUCKETS // BLOCKS : (k + 1) * BUCKETS // BLOCKS], np.frombuffer(x.as_buffer(), np.float32).reshape(-1, RANK + SPARE)) for k, x in zip(sums.column("block").to_pylist(), sums.column("sums"), strict=True)]
-    scale = math.sqrt(sum(float(np.square(x).sum()) for _, x in blocks)) / max(float(np.linalg.norm(total)), 1e-9)
-    total *= max(1.0, 2 * scale)
-    for own, x in blocks:
-        own += x
+    norm = float(np.linalg.norm(own))
+    # the items have twice the weight of all passages
+    total *= 2 / max(float(np.linalg.norm(total)), 1e-9)
+    total += own / max(norm, 1e-9)
     # left singular vectors by the small Gram matrix: the large matrix is not copied
-    square = sum((x.T @ x).astype(np.float64) for x in np.split(total, BLOCKS))
-    size, turn = np.linalg.eigh(square)
+    size, turn = np.linalg.eigh(gram(total))
     size, turn = np.sqrt(np.maximum(size[::-1][:RANK], 0)), turn[:, ::-1][:, :RANK]
     return total @ (turn * np.where(size > 1e-6 * size[0], 1 / np.maximum(size, 1e-30), 0)).astype(np.float32)
 
@@ -389,10 +388,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, floor: float = FLOOR
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")).where("length(text) > 0")
 
-    idf, n, out, block = None, 0, None, []
+    idf, sums, out, block = None, None, None, []
 
     def passed(block: list) -> DataFrame:
-        space = latent_space(texts, n, pa.array([r.text for r in block], pa.string()), idf)
+        space = latent_space(sums, pa.array([r.text for r in block], pa.string()), idf)
         items = _items([r.item_id for r in block], [r.text for r in block], [r.answer for r in block], idf, space)
         shared = spark.sparkContext.broadcast((items, idf, space))
 
@@ -405,7 +404,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, floor: float = FLOOR
     # the benchmark is a query set; it is compared in blocks of a bounded size
     for r in wanted.toLocalIterator():
         if idf is None:
-            idf, n = inverse_frequencies(texts)
+            idf, sums = survey(texts)
         block.append(r)
         if len(block) == BLOCK_ITEMS:
             out = passed(block) if out is None else out.unionAll(passed(block))

@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,6 +381,33 @@ def test_answers_are_checked(spark):
     assert asked("word1 word2") == 1 and asked("word3 word9") == 0
 
 
+def test_survey_adds_every_passage_of_every_text(spark):
+    texts = [f"w{i} " * 3 + f"x{i % 7} y{i % 11} " * 40 for i in range(6000)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_id long, text string")
+    idf, sums = decontaminate.survey(rows.repartition(3))
+    again = decontaminate.survey(rows.repartition(7))
+    assert (idf == again[0]).all() and (sums == again[1]).all()
+    # a word of one text only, in no sample of 2,000 texts, is in the sketch, as often as its passage has it
+    bucket = decontaminate._bucket(decontaminate._folded(pa.array([f"w{i}" for i in range(6000)])).hashes())
+    assert (np.abs(sums[bucket]).sum(1) > 0).mean() > 0.99
+    seen = np.zeros(decontaminate.BUCKETS)
+    for t in texts:
+        seen[np.unique(decontaminate._bucket(decontaminate._folded(pa.array([t])).hashes()))] += 1
+    assert np.allclose(idf, np.log(6001 / (seen + 1)) + 0.1, rtol=1e-6)
+    # signs are even, so that squares of sums are about the sums of squares
+    only = np.bincount(bucket, minlength=decontaminate.BUCKETS)[bucket] == 1
+    common = set(decontaminate._bucket(decontaminate._folded(pa.array([" ".join(f"x{i} y{i}" for i in range(11))])).hashes()).tolist())
+    only &= ~np.isin(bucket, list(common))
+    want = []
+    for i in np.flatnonzero(only)[:50]:
+        words = texts[i].split()[:48]
+        counts = [words.count(x) for x in set(words)]
+        want.append(3 / math.sqrt(sum(c * c for c in counts)))
+    assert np.allclose(np.abs(sums[bucket[only][:50]]).sum(1), want, atol=2 / decontaminate.UNITS)
+    none = decontaminate.survey(rows.limit(0))
+    assert not none[1].any()
+
+
 def test_token_files(docs, texts, none, spark):
     from tokenizers import Tokenizer
 
