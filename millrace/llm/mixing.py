@@ -7,7 +7,8 @@ the target reaches it. A schedule gives each source's relative weight over time,
 knots. Its integral says how much of the source's target is met at a time; the inverse of that is
 the time of every copy. The sum of the integrals of all sources, each times its target, is the cumulative
 demand for words, and what it is at the copy's time, as a part of the whole, is the copy's
-training position: so many words come before it. The result is range-sorted by position.
+training position: so many words come before it. The result is range-sorted by position; the ranges are drawn from
+keys and positions alone, so that texts are joined once.
 
 Cumulative sums are taken in two steps, over buckets of the hash and within each
 bucket, so that no source is ever gathered in one task.
@@ -26,6 +27,8 @@ from .text import Words, slices
 
 #: Rows of one source in a bucket of the hash, about.
 BUCKET_ROWS = 20_000
+#: Text of a task that sorts a part of the run, about.
+PART_BYTES = 16 << 20
 Knots = tuple[tuple[float, float], ...]
 #: Relative weights over time, by the place of a source's weight in the list of weights: the first sources fade, the second stay, the third grow.
 SCHEDULE: tuple[Knots, ...] = (((0, 1.5), (1, 0.5)), ((0, 1), (1, 1)), ((0, 0.5), (1, 1.5)))
@@ -180,9 +183,13 @@ def curriculum(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), schedul
     rounds = F.explode(F.sequence(F.lit(0), (F.col("taken") / F.col("size") - 1).cast("int"))).alias("round")
     copies = taken.select("*", rounds).select(F.col("_id").alias("a"), F.col("_hash").alias("b"), "round", _position(F.col("round"), _scheduled(weights, schedule)).alias("at"))
     copies = copies.groupBy("a", "b", "round").agg(F.min("at").alias("at"))
+    text = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).first()[0] or 0
+    ranges = copies.repartitionByRange(max(1, -(-text * share[0] // (share[1] * PART_BYTES))), "at", "a", "b")
+    placed = Scratch(docs.sparkSession, "curriculum").table(ranges.withColumn("part", F.spark_partition_id()), "copies")
+    parts = (placed.agg(F.max("part")).first()[0] or 0) + 1
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("hash"))
-    joined = rows.join(copies, rows["id"].eqNullSafe(copies["a"]) & (rows["hash"] == copies["b"]))
-    return joined.select("row", "id", "hash", "at").repartitionByRange("at", "id", "hash").sortWithinPartitions("at", "id", "hash").select("row.*")
+    joined = rows.join(placed, rows["id"].eqNullSafe(placed["a"]) & (rows["hash"] == placed["b"]))
+    return joined.select("row", "id", "hash", "at", "part").repartitionById(parts, "part").sortWithinPartitions("at", "id", "hash").select("row.*")
 
 
 #: The default schedule's lines are written out: of its integral, and of the inverse.

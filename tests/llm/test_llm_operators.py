@@ -784,6 +784,20 @@ def test_curriculum_with_clashing_names_null_ids_and_repeats(spark):
     assert mixing.curriculum(docs.limit(0)).count() == 0
 
 
+def test_curriculum_draws_ranges_from_keys(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(["word"] * int(rng.integers(5, 30))), "abc"[i % 3]) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = [tuple(r) for r in mixing.curriculum(docs).collect()]
+    monkeypatch.setattr(mixing, "PART_BYTES", 20_000)
+    out = mixing.curriculum(docs)
+    # Spark would run the join of whole rows once more to draw ranges from it
+    assert "rangepartitioning" not in out._jdf.queryExecution().toString()
+    parts = [[tuple(r) for r in part] for part in out.rdd.glom().collect()]
+    assert [r for part in parts for r in part] == whole
+    assert len(parts) >= 15 and max(map(len, parts)) < 3 * len(whole) / len(parts)
+
+
 def test_curriculum_repeats_whole_rows(docs, texts):
     out = mixing.curriculum(docs)
     assert out.columns == docs.columns
